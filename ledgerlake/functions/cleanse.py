@@ -23,10 +23,11 @@ NUMBER_SYMBOLS = "$*#!%"
 NUMBER_UNITS = ("USD", "ms", "pts", "deg")
 
 _AROUND = r"[$*#!%\s\p{Z}]*+"
+_AFTER = r"[$*#!%)\s\p{Z}]*+"
 _NUMBER = (
     rf"(?i)^{_AROUND}(?:USD{_AROUND})?"
     r"((?:\((?=[^)]*\)))?[$\s\p{Z}]*+[+-]?(?:[0-9]+\.?[0-9]*+|\.[0-9]+))"
-    rf"{_AROUND}(?:{'|'.join(NUMBER_UNITS)})?[$*#!%)\s\p{{Z}}]*+$"
+    rf"{_AFTER}(?:{'|'.join(NUMBER_UNITS)})?{_AFTER}$"
 )
 _CODE = r"^[\s\p{Z}]*+([0-9]{1,9})[*!#\s\p{Z}]*+$"
 

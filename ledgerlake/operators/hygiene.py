@@ -7,12 +7,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.cleanse import CURRENCY, parse_number, parse_ts, trim_text
+from ledgerlake.functions.cleanse import CURRENCY, parse_number, parse_ts
 from ledgerlake.plans.specs import FeedSpec
 
 CORRUPT = "_corrupt_record"
-CORRUPT_CLASSES = ("N1", "N2", "N3a", "N3b")
-CLASSES = (*CORRUPT_CLASSES, "N4", "CLEAN")
+CLASSES = ("N1", "N2", "N3a", "N3b", "N4", "CLEAN")
 
 
 def _any(conditions: list[Column]) -> Column:
@@ -28,25 +27,29 @@ def benign_null(spec: FeedSpec) -> Column:
     return _any([F.col(c).isNull() for c in spec.optional])
 
 
+def _truncated(df: DataFrame) -> Column:
+    return F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False)
+
+
+def _keyed(spec: FeedSpec) -> Column:
+    """All keys and the timestamp are there. A key of blanks and a timestamp in no known layout are not."""
+    present = [F.coalesce(F.col(k).rlike(r"[^\s\p{Z}]"), F.lit(False)) for k in spec.keys]
+    return _all(present + ([parse_ts(spec.ts).isNotNull()] if spec.ts else []))
+
+
+def _positive(spec: FeedSpec, accounting: bool = True) -> Column:
+    """The mandatory metric is a number above zero."""
+    return F.coalesce(parse_number(spec.metric, spec.roles.get(spec.metric, CURRENCY), accounting) > 0, F.lit(False))
+
+
 def null_class_expr(df: DataFrame, spec: FeedSpec, accounting: bool = True) -> Column:
     """Class of a raw row: N1 empty, N2 truncated, N3a missing key or timestamp, N3b mandatory metric
-    not positive, N4 benign null, CLEAN.
-
-    A key of blanks counts as missing and so does a timestamp in no known layout; a mandatory metric
-    that is missing or no number counts as not positive.
-    """
-    empty = _all([F.col(c).isNull() for c in spec.columns])
-    truncated = F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False)
-    no_key = _any([F.coalesce(trim_text(k), F.lit("")) == "" for k in spec.keys])
-    if spec.ts:
-        no_key = no_key | parse_ts(spec.ts).isNull()
-    metric = parse_number(spec.metric, spec.roles.get(spec.metric, CURRENCY), accounting)
-    positive = F.coalesce(metric > 0, F.lit(False))
+    not positive, N4 benign null, CLEAN."""
     return (
-        F.when(truncated, "N2")
-        .when(empty, "N1")
-        .when(no_key, "N3a")
-        .when(~positive, "N3b")
+        F.when(_truncated(df), "N2")
+        .when(_all([F.col(c).isNull() for c in spec.columns]), "N1")
+        .when(~_keyed(spec), "N3a")
+        .when(~_positive(spec, accounting), "N3b")
         .when(benign_null(spec), "N4")
         .otherwise("CLEAN")
     )
@@ -56,7 +59,11 @@ def null_class(df: DataFrame, spec: FeedSpec) -> DataFrame:
     return df.withColumn("null_class", null_class_expr(df, spec))
 
 
+def is_sound(df: DataFrame, spec: FeedSpec, accounting: bool = True) -> Column:
+    """The row is CLEAN or N4: nothing that must be there is missing. (An empty row has no key.)"""
+    return ~_truncated(df) & _keyed(spec) & _positive(spec, accounting)
+
+
 def drop_corrupt(df: DataFrame, spec: FeedSpec) -> DataFrame:
     """Keep CLEAN and N4 rows. Rows with missing optional values are kept on purpose."""
-    kept = df.where(~null_class_expr(df, spec).isin(*CORRUPT_CLASSES))
-    return kept.drop(CORRUPT)
+    return df.where(is_sound(df, spec)).drop(CORRUPT)

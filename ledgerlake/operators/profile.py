@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.cleanse import MEASURE, NUMBER_UNITS, TS_FORMATS, TsFormat, norm_key, parse_number, ts_format_name
 from ledgerlake.functions.privacy import is_digest
-from ledgerlake.operators.dedup import dedup_latest, row_digest
-from ledgerlake.operators.hygiene import CORRUPT, CORRUPT_CLASSES, null_class_expr
-from ledgerlake.operators.joins import join_dim
+from ledgerlake.operators.dedup import dedup_latest
+from ledgerlake.operators.hygiene import is_sound, null_class_expr
 from ledgerlake.plans.gold import MONEY, with_disputes
 from ledgerlake.plans.specs import HIGH_RISK_CATEGORIES, FeedSpec
 
@@ -91,7 +90,7 @@ def feed_inventory(feeds: Mapping[str, DataFrame], specs: Mapping[str, FeedSpec]
     parts = []
     for name, df in feeds.items():
         spec = specs[name]
-        corrupt = null_class_expr(df, spec).isin(*CORRUPT_CLASSES)
+        corrupt = ~is_sound(df, spec)
         source = F.col("_source_file") if "_source_file" in df.columns else F.lit(None).cast("string")
         rows = df.select(F.when(~corrupt, norm_key(spec.key)).alias("k"), corrupt.alias("bad"), source.alias("file"))
         per_key = rows.groupBy("k", "bad", "file").agg(F.count(F.lit(1)).alias("n"))
@@ -167,8 +166,6 @@ def bug_signatures(df: DataFrame, spec: FeedSpec) -> DataFrame:
 
     One row per key is kept first (retry copies are not part of these mistakes), then one pass.
     """
-    base_class = null_class_expr(df, spec)
-    naive_class = null_class_expr(df, spec, accounting=False)
     optional_missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in spec.optional])
     dtype = spec.roles[spec.metric]
     # a row that is corrupt under both readings can never be counted
@@ -176,8 +173,8 @@ def bug_signatures(df: DataFrame, spec: FeedSpec) -> DataFrame:
         norm_key(spec.key).alias("k"),
         parse_number(spec.metric, dtype).alias("value"),
         parse_number(spec.metric, dtype, accounting=False).alias("naive_value"),
-        (~base_class.isin(*CORRUPT_CLASSES)).alias("good"),
-        (~naive_class.isin(*CORRUPT_CLASSES)).alias("naive_good"),
+        is_sound(df, spec).alias("good"),
+        is_sound(df, spec, accounting=False).alias("naive_good"),
         optional_missing.alias("benign"),
     ).where("good or naive_good")
     unique = dedup_latest(rows, ["k"])

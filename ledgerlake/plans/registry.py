@@ -588,8 +588,7 @@ def _(spark, sf):
 def _(spark, sf):
     parts = []
     for n, raw in _raws(spark, sf, PAY, DEV).items():
-        good = ~hygiene.null_class_expr(raw, SPECS[n]).isin(*hygiene.CORRUPT_CLASSES)
-        parts.append(profile.surge_profile(raw, n, c.parse_ts(SPECS[n].ts).cast("date"), good))
+        parts.append(profile.surge_profile(raw, n, c.parse_ts(SPECS[n].ts).cast("date"), hygiene.is_sound(raw, SPECS[n])))
     return _union(parts)
 
 

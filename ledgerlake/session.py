@@ -6,16 +6,19 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_WORK: dict[str, str] = {}
 
 
-def build_session(app: str, cores: int | str = "*", memory: str = "8g") -> SparkSession:
+def build_session(
+    app: str, cores: int | str = "*", memory: str = "8g", extra: Mapping[str, str] | None = None
+) -> SparkSession:
     """Local session for tests and the benchmark. On a cluster the submitter owns these settings."""
     parallelism = "8" if cores == "*" else str(cores)
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", parallelism)
@@ -24,8 +27,10 @@ def build_session(app: str, cores: int | str = "*", memory: str = "8g") -> Spark
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.catalogImplementation", "in-memory")
-        .getOrCreate()
     )
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
+    return builder.getOrCreate()
 
 
 def work_root(spark: SparkSession) -> str:

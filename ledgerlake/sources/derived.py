@@ -7,11 +7,14 @@ repeated records) follows from arithmetic on the source key.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.joins import plan_bytes
+
 
 def _drift(key: str, text: str) -> str:
     return f"case when {key} % 7 = 0 then '  ' || lower({text}) || ' ' else {text} end"
@@ -145,8 +148,32 @@ DERIVATIONS: dict[str, Derivation] = {
 }
 
 
+# Row-identifying columns of the larger tables.
+TABLE_KEYS = {
+    "events": ("event_id",),
+    "orders": ("o_orderkey",),
+    "customer": ("c_custkey",),
+    "lineitem": ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
+}
+SPREAD_FROM_BYTES = 1024 * 1024
+
+
+def spread(df: DataFrame, keys: Sequence[str], least: int = SPREAD_FROM_BYTES) -> DataFrame:
+    """Use all cores on a table that came in too few splits, such as one large Parquet row group.
+
+    A table with at least as many splits as the cluster has cores, or a small one, is left alone: no
+    shuffle is added where files already spread the work.
+    """
+    size = plan_bytes(df)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if size is None or size < least or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, TABLE_KEYS[name]) if name in TABLE_KEYS else df
 
 
 def _source(spark: SparkSession, sf_dir: str, d: Derivation) -> DataFrame:
@@ -167,14 +194,16 @@ def raw_feed(spark: SparkSession, sf_dir: str, feed: str, injected: bool = True)
     if not injected:
         return df.selectExpr(*[f"{e} as {c}" for c, e in d.columns.items()])
 
-    def record(columns: dict[str, str]) -> str:
-        return "named_struct(" + ", ".join(f"'{c}', {e}" for c, e in columns.items()) + ")"
-
-    records = [record(d.columns)]
+    kinds = ["'plain'", f"case when {d.key} % 211 = 0 then 'empty' end"]
     if d.repeated:
-        records.append(f"case when {d.key} % 13 = 0 then {record({**d.columns, **dict(d.repeat_overrides)})} end")
-    records.append(f"case when {d.key} % 211 = 0 then {record(dict.fromkeys(d.columns, 'cast(null as string)'))} end")
-    return df.selectExpr(f"inline(array_compact(array({', '.join(records)})))")
+        kinds.append(f"case when {d.key} % 13 = 0 then 'repeat' end")
+    columns = dict(d.columns)
+    for c, override in d.repeat_overrides:
+        columns[c] = f"case when _kind = 'repeat' then {override} else {columns[c]} end"
+    fields = ", ".join(f"'{c}', case when _kind <> 'empty' then {e} end" for c, e in columns.items())
+    rows = df.withColumn("_kind", F.explode(F.expr(f"array({', '.join(kinds)})"))).where("_kind is not null")
+    # the record leaves a generator, as it would leave a file: later filters cannot repeat its expressions
+    return rows.selectExpr(f"inline(array(named_struct({fields})))")
 
 
 def raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
