@@ -152,7 +152,7 @@ def ts_format_name(c: Column | str, formats: Sequence[TsFormat] = TS_FORMATS) ->
 
 def norm_category(c: Column | str) -> Column:
     """Category text without outer spaces and trailing footnote marks."""
-    return F.regexp_replace(trim_text(c), r"[*!#\s\p{Z}]+$", "")
+    return F.regexp_replace(trim_text(c), r"(?<![*!#\s\p{Z}])[*!#\s\p{Z}]+$", "")
 
 
 def norm_code(c: Column | str, allowed: Sequence[int] = (0, 1, 2)) -> Column:

@@ -7,7 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.cleanse import norm_key
+
 BROADCAST_LIMIT = 10 * 1024 * 1024
+HOT_KEYS = 1000
 SALTS = 32
 
 
@@ -25,24 +28,41 @@ def join_dim(
     on: Sequence[str],
     how: str = "left",
     spread_by: Sequence[str] | None = None,
+    count_on: DataFrame | None = None,
     limit: int = BROADCAST_LIMIT,
+    hot_keys: int = HOT_KEYS,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join a fact table to a dimension that has one row per key.
 
-    The dimension is broadcast only when its estimated size is within ``limit``. Beyond that it is
-    repeated ``salts`` times and the fact rows of each key are spread over the copies by a hash of
-    ``spread_by`` (row-identifying columns), so no task gets all rows of a hot key.
+    The dimension is broadcast only when its estimated size is within ``limit``. Beyond that both sides
+    are shuffled, and the ``hot_keys`` most frequent keys are salted: their fact rows are spread over
+    ``salts`` tasks by a hash of ``spread_by`` (row-identifying columns) and only their few dimension
+    rows are repeated. Any other key then has less than one part in ``hot_keys`` of all rows.
+
+    ``count_on`` is a cheaper frame with the same keys to count, such as the stored table ``fact`` was
+    made from.
     """
     if how not in ("left", "inner"):
         raise ValueError("join_dim keeps facts: how must be left or inner")
+    on = list(on)
     size = plan_bytes(dim)
     if size is not None and size <= limit:
-        return fact.join(F.broadcast(dim), list(on), how)
-    spread = spread_by or [c for c in fact.columns if c not in on] or list(on)
-    salted_fact = fact.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
-    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
-    return salted_fact.join(copies, [*on, "_salt"], how).drop("_salt")
+        return fact.join(F.broadcast(dim), on, how)
+    # at most hot_keys rows, whatever the size of the tables
+    hot = (
+        (fact if count_on is None else count_on).dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+        .orderBy(F.col("_n").desc(), *on).limit(hot_keys).select(*on, F.lit(True).alias("_hot"))
+    )
+    spread = spread_by or [c for c in fact.columns if c not in on] or on
+    no_key = F.lit(False)
+    for k in on:  # rows without a key match nothing, but must not meet in one task either
+        no_key = no_key | F.col(k).isNull()
+    salt = F.when(F.col("_hot") | no_key, F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(F.lit(0).cast("bigint"))
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))).cast("array<bigint>")
+    salted = fact.join(F.broadcast(hot), on, "left").withColumn("_salt", salt).drop("_hot")
+    repeated = dim.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
 def left_preagg(fact: DataFrame, child: DataFrame, key: str, aggs: Mapping[str, Column]) -> DataFrame:
@@ -56,22 +76,38 @@ def left_preagg(fact: DataFrame, child: DataFrame, key: str, aggs: Mapping[str,
 def orphan_report(child: DataFrame, parent: DataFrame, fk: Column, pk: Column, edge: str) -> DataFrame:
     """Child rows without a parent, before and after key normalisation.
 
-    The child is counted per key first, so the joins see each key once. Rows without a foreign key are
-    not orphans and are left out.
+    The child is counted per spelling of the key, then per normalised key, so each join sees a key once
+    and the child is read once. Rows without a foreign key are not orphans and are left out.
     """
-    from ledgerlake.functions.cleanse import norm_key
-
-    def one(stage: str, wrap) -> DataFrame:
-        keys = child.select(wrap(fk).alias("k")).where("k is not null").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-        parents = parent.select(wrap(pk).alias("k")).where("k is not null").distinct()
-        marked = keys.join(parents.withColumn("found", F.lit(True)), "k", "left")
-        return marked.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("child_rows"),
-            F.coalesce(F.sum(F.when(F.col("found").isNull(), F.col("n"))), F.lit(0)).alias("orphan_rows"),
-            F.count_if(F.col("found").isNull()).alias("orphan_keys"),
-        ).select(F.lit(edge).alias("edge"), F.lit(stage).alias("stage"), "*")
-
-    return one("before", lambda c: c).unionByName(one("after", norm_key))
+    spelled = child.select(fk.alias("k")).where("k is not null").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    parents = parent.select(pk.alias("k")).where("k is not null").distinct()
+    before = spelled.join(parents.withColumn("found", F.lit(True)), "k", "left")
+    lost = F.col("found").isNull()
+    per_key = before.groupBy(norm_key("k").alias("k")).agg(
+        F.sum("n").alias("n"),
+        F.coalesce(F.sum(F.when(lost, F.col("n"))), F.lit(0)).alias("lost_n"),
+        F.count_if(lost).alias("lost_keys"),
+    )
+    normal = parents.select(norm_key("k").alias("k")).distinct().withColumn("found", F.lit(True))
+
+    def total(c: Column) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0))
+
+    totals = per_key.join(normal, "k", "left").agg(
+        total(F.col("n")).alias("n"),
+        total(F.col("lost_n")).alias("before_n"),
+        total(F.col("lost_keys")).alias("before_keys"),
+        total(F.when(lost, F.col("n"))).alias("after_n"),
+        F.count_if(lost).alias("after_keys"),
+    )
+    rows = [
+        F.struct(
+            F.lit(edge).alias("edge"), F.lit(stage).alias("stage"), F.col("n").alias("child_rows"),
+            F.col(f"{stage}_n").alias("orphan_rows"), F.col(f"{stage}_keys").alias("orphan_keys"),
+        )
+        for stage in ("before", "after")
+    ]
+    return totals.select(F.inline(F.array(*rows)))
 
 
 def hash_parity(a: DataFrame, b: DataFrame, key: str, column: str) -> DataFrame:

@@ -9,9 +9,9 @@ from ledgerlake.operators.joins import BROADCAST_LIMIT, join_dim
 
 
 def enrich_orders(orders: DataFrame, customer: DataFrame, nation: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Orders with customer segment, nation, price band, priority rank, order month and age of the customer's account.
+    """Orders with customer segment, nation, price band, priority rank, order month and status.
 
-    Dimensions are joined by ``join_dim``: broadcast within a checked size, else salted.
+    Dimensions are joined by ``join_dim``: broadcast within a checked size, else shuffled with its hot keys salted.
     """
     located = join_dim(
         customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", F.col("c_nationkey").alias("n_nationkey")),
@@ -19,7 +19,7 @@ def enrich_orders(orders: DataFrame, customer: DataFrame, nation: DataFrame, lim
         ["n_nationkey"],
         limit=limit,
     ).drop("n_nationkey")
-    joined = join_dim(orders, located, ["o_custkey"], "left", spread_by=["o_orderkey"], limit=limit)
+    joined = join_dim(orders, located, ["o_custkey"], "left", ["o_orderkey"], limit=limit)
     price = F.col("o_totalprice").cast("decimal(18,2)")
     return joined.select(
         "o_orderkey",

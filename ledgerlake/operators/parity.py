@@ -48,11 +48,12 @@ def ordered_union(lists: Sequence[DataFrame], item: str, position: str) -> DataF
     Lists come in precedence order; within a list ``position`` orders. The result holds ``item``,
     ``list_no`` and ``position``; its order is by the latter two.
     """
-    numbered = [
-        df.select(item, F.struct(F.lit(i).alias("list_no"), F.col(position).cast("bigint").alias("position")).alias("place"))
+    firsts = [
+        df.groupBy(item).agg(F.min(F.col(position).cast("bigint")).alias("position")).withColumn("list_no", F.lit(i))
         for i, df in enumerate(lists)
     ]
-    out = numbered[0]
-    for df in numbered[1:]:
+    out = firsts[0]
+    for df in firsts[1:]:
         out = out.unionByName(df)
-    return out.groupBy(item).agg(F.min("place").alias("place")).select(item, "place.list_no", "place.position")
+    place = F.min(F.struct("list_no", "position")).alias("place")
+    return out.groupBy(item).agg(place).select(item, "place.list_no", "place.position")

@@ -145,13 +145,12 @@ def accumulator_moves(lines: DataFrame) -> DataFrame:
 def node_updates(lines: DataFrame) -> DataFrame:
     """Summed updates per application and plan node name: plan metrics joined to their updates.
 
-    Metrics and updates meet as one group-by on (app, accumulator), which adds up updates before the
-    shuffle and needs one pass over the logs.
+    Metrics and updates meet in a group-by on (app, accumulator), after a first one that adds updates up
+    before the shuffle with the node as a key (a hash aggregate; a maximum of text would sort all
+    updates). One pass over the logs.
     """
-    per_metric = (
-        accumulator_moves(lines).groupBy("app", "acc")
-        .agg(F.max("node").alias("node"), F.coalesce(F.sum("update"), F.lit(0)).alias("total"))
-    )
+    added = accumulator_moves(lines).groupBy("app", "acc", "node").agg(F.coalesce(F.sum("update"), F.lit(0)).alias("total"))
+    per_metric = added.groupBy("app", "acc").agg(F.max("node").alias("node"), F.sum("total").alias("total"))
     return per_metric.groupBy("app", "node").agg(
         F.count("acc").alias("metrics"), F.sum("total").alias("total_updates")
     )

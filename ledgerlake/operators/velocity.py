@@ -57,5 +57,10 @@ def velocity(
 
     ``df`` is read twice, so pass a stored table rather than a long plan.
     """
-    per_instant = velocity_by_instant(df, key, ts, seconds, out)
-    return df.withColumn("_t", _micros(df, ts)).join(per_instant, [key, "_t"], "left").drop("_t")
+    per_instant = velocity_by_instant(df, key, ts, seconds, out).withColumn("_known", F.lit(True))
+    t = _micros(df, ts)
+    known = F.col(key).isNotNull() & t.isNotNull()
+    # rows that match nothing get a join key of their own, so they do not meet in one task
+    place = F.when(known, t).otherwise(F.xxhash64(*df.columns))
+    rows = df.withColumns({"_t": place, "_known": known})
+    return rows.join(per_instant, [key, "_t", "_known"], "left").drop("_t", "_known")

@@ -56,7 +56,7 @@ def build_gold(
         "merchant_id", F.col("merchant_category").isin(*high_risk).alias("high_risk")
     )
     facts = join_dim(
-        with_disputes(tx, silver["chargeback_disputes"]), merchants, ["merchant_id"], "left", ["transaction_id"]
+        with_disputes(tx, silver["chargeback_disputes"]), merchants, ["merchant_id"], "left", ["transaction_id"], count_on=tx
     )
     per_device = facts.groupBy(
         "customer_id", "payment_method", "device_id", "anomaly",

@@ -81,7 +81,7 @@ def with_net_amount(tx: DataFrame) -> DataFrame:
 
 def with_distance(tx: DataFrame, customers: DataFrame) -> DataFrame:
     home = customers.select("customer_id", "home_lat", "home_lon")
-    joined = join_dim(tx, home, ["customer_id"], "left", spread_by=["transaction_id"])
+    joined = join_dim(tx, home, ["customer_id"], "left", ["transaction_id"])
     distance = haversine_km(F.col("home_lat"), F.col("home_lon"), F.col("tx_lat"), F.col("tx_lon"))
     return joined.withColumn("geo_distance_km", distance).drop("home_lat", "home_lon")
 

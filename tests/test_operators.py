@@ -93,6 +93,25 @@ def test_join_dim_salted_equals_broadcast(spark, plan_of, how):
         joins.join_dim(fact, dim, ["k"], "full")
 
 
+def test_join_dim_spreads_hot_and_missing_keys(spark):
+    fact = spark.range(30000).select(
+        "id", F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id")).cast("bigint").alias("k")
+    )
+    dim = spark.range(40000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("d"))
+    out = joins.join_dim(fact, dim, ["k"], "left", ["id"], limit=0, hot_keys=5)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 30000 and max(sizes) < 9000
+    wrong = out.where("(k is null and d is not null) or (k is not null and d is distinct from k * 2)")
+    assert wrong.isEmpty()
+
+
 def test_join_dim_asks_for_the_size(spark):
     assert 0 < joins.plan_bytes(spark.read.parquet(f"{SF}/nation.parquet")) < 10**6
     wide = spark.range(10**9).withColumn("x", F.lit("y" * 50))
