@@ -79,26 +79,29 @@ def surge_profile(df: DataFrame, feed: str, day: Column, is_clean: Column) -> Da
 
 
 def feed_inventory(feeds: Mapping[str, DataFrame], specs: Mapping[str, FeedSpec]) -> DataFrame:
-    """Per feed: raw rows, corrupt rows, surplus retry copies among the others, and clean unique rows.
+    """Per feed: files, raw rows, corrupt rows, surplus retry copies among the others, clean unique rows.
 
-    Files are counted where the frame knows its source file. Rows are reduced to one per key first.
+    Rows are counted per key, which one shuffle does; files are counted where the frame knows its
+    source file, from that column alone.
     """
     parts = []
     for name, df in feeds.items():
         spec = specs[name]
-        corrupt = ~is_sound(df, spec)
-        source = F.col("_source_file") if "_source_file" in df.columns else F.lit(None).cast("string")
-        rows = df.select(F.when(~corrupt, norm_key(spec.key)).alias("k"), corrupt.alias("bad"), source.alias("file"))
-        per_key = rows.groupBy("k", "bad", "file").agg(F.count(F.lit(1)).alias("n"))
+        sound = is_sound(df, spec)
+        per_key = df.groupBy(F.when(sound, norm_key(spec.key)).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+        has_key = F.col("k").isNotNull()  # every sound row has one
+        good = F.coalesce(F.sum(F.when(has_key, F.col("n"))), F.lit(0))
+        counts = per_key.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("raw_rows"), good.alias("good"), F.count_if(has_key).alias("clean_rows")
+        ).withColumn("files", F.lit(0).cast("bigint"))
+        if "_source_file" in df.columns:
+            files = df.select("_source_file").agg(F.count_distinct("_source_file").alias("files"))
+            counts = counts.unionByName(files, allowMissingColumns=True).agg(
+                *[F.sum(c).alias(c) for c in ("raw_rows", "good", "clean_rows", "files")]
+            )
         parts.append(
-            per_key.agg(
-                F.count_distinct("file").alias("files"),
-                F.coalesce(F.sum("n"), F.lit(0)).alias("raw_rows"),
-                F.coalesce(F.sum(F.when(F.col("bad"), F.col("n"))), F.lit(0)).alias("corrupt_rows"),
-                F.coalesce(F.sum(F.when(~F.col("bad"), F.col("n"))), F.lit(0)).alias("good"),
-                F.count_distinct("k").alias("clean_rows"),
-            ).select(
-                F.lit(name).alias("feed"), "files", "raw_rows", "corrupt_rows",
+            counts.select(
+                F.lit(name).alias("feed"), "files", "raw_rows", (F.col("raw_rows") - F.col("good")).alias("corrupt_rows"),
                 (F.col("good") - F.col("clean_rows")).alias("duplicate_rows"), "clean_rows",
             )
         )

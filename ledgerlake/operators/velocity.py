@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 
 def _micros(df: DataFrame, ts: str) -> Column:
-    if dict(df.dtypes)[ts] == "timestamp_ntz":
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
-    return F.unix_micros(ts)
+    """Microseconds since 1970. Zone-less timestamps are taken field by field: a conversion or difference
+    would go through the session's time zone, which skips and repeats hours."""
+    if dict(df.dtypes)[ts] != "timestamp_ntz":
+        return F.unix_micros(ts)
+    t = F.col(ts)
+    seconds = F.unix_date(t.cast("date")).cast("bigint") * 86400 + F.hour(t) * 3600 + F.minute(t) * 60
+    return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("bigint")
 
 
 def velocity_by_instant(df: DataFrame, key: str, ts: str, seconds: int, out: str) -> DataFrame:
@@ -32,13 +36,13 @@ def velocity_by_instant(df: DataFrame, key: str, ts: str, seconds: int, out: str
         .groupBy(key, "_t")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    bucket = F.floor(F.col("_t") / F.lit(width)).cast("bigint")
+    bucket = F.col("_t") - F.pmod(F.col("_t"), F.lit(width))  # start of the bucket
     arrival = F.struct(
         bucket.alias("b"), F.col("_t").alias("t"), F.lit(0).alias("expiry"),
         F.col("_n").alias("delta"), F.lit(0).cast("bigint").alias("leaving"),
     )
     expiry = F.struct(
-        (bucket + 1).alias("b"), (F.col("_t") + width).alias("t"), F.lit(1).alias("expiry"),
+        (bucket + width).alias("b"), (F.col("_t") + width).alias("t"), F.lit(1).alias("expiry"),
         (-F.col("_n")).alias("delta"), F.col("_n").alias("leaving"),
     )
     moves = counted.select(key, F.inline(F.array(arrival, expiry)))

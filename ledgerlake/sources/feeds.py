@@ -66,9 +66,15 @@ def write_bronze(df: DataFrame, table: str, path: str | None = None) -> DataFram
 
 
 def land_feed(df: DataFrame, path: str, feed: str, day: Column | None = None) -> None:
-    """Write a raw feed in its landing format, in dated folders when ``day`` is given."""
+    """Write a raw feed in its landing format, in dated folders when ``day`` is given.
+
+    Rows of a day are brought together first, so a task does not write a file for every day; the
+    rebalance lets a very large day use several tasks.
+    """
     spec = SPECS[feed]
-    out = df.select(*spec.columns, *([day.alias("day")] if day is not None else []))
+    out = df.select(*spec.columns)
+    if day is not None:
+        out = df.select(*spec.columns, day.alias("day")).hint("rebalance", "day")
     writer = out.write.format(spec.file_format)
     if spec.file_format == "csv":
         writer = writer.options(header="true", quote='"', escape='"', quoteAll="true", nullValue="", emptyValue='""')

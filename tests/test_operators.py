@@ -49,6 +49,18 @@ def test_velocity_on_zoned_timestamps_and_before_1970(spark):
         assert [r.v for r in velocity(df, "k", "t", 3600, "v").orderBy("id").collect()] == [1, 2, 3]
 
 
+def test_velocity_ignores_session_zone_and_keeps_microseconds(spark):
+    first = datetime(2024, 3, 10, 1, 30, 0, 1)
+    rows = [(1, first), (2, first + timedelta(hours=1)), (3, first + timedelta(hours=2, microseconds=1)), (4, first + timedelta(hours=3))]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(i, "a", t) for i, t in rows], "id int, k string, t timestamp_ntz")
+        assert [r.v for r in velocity(df, "k", "t", 3600, "v").orderBy("id").collect()] == [1, 2, 1, 2]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_velocity_counts_before_the_shuffle(spark, plan_of):
     df = spark.createDataFrame(skewed_events(), "id int, k string, t timestamp_ntz")
     text = plan_of(velocity(df, "k", "t", 3600, "v"))

@@ -47,6 +47,12 @@ def test_ingest_keeps_every_row(spark, tmp_path):
         raw = raw_feed(spark, SF, feed)
         assert table.select(raw.columns).exceptAll(raw).isEmpty() and raw.exceptAll(table.select(raw.columns)).isEmpty()
         assert table.where("_ingestion_timestamp is null or _source_file is null").isEmpty()
+    from ledgerlake.operators.profile import feed_inventory
+
+    got = {r.feed: r for r in feed_inventory(bronze, SPECS).collect()}
+    for feed, table in bronze.items():
+        assert got[feed].files == table.select("_source_file").distinct().count() > 0
+        assert got[feed].raw_rows == table.count() == got[feed].corrupt_rows + got[feed].duplicate_rows + got[feed].clean_rows
     assert feeds.database_name("fraud", "bronze", "test") == "fraud_bronze_test"
     spark.sql("DROP DATABASE fraud_bronze_test CASCADE")
 
