@@ -225,8 +225,8 @@ TWINS["s8_scan_json_docs"] = (
     f"case when event_id % 31 <> 0 and event_id % 37 <> 0 then {dl.JOB_STATE} else 'UNKNOWN' end as state from events"
 )
 TWINS["s9_output_inventory"] = (
-    "select * from (values (0, 'orders_enriched_fixed', 0, false), (1, 'orders_enriched_nqe', 4, true), "
-    "(2, 'orders_enriched', 2, false)) t(position, prefix, files, chosen)"
+    "select position, prefix, cast(files as bigint) as files, chosen from (values (0, 'orders_enriched_fixed', 0, false), "
+    "(1, 'orders_enriched_nqe', 4, true), (2, 'orders_enriched', 2, false)) t(position, prefix, files, chosen)"
 )
 TWINS["s10_manifest_check"] = union([f"select '{f}' as feed, true as present, true as ok" for f in SPECS])
 TWINS["s11_register_external"] = with_("mer", "select * from mer")
@@ -234,13 +234,13 @@ TWINS["s12_write_clustered"] = with_("gold", "select * from gold")
 _O = "select o_orderkey, o_orderstatus, cast(o_totalprice as decimal(18,2)) as price, 1 as version from orders"
 TWINS["s13_upsert"] = (
     f"with b as ({_O}), a as (select * from b union all select o_orderkey, o_orderstatus, cast(price * 2 as decimal(18,2)), 2 from b "
-    "where o_orderkey % 10 = 0 union all select o_orderkey, 'X', price, 0 from b where o_orderkey % 15 = 0 "
-    "union all select o_orderkey + 1000000000, o_orderstatus, price, version from b where o_orderkey % 100 = 0) "
+    "where o_orderstatus = 'O' union all select o_orderkey, 'X', price, 0 from b where price < 100000 "
+    "union all select o_orderkey + 1000000000, o_orderstatus, price, version from b where price >= 400000) "
     "select * from a qualify row_number() over (partition by o_orderkey order by version desc) = 1"
 )
 TWINS["s14_erase"] = with_(
     "cus",
-    "select * from cus where customer_id not in (select 'CUST-' || lpad(cast(c_custkey as varchar), 7, '0') from customer where c_custkey % 17 = 0)",
+    "select * from cus where customer_id not in (select 'CUST-' || lpad(cast(c_custkey as varchar), 7, '0') from customer where c_acctbal < 0)",
 )
 # --- cleansing ---------------------------------------------------------------------------------------
 TWINS["p1_norm_key"] = (
@@ -290,7 +290,7 @@ _PLAN_LINE = (
     "event_id % 8 in (0, 1)"
 )
 TWINS["p17_plan_events"] = (
-    f"select app, position, substring(value, 1, 4000) as event from (select *, row_number() over (partition by app order by event_id) as position "
+    f"select app, cast(position as integer) as position, substring(value, 1, 4000) as event from (select *, row_number() over (partition by app order by event_id) as position "
     f"from {_LOG} where {_PLAN_LINE}) where position <= 25"
 )
 TWINS["p18_filter_jobs"] = (
@@ -516,8 +516,8 @@ TWINS["a19_duplicate_report"] = union([
     for f, s in SPECS.items()
 ])
 TWINS["a20_feed_inventory"] = union([
-    f"select '{f}' as feed, 0 as files, count(*) as raw_rows, {big('count_if(bad)')} as corrupt_rows, "
-    f"count_if(not bad) - count(distinct case when not bad then k end) as duplicate_rows, count(distinct case when not bad then k end) as clean_rows "
+    f"select '{f}' as feed, cast(0 as bigint) as files, count(*) as raw_rows, {big('count_if(bad)')} as corrupt_rows, "
+    f"{big('count_if(not bad) - count(distinct case when not bad then k end)')} as duplicate_rows, count(distinct case when not bad then k end) as clean_rows "
     f"from (select {key(s.key)} as k, {cls(f)} not in ('N4','CLEAN') as bad from {raw(f)})"
     for f, s in SPECS.items()
 ])
@@ -624,8 +624,9 @@ _RUNS = union([
 ])
 TWINS["a29_gate_summary"] = with_(
     "gold",
-    "select run_id, total + case when run_id <> 'run-2' then 1 else 0 end as required_total, passed + case when run_id <> 'run-2' then 1 else 0 end as required_passed, "
-    "total - passed as required_failed, 1 as advisories, round(total * 0.25::double + 0.5 + 0.1, 2) as total_elapsed, total = passed as gate_passed "
+    f"select run_id, {big("total + case when run_id <> 'run-2' then 1 else 0 end")} as required_total, "
+    f"{big("passed + case when run_id <> 'run-2' then 1 else 0 end")} as required_passed, {big('total - passed')} as required_failed, "
+    "cast(1 as bigint) as advisories, round(total * 0.25::double + 0.5 + 0.1, 2) as total_elapsed, total = passed as gate_passed "
     f"from ({_RUNS})",
 )
 # --- windows, sorts, sets ----------------------------------------------------------------------------
@@ -651,14 +652,16 @@ TWINS["w4_latest_job"] = union([
 TWINS["l1_ordered_reconcile"] = with_("tx dis", f"select payment_method, silver_tx_count, silver_gross_usd from {_SR} order by 1")
 TWINS["l2_spot_check"] = with_(
     "cus",
-    "select 'CUST-' || lpad(cast(c_custkey as varchar), 7, '0') as customer_id, c_custkey % 250 <> 1 and x.customer_id is not null as masked_ssn_ok, "
-    "x.customer_id is not null as masked_email_ok from customer left join cus x on x.customer_id = 'CUST-' || lpad(cast(c_custkey as varchar), 7, '0') where c_custkey % 50 = 1",
+    "select 'CUST-' || lpad(cast(c_custkey as varchar), 7, '0') as customer_id, c_mktsegment <> 'BUILDING' and x.customer_id is not null as masked_ssn_ok, "
+    "x.customer_id is not null as masked_email_ok from customer left join cus x on x.customer_id = 'CUST-' || lpad(cast(c_custkey as varchar), 7, '0')",
 )
 TWINS["l3_recent_jobs"] = f"select * from {_TOP}"
+_lost, _twice = "o_orderstatus = 'P' and o_orderpriority = '5-LOW'", "o_totalprice >= 450000 and o_orderstatus <> 'P'"
 TWINS["u1_parity"] = (
-    "select 'refactored' as variant, count(*) as left_rows, count(*) as right_rows, 0 as only_left, 0 as only_right, true as equal from orders union all "
-    "select 'faulty' as variant, count(*) as left_rows, count_if(o_orderkey % 500 <> 0) + count_if(o_orderkey % 1000 = 1) as right_rows, "
-    "count_if(o_orderkey % 500 = 0) as only_left, count_if(o_orderkey % 1000 = 1) as only_right, false as equal from orders"
+    "select 'refactored' as variant, count(*) as left_rows, count(*) as right_rows, cast(0 as bigint) as only_left, cast(0 as bigint) as only_right, "
+    "true as equal from orders union all "
+    f"select 'faulty' as variant, count(*) as left_rows, {big(f'count(*) - count_if({_lost}) + count_if({_twice})')} as right_rows, "
+    f"{big(f'count_if({_lost})')} as only_left, {big(f'count_if({_twice})')} as only_right, count_if(({_lost}) or ({_twice})) = 0 as equal from orders"
 )
 TWINS["u2_missing"] = with_(
     "tx", "select 'TX-' || lpad(cast(event_id as varchar), 9, '0') as transaction_id from events except all select transaction_id from tx"
@@ -669,13 +672,13 @@ TWINS["u3_ordered_union"] = (
 )
 TWINS["q2_promotion_gate"] = with_(
     "gold",
-    "select 'complete' as build, count(distinct payment_method) as methods, 0 as failing_methods, true as promote from gold union all "
-    "select 'row lost' as build, count(distinct payment_method) as methods, case when count_if(payment_method = 1 and customer_id = 'CUST-0000001') > 0 then 1 else 0 end as failing_methods, "
+    "select 'complete' as build, count(distinct payment_method) as methods, cast(0 as bigint) as failing_methods, true as promote from gold union all "
+    "select 'row lost' as build, count(distinct payment_method) as methods, cast(case when count_if(payment_method = 1 and customer_id = 'CUST-0000001') > 0 then 1 else 0 end as bigint) as failing_methods, "
     "count_if(payment_method = 1 and customer_id = 'CUST-0000001') = 0 as promote from gold",
 )
 _REL = {CUS: "cus", MER: "mer", DEV: "dev", PAY: "stx", DIS: "dis"}
 TWINS["q3_layer_progression"] = with_("gold", union(
-    [f"select '{f}' as table_name, 'raw' as layer, count(*) as row_count, {len(s.columns)} as column_count from {raw(f)}" for f, s in SPECS.items()]
-    + [f"select '{f}' as table_name, 'silver' as layer, count(*) as row_count, {len(s.columns) + (3 if f == PAY else 0)} as column_count from {_REL[f]}" for f, s in SPECS.items()]
-    + ["select 'gold_fraud_features' as table_name, 'gold' as layer, count(*) as row_count, 13 as column_count from gold"]
+    [f"select '{f}' as table_name, 'raw' as layer, count(*) as row_count, cast({len(s.columns)} as bigint) as column_count from {raw(f)}" for f, s in SPECS.items()]
+    + [f"select '{f}' as table_name, 'silver' as layer, count(*) as row_count, cast({len(s.columns) + (3 if f == PAY else 0)} as bigint) as column_count from {_REL[f]}" for f, s in SPECS.items()]
+    + ["select 'gold_fraud_features' as table_name, 'gold' as layer, count(*) as row_count, cast(13 as bigint) as column_count from gold"]
 ))

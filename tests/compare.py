@@ -45,6 +45,17 @@ def rows(columns: list[str], data) -> list[tuple]:
     return sorted(tuple(plain(r[i]) for i in order) for r in data)
 
 
+SQL_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_differences(df, con, sql: str) -> dict:
+    theirs = {r[0]: r[1] for r in con.execute("describe " + sql).fetchall()}
+    return {c: (t, theirs.get(c)) for c, t in df.dtypes if SQL_TYPES.get(t, t.upper()) != theirs.get(c)}
+
+
 def check(spark, con, name: str, sf_dir: str) -> dict:
     from __spark_entry__ import oracle_sql, queries
 
@@ -58,8 +69,9 @@ def check(spark, con, name: str, sf_dir: str) -> dict:
     cur = con.execute(sql)
     names = [d[0] for d in cur.description]
     right = rows(names, cur.fetchall())
-    ok = sorted(names) == sorted(df.columns) and left == right
-    out = {"name": name, "ok": ok, "rows": len(left), "twin_rows": len(right), "seconds": seconds, "twin": True}
+    types = type_differences(df, con, sql)
+    ok = sorted(names) == sorted(df.columns) and left == right and not types
+    out = {"name": name, "ok": ok, "types": types, "rows": len(left), "twin_rows": len(right), "seconds": seconds, "twin": True}
     if not ok:
         out["columns"] = (sorted(df.columns), sorted(names))
         out["left_only"] = sorted(set(left) - set(right))[:3]
