@@ -82,7 +82,10 @@ def dq_scan(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def check_results(scan: DataFrame, run_id: Column | str, table: str, elapsed: Column | float = 0.0) -> DataFrame:
     """Quality-scan rows as check results (``run_id, table_name, rule, required, exit_code, elapsed``)."""
-    lit = lambda v: v if isinstance(v, Column) else F.lit(v)
+
+    def lit(v) -> Column:
+        return v if isinstance(v, Column) else F.lit(v)
+
     return scan.select(
         lit(run_id).alias("run_id"), F.lit(table).alias("table_name"), "rule", F.lit(True).alias("required"),
         F.when(F.col("ok"), EXIT_PASS).otherwise(EXIT_EVAL_FAIL).alias("exit_code"), lit(elapsed).alias("elapsed"),

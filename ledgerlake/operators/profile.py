@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.cleanse import MEASURE, NUMBER_UNITS, TS_FORMATS, TsFormat, norm_key, parse_number, ts_format_name
+from ledgerlake.functions.cleanse import NUMBER_UNITS, TS_FORMATS, TsFormat, norm_key, parse_number, ts_format_name
 from ledgerlake.functions.privacy import is_digest
 from ledgerlake.operators.dedup import dedup_latest
 from ledgerlake.operators.hygiene import is_sound, null_class_expr

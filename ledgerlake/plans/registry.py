@@ -17,7 +17,7 @@ from ledgerlake.functions import privacy
 from ledgerlake.operators import dedup, gates, hygiene, jobs, joins, metrics, orders, parity, plan_logs, profile
 from ledgerlake.operators.velocity import velocity
 from ledgerlake.plans import silver as sv
-from ledgerlake.plans.gold import build_gold, disputes_by_tx, with_disputes
+from ledgerlake.plans.gold import build_gold, disputes_by_tx
 from ledgerlake.plans.reconcile import gold_rollup, promotion_gate, reconcile, reconcile_rollups, silver_rollup
 from ledgerlake.plans.specs import EDGES, SPECS
 from ledgerlake.session import new_path, stage

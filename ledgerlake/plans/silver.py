@@ -117,7 +117,10 @@ def build_silver(
 
     session = raw["customers_crm"].sparkSession
     with ThreadPoolExecutor(max_workers=4) as pool:
-        submit = lambda f, *args: pool.submit(inheritable_thread_target(session)(f), *args)
+
+        def submit(f: Callable, *args):
+            return pool.submit(inheritable_thread_target(session)(f), *args)
+
         both = submit(customers_then_transactions)
         merchants = submit(write, merchants_silver, "merchants_stores")
         devices = submit(write, devices_silver, "device_auth_logs")

@@ -23,6 +23,7 @@ class FeedSpec:
     codes: tuple[str, ...] = ()
     pii: tuple[str, ...] = ()
     file_format: str = "json"
+    dated: bool = False  # lands in dated folders
 
     @property
     def keys(self) -> tuple[str, ...]:
@@ -80,6 +81,7 @@ SPECS: dict[str, FeedSpec] = {
             optional=("user_agent", "mfa_method"),
             roles={"auth_latency_ms": MEASURE, "risk_score_raw": MEASURE},
             categories=("auth_event",),
+            dated=True,
         ),
         FeedSpec(
             "payment_transactions",
@@ -97,6 +99,7 @@ SPECS: dict[str, FeedSpec] = {
             categories=("tx_status",),
             codes=("payment_method",),
             pii=("ssn",),
+            dated=True,
         ),
         FeedSpec(
             "chargeback_disputes",
@@ -111,6 +114,7 @@ SPECS: dict[str, FeedSpec] = {
             optional=("customer_statement", "agent_notes"),
             roles={"dispute_amount": CURRENCY, "penalty_fee_usd": CURRENCY},
             categories=("reason_code",),
+            dated=True,
         ),
     )
 }

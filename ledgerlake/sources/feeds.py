@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -85,11 +84,13 @@ def land_feed(df: DataFrame, path: str, feed: str, day: Column | None = None) ->
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """``path`` and ``length`` of all files below a folder; contents are not read."""
+    """``path``, ``name`` (the path below ``root``) and ``length`` of all files below a folder; contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(root).select("path", "length")
+    base = root.rstrip("/") + "/"
+    name = F.expr("substring(path, instr(path, _base) + length(_base))")
+    return reader.load(root).select("path", "length", F.lit(base).alias("_base")).select("path", name.alias("name"), "length")
 
 
 def output_inventory(spark: SparkSession, root: str, prefixes: Sequence[str]) -> DataFrame:
@@ -98,7 +99,7 @@ def output_inventory(spark: SparkSession, root: str, prefixes: Sequence[str]) ->
     ``chosen`` marks the first folder that holds any. Folders that do not exist count 0.
     """
     found = list_files(spark, root, "part-*.parquet").select(
-        F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("prefix"), "length"
+        F.regexp_extract("name", r"^([^/]+)/[^/]+$", 1).alias("prefix"), "length"
     )
     per_prefix = found.groupBy("prefix").agg(
         F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
@@ -117,28 +118,26 @@ def manifest_check(
     feeds: Sequence[str] = LANDING_FEEDS,
     min_count: int = LANDING_MIN_OBJECTS,
 ) -> DataFrame:
-    """One row per expected feed: its objects, whether it is present, and the verdict on the whole zone."""
-    objects = list_files(spark, root)
-    names = "|".join(re.escape(f) for f in feeds)
-    per_feed = objects.groupBy(F.regexp_extract("path", rf"/({names})/", 1).alias("feed")).agg(
-        F.count(F.lit(1)).alias("objects")
-    )
-    expected = spark.createDataFrame([(f,) for f in feeds], "feed string")
-    # objects outside the expected feeds still count towards the total
-    listed = per_feed.join(expected.withColumn("expected", F.lit(True)), "feed", "full")
-    total = listed.agg(
-        F.coalesce(F.sum("objects"), F.lit(0)).alias("total_objects"),
-        F.count_if(F.col("expected") & F.col("objects").isNull()).alias("missing_feeds"),
-    )
-    verdict = total.select(
-        "total_objects",
-        ((F.col("total_objects") >= min_count) & (F.col("missing_feeds") == 0)).alias("ok"),
-        F.lit(True).alias("expected"),
-    )
-    return listed.where("expected").join(verdict, "expected").select(
-        "feed", F.coalesce("objects", F.lit(0)).alias("objects"), F.col("objects").isNotNull().alias("present"),
-        "total_objects", "ok",
+    """One row per expected feed: its objects, whether it is present, and the verdict on the whole zone.
+
+    An object belongs to a feed when the feed's folder is on its path below ``root``; objects outside
+    the expected feeds count towards the total.
+    """
+    below = F.concat(F.lit("/"), F.col("name"))
+    counts = list_files(spark, root).agg(
+        F.count(F.lit(1)).alias("total"), *[F.count_if(below.contains(f"/{f}/")).alias(f"n_{i}") for i, f in enumerate(feeds)]
     )
+    ok = F.col("total") >= min_count
+    for i in range(len(feeds)):
+        ok = ok & (F.col(f"n_{i}") > 0)
+    rows = [
+        F.struct(
+            F.lit(f).alias("feed"), F.col(f"n_{i}").alias("objects"), (F.col(f"n_{i}") > 0).alias("present"),
+            F.col("total").alias("total_objects"), ok.alias("ok"),
+        )
+        for i, f in enumerate(feeds)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def register_external(spark: SparkSession, name: str, path: str) -> DataFrame:
@@ -171,11 +170,12 @@ def ingest(
 ) -> dict[str, DataFrame]:
     """Landing zone to Bronze: scan each feed folder, add audit columns, append all rows.
 
-    ``feeds`` maps feed names to folders below ``root``.
+    ``feeds`` maps feed names to folders below ``root``. Event feeds keep the date of their folder.
     """
     db = database_name(unit, "bronze", env)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-    return {
-        feed: write_bronze(add_audit(scan_feed(spark, f"{root}/{folder}", feed)), f"{db}.{feed}_bronze")
-        for feed, folder in feeds.items()
-    }
+    out = {}
+    for feed, folder in feeds.items():
+        scan = scan_dated if SPECS[feed].dated else scan_feed
+        out[feed] = write_bronze(add_audit(scan(spark, f"{root}/{folder}", feed)), f"{db}.{feed}_bronze")
+    return out

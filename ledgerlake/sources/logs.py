@@ -59,14 +59,13 @@ def qualification_path(spark: SparkSession, root: str, patterns: Sequence[str] =
     A ``.tsv`` folder of part files counts as one table.
     """
     base = root.rstrip("/") + "/"
-    name = F.expr("substring(path, instr(path, root) + length(root))")
-    unit = F.regexp_extract(name, r"^(.*?\.tsv)(?:/.*)?$", 1)
+    unit = F.regexp_extract("name", r"^(.*?\.tsv)(?:/.*)?$", 1)
     rank = F.lit(None).cast("int")
     for i, p in reversed(list(enumerate(patterns))):
         rank = F.when(F.col("unit").rlike(p), F.lit(i)).otherwise(rank)
     best = (
-        list_files(spark, root).where("length > 0").withColumn("root", F.lit(base))
-        .select(unit.alias("unit")).select("unit", rank.alias("rank")).where("rank is not null")
+        list_files(spark, root).where("length > 0").select(unit.alias("unit"))
+        .select("unit", rank.alias("rank")).where("rank is not null")
         .agg(F.min(F.struct("rank", "unit")).alias("best")).first()
     )
     return base + best["best"]["unit"] if best["best"] else None
