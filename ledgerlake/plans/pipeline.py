@@ -14,7 +14,7 @@ from ledgerlake.plans.reconcile import promotion_gate, reconcile
 from ledgerlake.plans.silver import build_silver
 from ledgerlake.plans.specs import SPECS
 from ledgerlake.session import new_path, stage
-from ledgerlake.sources.feeds import database_name, ingest, register_external, write_clustered
+from ledgerlake.sources.feeds import database_name, ingest, register_external, replace_table, write_clustered
 
 GOLD_TABLE = "gold_fraud_features"
 CLUSTERING = ("customer_id", "loyalty_tier")
@@ -30,18 +30,11 @@ class Run(NamedTuple):
 
 
 def table_store(spark: SparkSession, database: str) -> Callable[[DataFrame, str], DataFrame]:
-    """Store for ``build_silver``: tables of the tier in their database, intermediate results as staged files.
-
-    Each run writes new files and then points the table at them, so readers never see half a table.
-    """
+    """Store for ``build_silver``: tables of the tier in their database, intermediate results as staged files."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
     def store(df: DataFrame, name: str) -> DataFrame:
-        if not name.endswith("_silver"):
-            return stage(df, name)
-        path = new_path(spark, name)
-        df.write.parquet(path)
-        return register_external(spark, f"{database}.{name}", path)
+        return replace_table(df, f"{database}.{name}") if name.endswith("_silver") else stage(df, name)
 
     return store
 

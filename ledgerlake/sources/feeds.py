@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ledgerlake.operators.hygiene import CORRUPT
 from ledgerlake.plans.specs import SPECS, FeedSpec
+from ledgerlake.session import new_path
 
 INGESTED_AT = "_ingestion_timestamp"
 SOURCE_FILE = "_source_file"
@@ -147,6 +148,17 @@ def register_external(spark: SparkSession, name: str, path: str) -> DataFrame:
     return spark.table(name)
 
 
+def replace_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to new files and point the table at them.
+
+    ``df`` may read the table itself, as an upsert or an erasure does; readers see the old files or the
+    new ones, never a mixture.
+    """
+    path = new_path(df.sparkSession, name.rsplit(".", 1)[-1])
+    df.write.parquet(path)
+    return register_external(df.sparkSession, name, path)
+
+
 def write_clustered(df: DataFrame, path: str, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Write range-clustered Parquet, so that min/max statistics skip files on ``keys``.
 

@@ -83,6 +83,17 @@ def test_inventory_manifest_and_external_table(spark, tmp_path):
     assert os.path.exists(f"{root}/b")
 
 
+def test_erase_and_upsert_a_stored_table(spark):
+    from ledgerlake.operators.dedup import erase, upsert
+
+    base = spark.createDataFrame([(i, "old", 1) for i in range(5)], "k int, v string, ver int")
+    table = feeds.replace_table(base, "stored")
+    table = feeds.replace_table(erase(table, spark.createDataFrame([(3,)], "k int")), "stored")
+    feeds.replace_table(upsert(table, spark.createDataFrame([(0, "new", 2)], "k int, v string, ver int"), ["k"], ["ver"]), "stored")
+    assert {r.k: r.v for r in spark.table("stored").collect()} == {0: "new", 1: "old", 2: "old", 4: "old"}
+    spark.sql("DROP TABLE stored")
+
+
 def test_clustered_write_cuts_a_hot_key(spark, tmp_path):
     df = spark.range(20000).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 100).alias("k"), "id")
     out = feeds.write_clustered(df, str(tmp_path / "t"), ["k"], partitions=8)
