@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import table
+from ledgerlake.llm.common import remainder, table
 from ledgerlake.llm.mixing import mix_sources
 from ledgerlake.llm.neardup import near_duplicates
 from ledgerlake.llm.sharding import shard_documents
+from ledgerlake.llm.toxicity import toxicity
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +22,11 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), 16).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
@@ -28,7 +34,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_mix_sources, op5_minhash_near_dedup, op10_sharding)
+    f.__name__: f for f in (op3_mix_sources, op5_minhash_near_dedup, op7_toxicity, op10_sharding)
 }
 
 #: SQL of the queries that SQL can express.
