@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.session import stage
 
-ROWS_PER_PART = 50_000
+ROWS_PER_PART = 4_096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.bpe import read_ranks, token_digests
 from ledgerlake.llm.common import remainder, table
 from ledgerlake.llm.mixing import mix_sources
 from ledgerlake.llm.neardup import near_duplicates
@@ -22,6 +23,13 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return token_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out)
@@ -34,7 +42,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_mix_sources, op5_minhash_near_dedup, op7_toxicity, op10_sharding)
+    f.__name__: f for f in (op3_mix_sources, op5_minhash_near_dedup, op6_byte_bpe, op7_toxicity, op10_sharding)
 }
 
 #: SQL of the queries that SQL can express.
