@@ -11,6 +11,7 @@ from ledgerlake.llm.bpe import read_ranks, token_digests
 from ledgerlake.llm.common import remainder, table
 from ledgerlake.llm.mixing import mix_sources
 from ledgerlake.llm.neardup import near_duplicates
+from ledgerlake.llm.pii import KINDS, pseudonymise
 from ledgerlake.llm.sharding import shard_documents
 from ledgerlake.llm.toxicity import toxicity
 
@@ -35,6 +36,16 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out)
 
 
+#: In production a secret from the job's configuration; fixed here, so that results can be compared.
+PSEUDONYM_KEY = "ledgerlake-query-key"
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hidden = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
+    counts = [F.size(F.filter("pii_kinds", lambda x, k=k: x == k)).alias(f"n_{k}") for k in KINDS]
+    return hidden.select("doc_id", "text", F.size("pii_kinds").alias("n_found"), *counts)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), 16).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
@@ -42,7 +53,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_mix_sources, op5_minhash_near_dedup, op6_byte_bpe, op7_toxicity, op10_sharding)
+    f.__name__: f for f in (op3_mix_sources, op5_minhash_near_dedup, op6_byte_bpe, op7_toxicity, op9_pii, op10_sharding)
 }
 
 #: SQL of the queries that SQL can express.
