@@ -15,19 +15,16 @@ from ledgerlake.llm.mixing import mixed_documents
 from ledgerlake.llm.neardup import near_duplicates
 from ledgerlake.llm.pii import pseudonymise
 from ledgerlake.llm.queries import PSEUDONYM_KEY
-from ledgerlake.llm.toxicity import score, train
+from ledgerlake.llm.toxicity import train, without_toxic
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model predicts as toxic go. It learns from labelled rows that are not held out.
 
-    Rows that repeat an id are judged by all of its texts: one toxic text rejects the id. Rows without an
-    id cannot be told apart and stay only if none of them is toxic.
+    Every row is judged by its own text.
     """
     held_out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
-    model = train(docs, table(spark, sf_dir, "labels"), ~held_out)
-    toxic = score(docs, model).filter("predicted = 1").select(F.col("doc_id").alias("toxic_id")).distinct()
-    return docs.join(toxic, docs.doc_id.eqNullSafe(toxic.toxic_id), "left_anti")
+    return without_toxic(docs, train(docs, table(spark, sf_dir, "labels"), ~held_out))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerlake.session import stage
 
@@ -40,7 +41,7 @@ def hex_bucket(digest: Column, buckets: Column) -> Column:
     return F.floor(share * buckets / F.lit(4294967296)).cast("long")
 
 
-def on_workers(df: DataFrame, function, schema: str) -> DataFrame:
+def on_workers(df: DataFrame, function, schema: str | StructType) -> DataFrame:
     """``df.mapInArrow`` with this package on the workers' path.
 
     Workers on other machines get the package from ``--py-files`` or an installation; those of a local

@@ -134,6 +134,14 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, most: int = SAMPLE
     return Weights(got.bias, np.frombuffer(got.places, dtype=np.int64), np.frombuffer(got.weights))
 
 
+def _probability(batch: pa.RecordBatch, dense: np.ndarray, bias: float) -> np.ndarray:
+    doc, place = features(batch)
+    some = dense[place] != 0
+    pairs = np.unique(doc[some].astype(np.int64) << BITS | place[some])
+    total = np.bincount(pairs >> BITS, weights=dense[pairs & ((1 << BITS) - 1)], minlength=batch.num_rows)
+    return 1 / (1 + np.exp(-np.clip(bias + total, -30, 30)))
+
+
 def score(docs: DataFrame, model: Weights, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, score, predicted`` for every row of ``docs``. Null and empty texts get the bias alone."""
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,11 +149,7 @@ def score(docs: DataFrame, model: Weights, threshold: float = THRESHOLD) -> Data
         dense[model.places] = model.values
         for batch in batches:
             for part in slices(batch):
-                doc, place = features(part)
-                some = dense[place] != 0
-                pairs = np.unique(doc[some].astype(np.int64) << BITS | place[some])
-                total = np.bincount(pairs >> BITS, weights=dense[pairs & ((1 << BITS) - 1)], minlength=part.num_rows)
-                p = 1 / (1 + np.exp(-np.clip(model.bias + total, -30, 30)))
+                p = _probability(part, dense, model.bias)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(part.schema.get_field_index("doc_id")), pa.array(p), pa.array((p >= threshold).astype(np.int32))],
                     names=["doc_id", "score", "predicted"],
@@ -154,6 +158,18 @@ def score(docs: DataFrame, model: Weights, threshold: float = THRESHOLD) -> Data
     return on_workers(docs.select("doc_id", "text"), scored, "doc_id long, score double, predicted int")
 
 
+def without_toxic(docs: DataFrame, model: Weights, threshold: float = THRESHOLD) -> DataFrame:
+    """Rows of ``docs`` that the model does not predict as toxic, all columns as they are. Nothing is shuffled."""
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dense = np.zeros(1 << BITS)
+        dense[model.places] = model.values
+        for batch in batches:
+            for part in slices(batch):
+                yield part.filter(pa.array(_probability(part, dense, model.bias) < threshold))
+
+    return on_workers(docs, kept, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, held_out, score, predicted``: trained on labelled rows that are not ``held_out``, scoring all rows."""
     model = train(docs, labels, ~held_out)
