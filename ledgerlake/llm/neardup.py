@@ -5,11 +5,14 @@ its signature; the distance of two signatures is the number of slots that differ
 into six chunks. By the pigeonhole principle two signatures at a distance of at most 17 differ by at most
 two slots in one chunk, so every chunk is written once for each pair of its slots left out: equal keys
 then give all pairs within the distance. Documents with a similarity of 0.75 differ in 8 slots on
-average and in more than 17 with a chance below 0.0003.
+average and in more than 17 with a chance below 0.0003. A second signature, 4 bits of 256 minima, sorts
+out pairs before sets are read: at 0.75 it differs in 128 bits, and in more than 192 with a chance of about 0.0001.
 
 Equal sets are merged before. A key's documents are not paired with each other: all meet the least of
-them, then, if they are not yet one component, the greatest. Only what still lies in different components
-is compared pair by pair, exactly, within the distance. Links are confirmed on full sets.
+them, then, if they are not yet one component, the greatest. What still lies in different components is
+compared exactly, but only pairs that can be similar: shingles that no other candidate has bound a document's
+similarity to any other, and signatures must be near. In a group of copies that were edited ever more heavily
+this leaves few pairs of the square. Links are confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -32,6 +35,14 @@ SLOTS = 32
 CHUNKS = 6
 RADIUS = 17
 LANES = SLOTS // 4  # four 16-bit slots in a long
+SIEVE = 256
+SIEVE_RADIUS = 192
+NIBBLES = SIEVE // 16  # sixteen 4-bit slots in a long
+_FACTORS = np.random.default_rng(5).integers(1, 2**62, SIEVE, dtype=np.uint64) * np.uint64(4) + np.uint64(3)
+
+
+_LANES = [f"l{k}" for k in range(LANES)]
+_NIBBLES = [f"n{k}" for k in range(NIBBLES)]
 
 
 def chunk_plan(slots: int = SLOTS, chunks: int = CHUNKS, radius: int = RADIUS) -> list[tuple[list[int], int]]:
@@ -75,7 +86,7 @@ def _long(x: np.ndarray) -> pa.Array:
 
 
 def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``doc_id, text`` -> ``doc_id, n_shingles, set_a, set_b, l0..``: size, 128-bit digest and signature of each set."""
+    """``doc_id, text`` -> ``doc_id, n_shingles, set_a, set_b, l0.., n0..``: size, 128-bit digest and signatures of each set."""
     for batch in batches:
         for part in slices(batch):
             flat, ends = _sets(part)
@@ -83,16 +94,19 @@ def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             some = n > 0
             at = ends[:-1][some]
             digest = np.zeros((2, len(n)), dtype=np.uint64)
-            lanes = np.zeros((LANES, len(n)), dtype=np.uint64)
+            lanes, sieve = np.zeros((LANES, len(n)), dtype=np.uint64), np.zeros((NIBBLES, len(n)), dtype=np.uint64)
             if len(at):
                 for k in range(2):
                     digest[k, some] = np.add.reduceat(mix(flat, 1000 + k), at)
                 for k in range(SLOTS):
                     least = np.minimum.reduceat(mix(flat, 1 + k), at) & np.uint64(0xFFFF)
                     lanes[k // 4, some] |= least << np.uint64(16 * (k % 4))
+                for k in range(SIEVE):
+                    least = mix(np.minimum.reduceat(flat * _FACTORS[k], at)) & np.uint64(0xF)
+                    sieve[k // 16, some] |= least << np.uint64(4 * (k % 16))
             yield pa.RecordBatch.from_arrays(
-                [part.column(part.schema.get_field_index("doc_id")), pa.array(n), _long(digest[0]), _long(digest[1]), *map(_long, lanes)],
-                names=["doc_id", "n_shingles", "set_a", "set_b", *(f"l{k}" for k in range(LANES))],
+                [part.column(part.schema.get_field_index("doc_id")), pa.array(n), _long(digest[0]), _long(digest[1]), *map(_long, lanes), *map(_long, sieve)],
+                names=["doc_id", "n_shingles", "set_a", "set_b", *_LANES, *_NIBBLES],
             )
 
 
@@ -127,96 +141,124 @@ def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _confirm(percent: int):
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = {f: batch.column(k) for k, f in enumerate(batch.schema.names)}
-            good = np.zeros(batch.num_rows, dtype=bool)
-            for k, (a, b) in enumerate(zip(column["shingles"], column["other"])):
-                x, y = np.frombuffer(a.as_buffer(), dtype=np.uint64), np.frombuffer(b.as_buffer(), dtype=np.uint64)
-                low, high = sorted((len(x), len(y)))
-                if low * 100 < percent * high:
-                    continue
-                at = np.searchsorted(x, y)
-                both = int(np.count_nonzero(x[np.minimum(at, len(x) - 1)] == y))
-                good[k] = both * 100 >= percent * (len(x) + len(y) - both)
-            yield pa.RecordBatch.from_arrays([column["a"], column["b"]], names=["a", "b"]).filter(pa.array(good))
+def single_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``doc_id, shingles`` -> one row ``doc_id, shingle`` for each."""
+    for batch in batches:
+        sets = [np.frombuffer(x.as_buffer(), dtype=np.int64) for x in batch.column(1)]
+        for at in range(0, len(sets), 256):
+            part = sets[at : at + 256]
+            ids = np.repeat(np.asarray(batch.column(0))[at : at + 256], [len(x) for x in part])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(part))], names=["doc_id", "shingle"])
 
-    return confirm
+
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``a, b, shingles, other`` -> ``a, b, n_a, n_b, shared``: sizes of two sets and of what they share."""
+    for batch in batches:
+        column = {f: batch.column(k) for k, f in enumerate(batch.schema.names)}
+        shared, sizes = np.zeros(batch.num_rows, dtype=np.int64), np.zeros((2, batch.num_rows), dtype=np.int64)
+        for k, (a, b) in enumerate(zip(column["shingles"], column["other"])):
+            x, y = np.frombuffer(a.as_buffer(), dtype=np.uint64), np.frombuffer(b.as_buffer(), dtype=np.uint64)
+            at = np.searchsorted(x, y)
+            sizes[:, k] = len(y), len(x)
+            shared[k] = np.count_nonzero(x[np.minimum(at, len(x) - 1)] == y)
+        yield pa.RecordBatch.from_arrays([column["a"], column["b"], pa.array(sizes[0]), pa.array(sizes[1]), pa.array(shared)], names=["a", "b", "n_a", "n_b", "shared"])
 
 
 def _differing(left: str, right: str) -> Column:
-    """Slots in which two signatures differ."""
-    ones = F.lit(0x0001000100010001)
+    """Bits in which two sieve signatures differ. Kept short: the JVM interprets long conditions."""
     total = F.lit(0)
-    for k in range(LANES):
-        x = F.col(f"{left}.l{k}").bitwiseXOR(F.col(f"{right}.l{k}"))
-        for shift in (8, 4, 2, 1):
-            x = x.bitwiseOR(F.shiftrightunsigned(x, shift).bitwiseAND(F.lit({8: 0x00FF00FF00FF00FF, 4: 0x0FFF0FFF0FFF0FFF, 2: 0x3FFF3FFF3FFF3FFF, 1: 0x7FFF7FFF7FFF7FFF}[shift])))
-        total = total + F.bit_count(x.bitwiseAND(ones))
+    for name in _NIBBLES:
+        total = total + F.bit_count(F.col(f"{left}.{name}").bitwiseXOR(F.col(f"{right}.{name}")))
     return total
 
 
+def _similar(shared: Column, m: Column, n: Column, percent: int) -> Column:
+    return shared * 100 >= (m + n - shared) * percent
+
+
 def near_duplicates(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (``doc_id``, ``text``).
 
-    Documents are linked from ``percent`` on. Null and wordless texts have an empty set and are linked with nothing.
-    ``component_id`` is the least id that a document reaches, and ``kept`` marks that document; rows that
-    repeat an id and its text are the same document. Rows without an id never become a class of others;
-    unlinked, they are kept. An empty table gives no rows.
+    Documents are linked from ``percent`` on, 75 or more. Null and wordless texts have an empty set and are linked
+    with nothing. ``component_id`` is the least id that a document reaches, and ``kept`` marks that document;
+    rows that repeat an id and its text are the same document. Rows without an id never become a class of
+    others; unlinked, they are kept. An empty table gives no rows.
     """
     signed = staged(on_workers(
         docs.select("doc_id", "text"), sign,
-        "doc_id long, n_shingles long, set_a long, set_b long, " + ", ".join(f"l{k} long" for k in range(LANES)),
+        "doc_id long, n_shingles long, set_a long, set_b long, " + ", ".join(f"{c} long" for c in _LANES + _NIBBLES),
     ), "signed")
-    classes = staged(
-        signed.filter("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(
-            F.min("doc_id").alias("rep"), *[F.first(f"l{k}").alias(f"l{k}") for k in range(LANES)]
-        ), "classes",
+    # one row per set; its class's least document carries the signatures
+    least = signed.filter("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep"))
+    classes = staged(least, "classes")
+    reps = staged(
+        signed.join(classes.select(F.col("rep").alias("doc_id"), "set_a", "set_b", "n_shingles"), ["doc_id", "set_a", "set_b", "n_shingles"])
+        .dropDuplicates(["doc_id"]).drop("set_a", "set_b"), "reps",
     )
-    lanes = [f"l{k}" for k in range(LANES)]
-    reps = classes.filter("rep is not null").select(F.col("rep").alias("doc_id"), *lanes)
-    keyed = on_workers(reps, chunk_keys, "doc_id long, keys array<long>").select("doc_id", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("n > 1")
+    keyed = on_workers(reps.select("doc_id", *_LANES), chunk_keys, "doc_id long, keys array<long>").select("doc_id", F.explode("keys").alias("key"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("low")).filter("n > 1")
     members = staged(keyed.join(shared.drop("n"), "key"), "members")
     wanted = members.select("doc_id").distinct()
-    sets = staged(on_workers(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), full_sets, "doc_id long, shingles binary").dropDuplicates(["doc_id"]), "sets")
-
-    signatures = reps.join(wanted, "doc_id", "left_semi")
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        """Pairs ``a, b`` within the distance that full sets confirm. The sets of ``b`` travel, those of ``a`` wait."""
-        near = pairs.join(signatures.alias("x"), F.col("a") == F.col("x.doc_id")).join(
-            signatures.alias("y"), F.col("b") == F.col("y.doc_id")
-        ).filter(_differing("x", "y") <= RADIUS).select("a", "b")
-        with_b = near.join(sets.select(F.col("doc_id").alias("b"), "shingles"), "b")
+    sieves = staged(reps.select("doc_id", "n_shingles", *_NIBBLES).join(wanted, "doc_id", "left_semi"), "sieves")
+    sets = staged(on_workers(
+        docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), full_sets, "doc_id long, shingles binary"
+    ).dropDuplicates(["doc_id"]), "sets")
+
+    def linked(pairs: DataFrame, sieved: bool) -> DataFrame:
+        """Links ``a, b`` among the pairs. The sets of ``b`` travel, those of ``a`` wait."""
+        if not sieved:
+            pairs = pairs.join(sieves.alias("x"), F.col("a") == F.col("x.doc_id")).join(
+                sieves.alias("y"), (F.col("b") == F.col("y.doc_id")) & (_differing("x", "y") <= SIEVE_RADIUS)
+            ).select("a", "b")
+        with_b = pairs.join(sets.select(F.col("doc_id").alias("b"), "shingles"), "b")
         with_a = with_b.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("other")), "a")
-        return on_workers(with_a.select("a", "b", "shingles", "other"), _confirm(percent), "a long, b long")
-
-    links = staged(linked(members.filter("doc_id <> low").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct()), "near")
-    found = staged(components(links), "found")
-    for far in (True, False):
-        placed = members.join(found, members.doc_id == found.node, "left").select("key", "doc_id", "high", F.coalesce("component", "doc_id").alias("component"))
-        mixed = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 <> c1").select("key")
-        open_keys = staged(placed.join(mixed, "key", "left_semi"), "open")
-        if far:
-            top = open_keys.filter("doc_id = high").select("key", F.col("doc_id").alias("a"), F.col("component").alias("ca"))
-            pairs = open_keys.join(top, "key").filter("component <> ca").select("a", F.col("doc_id").alias("b")).distinct()
+        sized = on_workers(with_a.select("a", "b", "shingles", "other"), _measured, "a long, b long, n_a long, n_b long, shared long")
+        return staged(sized.filter(_similar(F.col("shared"), F.col("n_a"), F.col("n_b"), percent)).select("a", "b"), "near")
+
+    found = staged(components(linked(members.filter("doc_id <> low").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct(), False)), "found")
+
+    def open_members(of: DataFrame, name: str) -> DataFrame:
+        """Rows of keys whose documents are not yet one component."""
+        placed = of.join(found, of.doc_id == found.node, "left").select(*of.columns, F.coalesce("component", "doc_id").alias("component"))
+        several = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 <> c1").select("key")
+        return staged(placed.join(several, "key", "left_semi"), name)
+
+    first_open = open_members(members, "open")
+    candidates = sets.join(first_open.select("doc_id").distinct(), "doc_id", "left_semi")
+    lonely = on_workers(candidates.select("doc_id", "shingles"), single_shingles, "doc_id long, shingle long").groupBy("shingle").agg(
+        F.count("*").alias("n"), F.min("doc_id").alias("doc_id")
+    ).filter("n = 1").groupBy("doc_id").agg(F.count("*").alias("lonely"))
+    # what a document can share with any other
+    shareable = staged(sieves.join(candidates.select("doc_id"), "doc_id").join(lonely, "doc_id", "left").withColumn(
+        "most", F.col("n_shingles") - F.coalesce("lonely", F.lit(0))
+    ).drop("lonely").filter(F.col("most") * 100 >= F.col("n_shingles") * percent), "shareable")
+    hopeful = first_open.drop("component").join(shareable.select("doc_id"), "doc_id", "left_semi")
+    for last in (False, True):
+        rest = open_members(hopeful, "rest")
+        if not last:
+            ends = rest.groupBy("key").agg(F.max_by(F.struct("doc_id", "component"), "doc_id").alias("top"))
+            tops = ends.select("key", F.col("top.doc_id").alias("a"), F.col("top.component").alias("ca"))
+            pairs = rest.join(tops, "key").filter("component <> ca").select("a", F.col("doc_id").alias("b")).distinct()
         else:
-            x = open_keys.join(signatures, "doc_id").alias("x")
-            y = open_keys.join(signatures, "doc_id").alias("y")
-            pairs = x.join(y, F.expr("x.key = y.key and x.component < y.component") & (_differing("x", "y") <= RADIUS)).select(
-                F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")
-            ).distinct()
-        more = staged(linked(pairs), "near")
+            # of two documents in different components, one at least is outside the key's largest
+            main = rest.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
+            side = rest.join(main, "key").withColumn("minor", F.col("component") != F.col("main")).drop("main", "low").join(shareable, "doc_id")
+            x, y = side.filter("minor").alias("x"), side.alias("y")
+            once = ~F.col("y.minor") | (F.col("x.doc_id") < F.col("y.doc_id"))
+            possible = _similar(F.least("x.most", "y.most"), F.col("x.n_shingles"), F.col("y.n_shingles"), percent)
+            pairs = x.join(
+                y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & once & possible & (_differing("x", "y") <= SIEVE_RADIUS)
+            ).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
+        more = linked(pairs, last)
         if more.head(1):
-            links = more.unionByName(found.filter("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b")))
-            found = staged(components(links), "found")
+            spokes = found.filter("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+            found = staged(components(more.unionByName(spokes)), "found")
 
     least = classes.join(found, classes.rep == found.node, "left").select(
         "set_a", "set_b", F.col("n_shingles").alias("n"), F.coalesce("component", "rep").alias("least")
     )
-    out = signed.join(least, (signed.set_a == least.set_a) & (signed.set_b == least.set_b) & (signed.n_shingles == least.n), "left")
+    of = signed.select("doc_id", "n_shingles", F.col("set_a").alias("s_a"), F.col("set_b").alias("s_b"))
+    out = of.join(least, (F.col("s_a") == F.col("set_a")) & (F.col("s_b") == F.col("set_b")) & (F.col("n_shingles") == F.col("n")), "left")
     component = F.coalesce("least", "doc_id")
     return out.select(
         "doc_id", "n_shingles", component.alias("component_id"),
