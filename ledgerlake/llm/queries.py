@@ -9,17 +9,29 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.bpe import read_ranks, token_digests
 from ledgerlake.llm.common import remainder, table
+from ledgerlake.llm.decision_list import judge
+from ledgerlake.llm.fuzzy_hash import edit_fingerprints
 from ledgerlake.llm.mixing import mix_sources
 from ledgerlake.llm.neardup import near_duplicates
 from ledgerlake.llm.pii import KINDS, pseudonymise
 from ledgerlake.llm.sharding import shard_documents
 from ledgerlake.llm.toxicity import toxicity
+from ledgerlake.llm.url_filter import filter_urls
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"))
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -40,6 +52,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 PSEUDONYM_KEY = "ledgerlake-query-key"
 
 
+def op8_fuzzy_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     hidden = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
     counts = [(F.size("pii_kinds") - F.size(F.array_remove("pii_kinds", k))).alias(f"n_{k}") for k in KINDS]
@@ -53,7 +69,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_mix_sources, op5_minhash_near_dedup, op6_byte_bpe, op7_toxicity, op9_pii, op10_sharding)
+    f.__name__: f for f in (
+        op1_url_filter, op3_mix_sources, op4_quality_rules, op5_minhash_near_dedup, op6_byte_bpe, op7_toxicity, op8_fuzzy_fingerprints,
+        op9_pii, op10_sharding,
+    )
 }
 
 #: SQL of the queries that SQL can express.
