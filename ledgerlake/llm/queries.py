@@ -11,6 +11,7 @@ from ledgerlake.llm.bpe import read_ranks, token_digests
 from ledgerlake.llm.common import remainder, table
 from ledgerlake.llm.decision_list import judge
 from ledgerlake.llm.fuzzy_hash import edit_fingerprints
+from ledgerlake.llm.lm import score_documents
 from ledgerlake.llm.mixing import mix_sources
 from ledgerlake.llm.neardup import near_duplicates
 from ledgerlake.llm.pii import KINDS, pseudonymise
@@ -23,6 +24,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))[0]
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -70,7 +75,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_url_filter, op3_mix_sources, op4_quality_rules, op5_minhash_near_dedup, op6_byte_bpe, op7_toxicity, op8_fuzzy_fingerprints,
+        op1_url_filter, op2_lm_scores, op3_mix_sources, op4_quality_rules, op5_minhash_near_dedup, op6_byte_bpe, op7_toxicity, op8_fuzzy_fingerprints,
         op9_pii, op10_sharding,
     )
 }
