@@ -242,13 +242,17 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
         else:
             # of two documents in different components, one at least is outside the key's largest
             main = rest.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
-            side = rest.join(main, "key").withColumn("minor", F.col("component") != F.col("main")).drop("main", "low").join(shareable, "doc_id")
+            keys_of = rest.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))  # a document's keys: 70 at most
+            side = rest.join(main, "key").join(keys_of, "doc_id").withColumn("minor", F.col("component") != F.col("main")).drop("main", "low").join(shareable, "doc_id")
             x, y = side.filter("minor").alias("x"), side.alias("y")
             once = ~F.col("y.minor") | (F.col("x.doc_id") < F.col("y.doc_id"))
             possible = _similar(F.least("x.most", "y.most"), F.col("x.n_shingles"), F.col("y.n_shingles"), percent)
+            # a pair meets in the least of its keys only
+            first = F.col("x.key") == F.array_min(F.array_intersect("x.keys", "y.keys"))
             pairs = x.join(
-                y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & once & possible & (_differing("x", "y") <= SIEVE_RADIUS)
-            ).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
+                y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & once & possible
+                & (_differing("x", "y") <= SIEVE_RADIUS) & first
+            ).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
         more = linked(pairs, last)
         if more.head(1):
             spokes = found.filter("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
