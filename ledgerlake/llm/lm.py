@@ -40,6 +40,18 @@ def _pack(x: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
+def _pack_kinds(x: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """Numbers as their distinct values and places among them; returns the distinct values' first places, too."""
+    kinds, first, at = np.unique(x, return_index=True, return_inverse=True)
+    a, b = _pack(np.diff(kinds, prepend=0)), _pack(at.astype(np.uint16 if len(kinds) < 65536 else np.uint32))
+    return np.array([len(kinds), len(a)], dtype=np.int64).tobytes() + a + b, first
+
+
+def _unpack_kinds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n, a = np.frombuffer(data[:16], dtype=np.int64)
+    return np.cumsum(_unpack(data[16 : 16 + a], np.int64)), _unpack(data[16 + a :], np.uint16 if n < 65536 else np.uint32).astype(np.int64)
+
+
 def _unpack(data: bytes, dtype) -> np.ndarray:
     width = np.dtype(dtype).itemsize
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
@@ -49,6 +61,11 @@ def _unpack(data: bytes, dtype) -> np.ndarray:
 _BLOCKS = "block string, doc_ids array<long>, held binary, counts binary, words binary, places binary, n_words long, n_tokens long"
 
 
+def _shard_of(words: np.ndarray, shards: int) -> np.ndarray:
+    """Shards are ranges of hashes, so that sorted words are sorted by shard."""
+    return ((words >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
@@ -79,7 +96,7 @@ def _open(batch: pa.RecordBatch, k: int):
     get = lambda name: batch.column(batch.schema.get_field_index(name))[k].as_py()
     return (
         get("block"), get("doc_ids"), np.frombuffer(get("held"), dtype=np.int8) > 0, _unpack(get("counts"), np.int32).astype(np.int64),
-        np.frombuffer(get("words"), dtype=np.uint64), _unpack(get("places"), np.int32).astype(np.int64),
+        np.frombuffer(get("words") or b"", dtype=np.uint64), _unpack(get("places"), np.int32).astype(np.int64),
     )
 
 
@@ -89,14 +106,12 @@ def _vocabulary_rows(shards: int):
             for k in range(batch.num_rows):
                 block, _, held, counts, words, places = _open(batch, k)
                 trained = np.bincount(places[np.repeat(~held, counts)], minlength=len(words))
-                shard = (mix(words, 77) % np.uint64(shards)).astype(np.int64)
-                for s in range(shards) if shards < 4096 else np.unique(shard):
-                    own = np.flatnonzero(shard == s)
-                    if len(own):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([block]), pa.array([int(s)]), pa.array([words[own].tobytes()]), pa.array([_pack(trained[own].astype(np.int32))])],
-                            names=["block", "shard", "words", "trained"],
-                        )
+                filled, at = np.unique(_shard_of(words, shards), return_index=True)
+                for s, a, b in zip(filled, at, [*at[1:], len(words)]):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([block]), pa.array([int(s)]), pa.array([words[a:b].tobytes()]), pa.array([_pack(trained[a:b].astype(np.int32))])],
+                        names=["block", "shard", "words", "trained"],
+                    )
 
     return run
 
@@ -124,16 +139,15 @@ def _number_words(shards: int):
 _EVENTS = "kind string, block string, shard long, doc_ids array<long>, held binary, totals binary, events binary"
 
 
-def _events(vocabulary_shards: int, shards: int, kinds: int, tokens: int):
+def _events(shards: int, kinds: int, tokens: int):
     """Blocks with their words' answers -> a ``doc`` row with base scores, and an ``event`` row per shard."""
     def run(key, left, right):
         batch = left.combine_chunks().to_batches()[0]
-        block, doc_ids, held, counts, words, places = _open(batch, 0)
-        shard_of = (mix(words, 77) % np.uint64(vocabulary_shards)).astype(np.int64)
-        ids, seen = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int64)
-        for s, i, c in zip(right["shard"].to_pylist(), right["ids"], right["counts"]):
-            own = np.flatnonzero(shard_of == s)
-            ids[own], seen[own] = _unpack(i.as_py(), np.int64), _unpack(c.as_py(), np.int64)
+        block, doc_ids, held, counts, _, places = _open(batch, 0)
+        # answers by shard are in the order of the block's words
+        answers = right.sort_by("shard")
+        ids = np.concatenate([_unpack(x.as_py(), np.int64) for x in answers["ids"]])
+        seen = np.concatenate([_unpack(x.as_py(), np.int64) for x in answers["counts"]])
         chance = (seen + SMOOTHING) / (tokens + SMOOTHING * (kinds + 1))
         doc = np.repeat(np.arange(len(counts)), counts)
         totals = np.stack([
@@ -153,14 +167,19 @@ def _events(vocabulary_shards: int, shards: int, kinds: int, tokens: int):
         shard = (mix(context.astype(np.uint64), 6) % np.uint64(shards)).astype(np.int64)
         base = quantise(chance)[places]
         order = np.argsort(shard, kind="stable")
-        cuts = np.searchsorted(shard[order], np.arange(shards + 1)) if shards < 65536 else None
-        rows = [{"kind": "doc", "block": block, "shard": -1, "doc_ids": doc_ids, "held": held.tobytes(), "totals": totals.tobytes(), "events": None}]
-        filled = [s for s in range(shards) if cuts[s] < cuts[s + 1]] if cuts is not None else np.unique(shard).tolist()
-        for s in filled:
-            own = order[cuts[s] : cuts[s + 1]] if cuts is not None else order[np.searchsorted(shard[order], s) : np.searchsorted(shard[order], s, side="right")]
-            fields = [_pack(x) for x in (context[own], u[own], w[own], base[own], np.diff(doc[own], prepend=0).astype(np.int32), held[doc[own]].astype(np.int8))]
+        # the document row goes to a group of its own, the others to their shards
+        rows = [{"kind": "doc", "block": block, "shard": -1 - int(mix(places[:1].astype(np.uint64) + np.uint64(len(places)))[0] % np.uint64(1 << 40)), "doc_ids": doc_ids, "held": held.tobytes(), "totals": totals.tobytes(), "events": None}]
+        ordered = shard[order]
+        filled, at = np.unique(ordered, return_index=True)
+        for s, low, high in zip(filled, at, [*at[1:], len(order)]):
+            own = order[low:high]
+            word, first = _pack_kinds(w[own])
+            fields = [
+                _pack_kinds(context[own])[0], _pack_kinds(u[own])[0], word, _pack(base[own][first]),
+                _pack(np.diff(doc[own], prepend=0).astype(np.int32)), _pack(held[doc[own]].astype(np.int8)),
+            ]
             head = np.array([len(f) for f in fields], dtype=np.int64).tobytes()
-            rows.append({"kind": "event", "block": block, "shard": s, "doc_ids": None, "held": None, "totals": None, "events": head + b"".join(fields)})
+            rows.append({"kind": "event", "block": block, "shard": int(s), "doc_ids": None, "held": None, "totals": None, "events": head + b"".join(fields)})
         return pa.Table.from_pylist(rows, schema=pa.schema([
             ("kind", pa.string()), ("block", pa.string()), ("shard", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.binary()), ("totals", pa.binary()), ("events", pa.binary()),
         ]))
@@ -171,11 +190,20 @@ def _events(vocabulary_shards: int, shards: int, kinds: int, tokens: int):
 def _fields(data: bytes) -> list[np.ndarray]:
     sizes = np.frombuffer(data[:48], dtype=np.int64)
     cuts = np.cumsum([48, *sizes])
-    return [_unpack(data[a:b], t) for a, b, t in zip(cuts, cuts[1:], (np.int64, np.int64, np.int64, np.uint16, np.int32, np.int8))]
+    part = [data[a:b] for a, b in zip(cuts, cuts[1:])]
+    (contexts, c), (us, u), (ws, w) = (_unpack_kinds(x) for x in part[:3])
+    return [contexts[c], us[u], ws[w], _unpack(part[3], np.uint16)[w], _unpack(part[4], np.int32), _unpack(part[5], np.int8)]
+
+
+_SCORED = pa.schema([
+    ("kind", pa.string()), ("block", pa.string()), ("shard", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.binary()), ("totals", pa.binary()), ("data", pa.binary()),
+])
 
 
 def _score_shard(key, rows):
-    """A shard's events of all blocks -> its trie, and each block's sums per document."""
+    """A shard's events of all blocks -> its trie, and each block's sums per document. Document rows pass through."""
+    if key[0].as_py() < 0:
+        return rows.rename_columns([*rows.column_names[:-1], "data"]).select(_SCORED.names).cast(_SCORED)
     each = [_fields(x.as_py()) for x in rows["events"]]
     context, u, w, base = (np.concatenate([f[k] for f in each]) for k in range(4))
     train = np.concatenate([f[5] for f in each]) == 0
@@ -195,7 +223,7 @@ def _score_shard(key, rows):
         sums = np.bincount(index, weights=score[at : at + n])
         out.append({"kind": "score", "block": block, "shard": key[0].as_py(), "data": who.astype(np.int64).tobytes() + sums.tobytes()})
         at += n
-    return pa.Table.from_pylist(out, schema=pa.schema([("kind", pa.string()), ("block", pa.string()), ("shard", pa.int64()), ("data", pa.binary())]))
+    return pa.Table.from_pylist(out, schema=_SCORED)
 
 
 def _add_up(tokens: int):
@@ -237,13 +265,14 @@ def score_documents(docs: DataFrame, held_out: Column | None = None) -> tuple[Da
         _number_words(word_shards), "block string, shard long, ids binary, counts binary, kinds long, tokens long"
     ), "lm-words")
     total = answers.agg(F.sum("kinds").alias("kinds"), F.sum("tokens").alias("tokens")).first()
-    events = staged(blocks.groupBy("block").cogroup(answers.drop("kinds", "tokens").groupBy("block")).applyInArrow(
-        _events(word_shards, event_shards, total.kinds, total.tokens), _EVENTS
-    ), "lm-events")
-    scored = staged(events.filter("kind = 'event'").select("block", "shard", "events").groupBy("shard").applyInArrow(
-        _score_shard, "kind string, block string, shard long, data binary"
+    # events are not written: they go from the blocks to their shards in one shuffle
+    events = blocks.withColumn("words", F.lit(None).cast("binary")).groupBy("block").cogroup(answers.drop("kinds", "tokens").groupBy("block")).applyInArrow(
+        _events(event_shards, total.kinds, total.tokens), _EVENTS
+    )
+    scored = staged(events.groupBy("shard").applyInArrow(
+        _score_shard, "kind string, block string, shard long, doc_ids array<long>, held binary, totals binary, data binary"
     ), "lm-scores")
     model = scored.filter("kind = 'trie'").select("shard", F.col("data").alias("trie"))
-    docs_of = events.filter("kind = 'doc'").select("block", "doc_ids", "held", "totals")
+    docs_of = scored.filter("kind = 'doc'").select("block", "doc_ids", "held", "totals")
     scores = docs_of.groupBy("block").cogroup(scored.filter("kind = 'score'").select("block", "shard", "data").groupBy("block")).applyInArrow(_add_up(total.tokens), schema)
     return scores, model
