@@ -12,7 +12,7 @@ number drawn from the keyed digest of the other is added modulo its radix.
 | --- | --- | --- |
 | email | pattern | letters and digits up to the last dot, within their class |
 | secret | access-key pattern, or a value after password, token, secret or api key | letters and digits of the value, within their class |
-| ip | four numbers up to 255 | the four numbers |
+| ip | four numbers up to 255 | the four numbers, each among those of as many digits |
 | iban | mod-97 check | the account part; check digits are worked out anew |
 | date | a day of 1900 to 2099, as Y-M-D, D.M.Y or M/D/Y | the day number |
 | ssn | no reserved area, group or serial | area, group and serial |
@@ -171,7 +171,15 @@ def _parts(m: Column) -> Column:
 
 
 def _ip(m: Column, key: str) -> Column:
-    return F.array_join(permute(_parts(m), _ints(*[F.lit(256)] * 4), key, "ip").cast("array<string>"), ".")
+    """Each number stays among those of as many digits."""
+    def build(p: Column) -> Column:
+        bases = F.transform(p, lambda x: F.when(x < 10, 0).when(x < 100, 10).otherwise(100))
+        radices = F.transform(p, lambda x: F.when(x < 10, 10).when(x < 100, 90).otherwise(156))
+        new = permute(F.zip_with(p, bases, lambda x, b: x - b), radices, key, "ip")
+        texts = F.zip_with(F.zip_with(new, bases, lambda x, b: x + b), F.split(m, r"\."), lambda x, old: F.lpad(x.cast("string"), F.length(old), F.lit("0")))
+        return F.array_join(texts, ".")
+
+    return _let(_parts(m), build)
 
 
 def _ssn(m: Column, key: str) -> Column:

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import ROWS_PER_PART, hex_bucket, staged
 
 STEP = 3  # hexadecimal digits by which a range is refined
-NO_TEXT = "-"  # sorts before every digest
 
 
 def _greedy(ends: list[int], capacity: int, shards: int) -> list[int] | None:
@@ -87,8 +86,7 @@ def smallest_capacity(cells_of, shards: int) -> tuple[int, list[str]]:
 def shard_documents(docs: DataFrame, shards: int = 16, part_rows: int = ROWS_PER_PART) -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot, capacity`` for every row of ``docs`` (``doc_id``, ``text``).
 
-    A row's size is its UTF-8 bytes plus 1. Null texts are one group (size 1, checksum 0), apart from
-    empty ones. Repeated rows each get a slot. Slots run from 0 in each shard, by range of digest and
+    A row's size is its UTF-8 bytes plus 1. Null texts count as empty (size 1, checksum 0). Repeated rows each get a slot. Slots run from 0 in each shard, by range of digest and
     digest of the id. An empty table gives no rows. A group larger than the ideal shard makes its
     shard, and with it the capacity, as large as itself.
     """
@@ -98,7 +96,7 @@ def shard_documents(docs: DataFrame, shards: int = 16, part_rows: int = ROWS_PER
         docs.select(
             "doc_id", F.coalesce(F.octet_length("text") + 1, F.lit(1)).cast("long").alias("size"),
             F.coalesce(F.crc32(text), F.lit(0)).cast("long").alias("text_crc32"),
-            F.coalesce(F.sha2(text, 256), F.lit(NO_TEXT)).alias("digest"),
+            F.sha2(F.coalesce(text, F.lit("").cast("binary")), 256).alias("digest"),
         ), "shard-rows",
     )
     groups = staged(rows.groupBy("digest").agg(F.sum("size").alias("size")), "shard-groups")

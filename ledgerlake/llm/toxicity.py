@@ -23,7 +23,7 @@ from ledgerlake.llm.words import mix, slices, span_hash, words_of
 
 BITS = 20
 SAMPLE_ROWS = 30_000
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 2.0, 1.0
+ALPHA, BETA, L1, L2 = 0.5, 1.0, 2.0, 1.0
 EPOCHS = 2
 THRESHOLD = 0.3
 STEMS = (4, 6)
@@ -131,6 +131,8 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, most: int = SAMPLE
     rows = docs.select("doc_id", "text").join(sample, "doc_id").select("text", "label", "key")
     # bounded by `most` rows; the model needs them in one order
     got = on_workers(rows.repartition(1), _train, "bias double, places binary, weights binary").first()
+    if got is None:  # no row at all: no task ran
+        return Weights(0.0, np.zeros(0, dtype=np.int64), np.zeros(0))
     return Weights(got.bias, np.frombuffer(got.places, dtype=np.int64), np.frombuffer(got.weights))
 
 
