@@ -200,7 +200,14 @@ _SCORED = pa.schema([
 ])
 
 
-def _score_shard(key, rows):
+def _score_shard(keep_model: bool):
+    def run(key, rows):
+        return _shard_scores(key, rows, keep_model)
+
+    return run
+
+
+def _shard_scores(key, rows, keep_model: bool):
     """A shard's events of all blocks -> its trie, and each block's sums per document. Document rows pass through."""
     if key[0].as_py() < 0:
         return rows.rename_columns([*rows.column_names[:-1], "data"]).select(_SCORED.names).cast(_SCORED)
@@ -215,7 +222,7 @@ def _score_shard(key, rows):
             score = Trie.from_words(np.memmap(f.name, dtype=np.uint64, mode="r")).score(context, u, w, base)
     else:
         made, score = b"", base * -STEP
-    out, at = [{"kind": "trie", "block": None, "shard": key[0].as_py(), "data": made}], 0
+    out, at = [{"kind": "trie", "block": None, "shard": key[0].as_py(), "data": made}] if keep_model else [], 0
     for block, fields in zip(rows["block"].to_pylist(), each):
         n = len(fields[0])
         doc = np.cumsum(fields[4])
@@ -245,9 +252,11 @@ def _add_up(tokens: int):
     return run
 
 
-def score_documents(docs: DataFrame, held_out: Column | None = None) -> tuple[DataFrame, DataFrame]:
+def score_documents(docs: DataFrame, held_out: Column | None = None, keep_model: bool = True) -> tuple[DataFrame, DataFrame]:
     """Scores of every row of ``docs`` (``doc_id``, ``text``), and the model, one trie per shard.
 
+    Without ``keep_model`` the tries live in their tasks only, and the model table is empty.
+
     Scores: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``. Rows for which ``held_out`` holds (by
     default a fifth, by a hash of the id) are scored but not learned from; rows without an id are learned from.
     Null and empty texts are the end token alone. Without training rows every score is the base's.
@@ -270,7 +279,7 @@ def score_documents(docs: DataFrame, held_out: Column | None = None) -> tuple[Da
         _events(event_shards, total.kinds, total.tokens), _EVENTS
     )
     scored = staged(events.groupBy("shard").applyInArrow(
-        _score_shard, "kind string, block string, shard long, doc_ids array<long>, held binary, totals binary, data binary"
+        _score_shard(keep_model), "kind string, block string, shard long, doc_ids array<long>, held binary, totals binary, data binary"
     ), "lm-scores")
     model = scored.filter("kind = 'trie'").select("shard", F.col("data").alias("trie"))
     docs_of = scored.filter("kind = 'doc'").select("block", "doc_ids", "held", "totals")

@@ -25,7 +25,7 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_documents(table(spark, sf_dir, "documents"))[0]
+    return score_documents(table(spark, sf_dir, "documents"), keep_model=False)[0]  # the query returns no model
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
