@@ -22,12 +22,14 @@ SPACES = (
 NUMBER_SYMBOLS = "$*#!%"
 NUMBER_UNITS = ("USD", "ms", "pts", "deg")
 
-_AROUND = r"[$*#!%\s\p{Z}]*+"
-_AFTER = r"[$*#!%)\s\p{Z}]*+"
+_GAP = r"[$*#!%\s\p{Z}]*+"
+_DIGITS = r"((?:[0-9]{1,3}(?:,[0-9]{3})++|[0-9]++)(?:\.[0-9]*+)?|\.[0-9]++)"
+_UNIT = rf"(?:(?:{'|'.join(NUMBER_UNITS)}){_GAP})?"
+_USD = rf"(?:USD{_GAP})?"
+# either "(number)" with both parentheses, or a sign before or after the symbols or behind the number
 _NUMBER = (
-    rf"(?i)^{_AROUND}(?:USD{_AROUND})?"
-    r"((?:\((?=[^)]*\)))?[$\s\p{Z}]*+[+-]?(?:[0-9]+\.?[0-9]*+|\.[0-9]+))"
-    rf"{_AFTER}(?:{'|'.join(NUMBER_UNITS)})?{_AFTER}$"
+    rf"(?i)^{_GAP}{_USD}(?:(\(){_GAP}{_USD}{_DIGITS}{_GAP}{_UNIT}\)"
+    rf"|([+-]?){_GAP}{_USD}([+-]?){_DIGITS}{_GAP}{_UNIT}(-?)){_GAP}{_UNIT}$|^[\s\S]*$"
 )
 _CODE = r"^[\s\p{Z}]*+([0-9]{1,9})[*!#\s\p{Z}]*+$"
 
@@ -53,14 +55,14 @@ def norm_key(c: Column | str) -> Column:
 def parse_number(c: Column | str, dtype: str = CURRENCY, accounting: bool = True) -> Column:
     """Number out of dirty text; accounting parentheses negate it.
 
-    Symbols, thousands commas, units and spaces around the number are dropped. Text that is anything
-    else than one number becomes NULL. ``accounting=False`` reproduces the mistake of ignoring the
+    Symbols, commas between groups of three digits, units and spaces around the number are dropped; a minus
+    may stand before or after the symbols or behind the number. Text that is anything else than one number, such as
+    ``12,5`` or ``5)``, becomes NULL. ``accounting=False`` reproduces the mistake of ignoring the
     parentheses. One regular expression per value keeps the generated code of wide projections small
     enough for the JVM to compile.
     """
-    found = F.regexp_extract(F.translate(_col(c), ",", ""), _NUMBER, 1)
-    noise = "$" + SPACES
-    signed = F.translate(found, "(" + noise, "-") if accounting else F.translate(found, "(" + noise, "")
+    found = F.regexp_replace(_col(c), _NUMBER, "$1$3$4$6$2$5")
+    signed = F.translate(found, "(,", "-") if accounting else F.translate(found, "(,", "")
     return signed.try_cast(dtype)
 
 

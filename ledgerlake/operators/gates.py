@@ -46,8 +46,8 @@ def _row_condition(rule: Rule) -> Column:
     raise ValueError(f"unknown rule kind {rule.kind}")
 
 
-def dq_scan(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """One row per rule: rows evaluated, rows passed, their ratio and whether it reaches the threshold.
+def dq_scan(df: DataFrame, rules: Sequence[Rule], by: Sequence[str] = ()) -> DataFrame:
+    """One row per rule, and per group of ``by`` where given: rows evaluated, rows passed, their ratio and whether it reaches the threshold.
 
     NULLs are judged by not_null and row rules only; the other kinds skip them. For unique, passed is
     the number of different values. All row rules are answered by one pass over the table; each
@@ -74,9 +74,9 @@ def dq_scan(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     ]
     ratio = F.round(F.coalesce(F.try_divide(F.col("passed").cast("double"), F.col("evaluated")), F.lit(1.0)), 6)
     return (
-        df.agg(*counts).select(F.inline(F.array(*rows)))
+        df.groupBy(*by).agg(*counts).select(*by, F.inline(F.array(*rows)))
         .withColumn("ratio", ratio)
-        .select("rule", "kind", "evaluated", "passed", "ratio", (F.col("ratio") >= F.col("threshold")).alias("ok"))
+        .select(*by, "rule", "kind", "evaluated", "passed", "ratio", (F.col("ratio") >= F.col("threshold")).alias("ok"))
     )
 
 

@@ -42,10 +42,10 @@ def recent_jobs(df: DataFrame, n: int = 10) -> DataFrame:
     return df.where("state = 'SUCCEEDED'").orderBy(F.col("createTime").desc_nulls_last(), F.col("name")).limit(n)
 
 
-def latest_job(df: DataFrame, stage: str, among: int = 10) -> DataFrame:
-    """Of the newest succeeded jobs, the newest whose name holds the stage, else the newest."""
+def latest_job(df: DataFrame, stage: str) -> DataFrame:
+    """Of all succeeded jobs, the newest whose name holds the stage, else the newest."""
     match = F.lower(F.coalesce("name", F.lit(""))).contains(stage.lower())
-    return recent_jobs(df, among).orderBy(match.desc(), F.col("createTime").desc_nulls_last(), F.col("name")).limit(1)
+    return df.where("state = 'SUCCEEDED'").orderBy(match.desc(), F.col("createTime").desc_nulls_last(), F.col("name")).limit(1)
 
 
 def merge_maps(first: Column, second: Column) -> Column:

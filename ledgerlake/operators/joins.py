@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.cleanse import norm_key
 
 BROADCAST_LIMIT = 10 * 1024 * 1024
-HOT_KEYS = 1000
-SALTS = 32
+PARTS = 10_000
+LEAST_ROWS = 1_000_000
 
 
 def plan_bytes(df: DataFrame) -> int | None:
@@ -30,15 +30,20 @@ def join_dim(
     spread_by: Sequence[str] | None = None,
     count_on: DataFrame | None = None,
     limit: int = BROADCAST_LIMIT,
-    hot_keys: int = HOT_KEYS,
-    salts: int = SALTS,
+    parts: int = PARTS,
+    least_rows: int = LEAST_ROWS,
+    size: int | None = None,
 ) -> DataFrame:
     """Join a fact table to a dimension that has one row per key.
 
     The dimension is broadcast only when its estimated size is within ``limit``. Beyond that both sides
-    are shuffled, and the ``hot_keys`` most frequent keys are salted: their fact rows are spread over
-    ``salts`` tasks by a hash of ``spread_by`` (row-identifying columns) and only their few dimension
-    rows are repeated. Any other key then has less than one part in ``hot_keys`` of all rows.
+    are shuffled. A piece is one part in ``parts`` of all rows, ``least_rows`` at least; every key with more
+    rows is cut into as many pieces as its count asks for by a hash of ``spread_by`` (row-identifying
+    columns), and only its dimension row is repeated. Fewer than ``parts`` keys can be that frequent, so
+    the table of them that is broadcast stays small whatever the size of the data.
+
+    ``size`` is a bound of the dimension's size that the caller knows better than the optimizer, whose
+    estimate of a joined dimension is the product of both sides.
 
     ``count_on`` is a cheaper frame with the same keys to count, such as the stored table ``fact`` was
     made from.
@@ -46,22 +51,24 @@ def join_dim(
     if how not in ("left", "inner"):
         raise ValueError("join_dim keeps facts: how must be left or inner")
     on = list(on)
-    size = plan_bytes(dim)
+    size = plan_bytes(dim) if size is None else size
     if size is not None and size <= limit:
         return fact.join(F.broadcast(dim), on, how)
-    # at most hot_keys rows, whatever the size of the tables
+    counted = fact if count_on is None else count_on
+    total = counted.agg(F.count(F.lit(1))).scalar()
+    piece = F.greatest(F.ceil(total / F.lit(parts)), F.lit(least_rows).cast("bigint"))
     hot = (
-        (fact if count_on is None else count_on).dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-        .orderBy(F.col("_n").desc(), *on).limit(hot_keys).select(*on, F.lit(True).alias("_hot"))
+        counted.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).withColumn("_piece", piece)
+        .where("_n > _piece").select(*on, F.ceil(F.col("_n") / F.col("_piece")).alias("_salts"))
     )
     spread = spread_by or [c for c in fact.columns if c not in on] or on
     no_key = F.lit(False)
     for k in on:  # rows without a key match nothing, but must not meet in one task either
         no_key = no_key | F.col(k).isNull()
-    salt = F.when(F.col("_hot") | no_key, F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(F.lit(0).cast("bigint"))
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))).cast("array<bigint>")
-    salted = fact.join(F.broadcast(hot), on, "left").withColumn("_salt", salt).drop("_hot")
-    repeated = dim.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    salts = F.coalesce(F.when(no_key, F.lit(parts)).otherwise(F.col("_salts")), F.lit(1)).cast("bigint")
+    copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_salts", F.lit(1)).cast("bigint") - 1)
+    salted = fact.join(F.broadcast(hot), on, "left").withColumn("_salt", F.pmod(F.xxhash64(*spread), salts)).drop("_salts")
+    repeated = dim.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 

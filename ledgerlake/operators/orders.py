@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.joins import BROADCAST_LIMIT, join_dim
+from ledgerlake.operators.joins import BROADCAST_LIMIT, join_dim, plan_bytes
 
 
 def enrich_orders(orders: DataFrame, customer: DataFrame, nation: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
@@ -13,13 +13,16 @@ def enrich_orders(orders: DataFrame, customer: DataFrame, nation: DataFrame, lim
 
     Dimensions are joined by ``join_dim``: broadcast within a checked size, else shuffled with its hot keys salted.
     """
+    customers = customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", F.col("c_nationkey").alias("n_nationkey"))
     located = join_dim(
-        customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", F.col("c_nationkey").alias("n_nationkey")),
+        customers,
         nation.select("n_nationkey", "n_name"),
         ["n_nationkey"],
         limit=limit,
     ).drop("n_nationkey")
-    joined = join_dim(orders, located, ["o_custkey"], "left", ["o_orderkey"], limit=limit)
+    # a customer has one nation, whose columns are no wider than its own: the join at most doubles the size
+    size = plan_bytes(customers)
+    joined = join_dim(orders, located, ["o_custkey"], "left", ["o_orderkey"], limit=limit, size=None if size is None else 2 * size)
     price = F.col("o_totalprice").cast("decimal(18,2)")
     return joined.select(
         "o_orderkey",

@@ -26,8 +26,6 @@ PYTHON_EVAL = "BatchEvalPython"
 PYTHON_EVALS = ("BatchEvalPython", "ArrowEvalPython")
 ROW_TRANSITIONS = ("ColumnarToRow", "VeloxToRow", "VeloxColumnarToRow")
 TRANSITION_LIMIT = 500
-EVENTS_PER_LOG = 25
-LINE_LIMIT = 4000
 
 
 def _has_any(value: Column, tokens: Sequence[str]) -> Column:
@@ -38,24 +36,23 @@ def _has_any(value: Column, tokens: Sequence[str]) -> Column:
 
 
 def plan_events(
-    lines: DataFrame, tokens: Sequence[str] = PLAN_TOKENS, limit: int = EVENTS_PER_LOG, width: int = LINE_LIMIT
+    lines: DataFrame, tokens: Sequence[str] = PLAN_TOKENS, limit: int | None = None, width: int | None = None
 ) -> DataFrame:
-    """The first ``limit`` plan lines of every log, in file order, cut to ``width`` characters.
+    """The plan lines of every log in file order: all of them and whole, unless a report asks for the first
+    ``limit`` or for lines of ``width`` characters.
 
-    The rank filter is applied per task before the shuffle, so a large log sends few lines.
+    A limit is applied per task before the shuffle, so a large log then sends few lines.
     """
     order = Window.partitionBy("path").orderBy("block_start", "seq")
     found = lines.where(_has_any(F.col("value"), tokens)).select(
-        "path", "app", "block_start", "seq", F.substring("value", 1, width).alias("event")
-    )
-    return (
-        found.withColumn("position", F.row_number().over(order)).where(F.col("position") <= limit)
-        .select("path", "app", "position", "event")
+        "path", "app", "block_start", "seq", (F.col("value") if width is None else F.substring("value", 1, width)).alias("event")
     )
+    ranked = found.withColumn("position", F.row_number().over(order))
+    return (ranked if limit is None else ranked.where(F.col("position") <= limit)).select("path", "app", "position", "event")
 
 
-def plan_summary(lines: DataFrame, tokens: Sequence[str] = PLAN_TOKENS, limit: int = EVENTS_PER_LOG) -> DataFrame:
-    """Per log: native operators named anywhere, whether Python evaluation is, plan lines (at most ``limit``).
+def plan_summary(lines: DataFrame, tokens: Sequence[str] = PLAN_TOKENS) -> DataFrame:
+    """Per log: native operators named anywhere, whether Python evaluation is, and the number of plan lines.
 
     ``has_batch_eval_python`` is NULL for a log without content.
     """
@@ -63,7 +60,7 @@ def plan_summary(lines: DataFrame, tokens: Sequence[str] = PLAN_TOKENS, limit: i
     flags = [F.coalesce(F.bool_or(value.contains(op)), F.lit(False)).alias(op) for op in NATIVE_OPERATORS]
     per_log = lines.groupBy("path", "app").agg(
         F.bool_or(F.when(F.btrim("value") != "", value.contains(PYTHON_EVAL))).alias("has_batch_eval_python"),
-        F.least(F.count_if(_has_any(value, tokens)), F.lit(limit)).alias("plan_event_count"),
+        F.count_if(_has_any(value, tokens)).alias("plan_event_count"),
         *flags,
     )
     named = F.array_compact(F.array(*[F.when(F.col(op), F.lit(op)) for op in NATIVE_OPERATORS]))

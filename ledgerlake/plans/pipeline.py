@@ -7,7 +7,6 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.functions.privacy import tag_columns
 from ledgerlake.operators.gates import Rule, dq_scan
 from ledgerlake.plans.gold import build_gold
 from ledgerlake.plans.reconcile import promotion_gate, reconcile
@@ -52,10 +51,7 @@ def run_medallion(
     Bronze keeps all rows and clear-text identifiers, the latter under a policy tag; Silver and Gold
     hold digests only. The last three frames are evaluated when they are read.
     """
-    bronze = {
-        feed: tag_columns(df, {c: f"pii.{c}" for c in SPECS[feed].pii})
-        for feed, df in ingest(spark, root, folders or {f: f for f in SPECS}, unit, env).items()
-    }
+    bronze = ingest(spark, root, folders or {f: f for f in SPECS}, unit, env)
     silver = build_silver(bronze, table_store(spark, database_name(unit, "silver", env)))
     gold_db = database_name(unit, "gold", env)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {gold_db}")

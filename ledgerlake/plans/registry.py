@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import cleanse as c
@@ -655,18 +655,16 @@ def _check_results(spark, sf):
     """Quality rules on Gold, one run per payment method, and reconciliation as one more check per run."""
     s = _silver(spark, sf)
     gold = stage(build_gold(s), "gold")
-    parts = [
-        gates.check_results(gates.dq_scan(gold.where(F.col("payment_method") == m), GOLD_RULES), f"run-{m}", "gold", 0.25)
-        for m in (0, 1, 2)
-    ]
+    run_id = F.concat(F.lit("run-"), F.coalesce(F.col("payment_method").cast("string"), F.lit("none")))
+    rules = gates.check_results(gates.dq_scan(gold, GOLD_RULES, ["payment_method"]), run_id, "gold", 0.25)
     recon = reconcile(s[PAY], s[DIS], gold).select(
-        F.concat(F.lit("run-"), F.col("payment_method").cast("string")).alias("run_id"), F.lit("gold").alias("table_name"),
-        F.lit("reconciled").alias("rule"), (F.col("payment_method") != 2).alias("required"),
+        run_id.alias("run_id"), F.lit("gold").alias("table_name"),
+        F.lit("reconciled").alias("rule"), (~F.col("payment_method").eqNullSafe(2)).alias("required"),
         F.when((F.col("row_count_diff") == 0) & (F.col("gross_variance_usd") == "0.00"), F.lit(0)).otherwise(F.lit(2)).alias("exit_code"),
         F.lit(0.5).alias("elapsed"),
     )
     docs = recon.select("run_id", "table_name", F.lit("docs").alias("rule"), F.lit(True).alias("required"), F.lit(4).alias("exit_code"), F.lit(0.1).alias("elapsed"))
-    return _union([*parts, recon, docs])
+    return _union([rules, recon, docs])
 
 
 @query("a29_gate_summary")
@@ -716,8 +714,9 @@ def _(spark, sf):
 
 @query("l1_ordered_reconcile")
 def _(spark, sf):
-    tx, d = stage(_clean_tx(spark, sf), "tx"), _disputes(spark, sf)
-    return silver_rollup(tx, d).select("payment_method", "silver_tx_count", "silver_gross_usd").orderBy("payment_method")
+    """Reconciliation in order of the payment method; the position is a column, as files keep no order."""
+    by_method = Window.orderBy(F.col("payment_method").asc_nulls_last())  # one row per payment method
+    return QUERIES["a10_reconcile"](spark, sf).withColumn("position", F.row_number().over(by_method)).orderBy("position")
 
 
 @query("l2_spot_check")

@@ -47,7 +47,6 @@ class Derivation:
     source: str
     key: str
     columns: dict[str, str]
-    restriction: str | None = None
     repeated: bool = True
     repeat_overrides: tuple[tuple[str, str], ...] = ()
 
@@ -118,6 +117,8 @@ DERIVATIONS: dict[str, Derivation] = {
             "ssn": _ssn("user_id"),
             "payment_method": "cast(event_id % 3 as string) || case when event_id % 5 = 0 then '*' else '' end",
             "tx_amount": f"case when event_id % 103 = 0 then '(' || {_MONEY} || ')' "
+            f"when event_id % 107 = 0 then '-$' || {_MONEY} when event_id % 109 = 0 then {_MONEY} || '-' "
+            f"when event_id % 113 = 0 then '(USD ' || {_MONEY} || ')' when event_id % 127 = 0 then 'USD +' || {_MONEY} "
             f"when event_id % 5 = 0 then '$' || {_MONEY} || ' USD' else {_MONEY} end",
             "discount_pct": "cast(event_id % 4 * 5 as string) || '%'",
             "promo_code": "case when event_id % 6 = 0 then null else 'P' || cast(event_id % 9 as string) end",
@@ -143,7 +144,6 @@ DERIVATIONS: dict[str, Derivation] = {
             "customer_statement": "case when l_partkey % 5 = 0 then null else 'not mine' end",
             "agent_notes": "case when l_partkey % 7 = 0 then null else 'open' end",
         },
-        restriction="l_returnflag = 'R' and l_orderkey in (select event_id from events)",
     ),
 }
 
@@ -176,21 +176,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(df, TABLE_KEYS[name]) if name in TABLE_KEYS else df
 
 
-def _source(spark: SparkSession, sf_dir: str, d: Derivation) -> DataFrame:
-    df = table(spark, sf_dir, d.source)
-    if d.source == "lineitem":
-        known = table(spark, sf_dir, "events").select(F.col("event_id").alias("l_orderkey"))
-        df = df.where("l_returnflag = 'R'").join(known, "l_orderkey", "left_semi")
-    return df
-
-
 def raw_feed(spark: SparkSession, sf_dir: str, feed: str, injected: bool = True) -> DataFrame:
     """All-string raw feed; ``injected`` adds retry copies (key % 13 = 0) and empty records (key % 211 = 0).
 
     One scan: a source row yields one to three records through an array, not through a union of scans.
     """
     d = DERIVATIONS[feed]
-    df = _source(spark, sf_dir, d)
+    df = table(spark, sf_dir, d.source)
     if not injected:
         return df.selectExpr(*[f"{e} as {c}" for c, e in d.columns.items()])
 

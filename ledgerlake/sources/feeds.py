@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.functions.privacy import tag_columns
 from ledgerlake.operators.hygiene import CORRUPT
 from ledgerlake.plans.specs import SPECS, FeedSpec
 from ledgerlake.session import new_path
@@ -58,9 +59,9 @@ def add_audit(df: DataFrame) -> DataFrame:
     return df.withColumns({INGESTED_AT: F.current_timestamp(), SOURCE_FILE: F.col("_metadata.file_path")})
 
 
-def write_bronze(df: DataFrame, table: str, path: str | None = None) -> DataFrame:
-    """Append every row to a Bronze table and return the table."""
-    writer = df.write.format("parquet").mode("append")
+def write_bronze(df: DataFrame, table: str, path: str | None = None, mode: str = "append") -> DataFrame:
+    """Append every row to a Bronze table, or replace its rows with ``mode="overwrite"``, and return the table."""
+    writer = df.write.format("parquet").mode(mode)
     (writer.option("path", path) if path else writer).saveAsTable(table)
     return df.sparkSession.table(table)
 
@@ -180,14 +181,21 @@ def database_name(unit: str, layer: str, env: str) -> str:
 def ingest(
     spark: SparkSession, root: str, feeds: Mapping[str, str], unit: str = "fraud", env: str = "dev"
 ) -> dict[str, DataFrame]:
-    """Landing zone to Bronze: scan each feed folder, add audit columns, append all rows.
+    """Landing zone to Bronze: scan each feed folder, add audit columns and policy tags, write all rows.
 
-    ``feeds`` maps feed names to folders below ``root``. Event feeds keep the date of their folder.
+    ``feeds`` maps feed names to folders below ``root``. Event feeds keep the date of their folder; a rerun
+    appends the files that the table does not hold yet. The other feeds are snapshots and replace the table's rows.
+    Tags are stored with the table.
     """
     db = database_name(unit, "bronze", env)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
     out = {}
     for feed, folder in feeds.items():
-        scan = scan_dated if SPECS[feed].dated else scan_feed
-        out[feed] = write_bronze(add_audit(scan(spark, f"{root}/{folder}", feed)), f"{db}.{feed}_bronze")
+        spec, table = SPECS[feed], f"{db}.{feed}_bronze"
+        rows = add_audit((scan_dated if spec.dated else scan_feed)(spark, f"{root}/{folder}", feed))
+        if spec.dated and spark.catalog.tableExists(table):
+            held = spark.table(table).select(SOURCE_FILE).distinct()
+            rows = rows.join(held, SOURCE_FILE, "left_anti").select(rows.columns)
+        tagged = tag_columns(rows, {c: f"pii.{c}" for c in spec.pii})
+        out[feed] = write_bronze(tagged, table, mode="append" if spec.dated else "overwrite")
     return out

@@ -22,8 +22,7 @@ def raw(feed: str) -> str:
     cols = ", ".join(f"{e} as {c}" for c, e in d.columns.items())
     again = ", ".join(f"{e} as {c}" for c, e in {**d.columns, **dict(d.repeat_overrides)}.items())
     nulls = ", ".join(f"cast(null as varchar) as {c}" for c in d.columns)
-    only = f" where {d.restriction}" if d.restriction else ""
-    src = f"(select * from {d.source}{only}) src"
+    src = f"(select * from {d.source}) src"
     parts = [f"select {cols} from {src}"]
     if d.repeated:
         parts.append(f"select {again} from {src} where {d.key} % 13 = 0")
@@ -40,9 +39,9 @@ def key(c: str) -> str:
 
 
 def num(c: str, t: str = "decimal(18,2)", accounting: bool = True) -> str:
-    digits = f"regexp_replace({c}, '[^0-9.\\-]', '', 'g')"
-    sign = f"case when regexp_matches({c}, '\\(.*[0-9].*\\)') then '-' else '' end || " if accounting else ""
-    return f"try_cast({sign}{digits} as {t})"
+    digits = f"regexp_replace({c}, '[^0-9.]', '', 'g')"
+    minus = "-|\\(.*[0-9].*\\)" if accounting else "-"
+    return f"try_cast(case when regexp_matches({c}, '{minus}') then '-' else '' end || {digits} as {t})"
 
 
 def cat(c: str) -> str:
@@ -290,8 +289,8 @@ _PLAN_LINE = (
     "event_id % 8 in (0, 1)"
 )
 TWINS["p17_plan_events"] = (
-    f"select app, cast(position as integer) as position, substring(value, 1, 4000) as event from (select *, row_number() over (partition by app order by event_id) as position "
-    f"from {_LOG} where {_PLAN_LINE}) where position <= 25"
+    f"select app, cast(position as integer) as position, value as event from (select *, row_number() over (partition by app order by event_id) as position "
+    f"from {_LOG} where {_PLAN_LINE})"
 )
 TWINS["p18_filter_jobs"] = (
     f"select {dl.JOB_NAME} as name, {dl.JOB_STATE} as state, {dl.JOB_TIME} as createTime from events "
@@ -576,7 +575,7 @@ _OPS = (
 TWINS["a25_plan_summary"] = (
     "select app, bool_or(case when trim(value) <> '' then contains(value, 'BatchEvalPython') end) as has_batch_eval_python, concat_ws(',', "
     + ", ".join(f"case when bool_or(contains(value, '{o}')) then '{o}' end" for o in _OPS)
-    + f") as native_operators, least({big('count_if(event_id % 8 in (0,1))')}, 25) as plan_event_count from {_LOG} group by app"
+    + f") as native_operators, {big('count_if(event_id % 8 in (0,1))')} as plan_event_count from {_LOG} group by app"
 )
 TWINS["a26_deceleration_gate"] = (
     f"with t as ({TWINS['j7_metric_plan_join']}), a as (select distinct app from {_LOG}) "
@@ -610,17 +609,26 @@ def _rules(rel: str) -> list[tuple[str, str, str, str, float]]:
     ]
 
 
-def _scan(where: str = "") -> str:
+def _scan() -> str:
     return union([
         f"select '{r}' as rule, '{k}' as kind, {big(e)} as evaluated, {big(p)} as passed, round(coalesce({p}::double / nullif({e}, 0), 1.0), 6) as ratio, "
-        f"round(coalesce({p}::double / nullif({e}, 0), 1.0), 6) >= {t} as ok from gold{where}"
+        f"round(coalesce({p}::double / nullif({e}, 0), 1.0), 6) >= {t} as ok from gold"
         for r, k, e, p, t in _rules("gold")
     ])
 
 
+def _scan_by_run() -> str:
+    """Rules per payment method, a missing one included."""
+    run = "'run-' || coalesce(cast(payment_method as varchar), 'none')"
+    return union([
+        f"select {run} as run_id, round(coalesce({p}::double / nullif({e}, 0), 1.0), 6) >= {t} as ok from gold group by 1"
+        for _, _, e, p, t in _rules("gold")
+    ])
+
+
 TWINS["q1_dq_scan"] = with_("gold", _scan())
 _RUNS = union([
-    f"select 'run-{m}' as run_id, count(*) as total, count_if(ok) as passed from ({_scan(f' where payment_method = {m}')})" for m in (0, 1, 2)
+    f"select run_id, count(*) as total, count_if(ok) as passed from ({_scan_by_run()}) group by 1"
 ])
 TWINS["a29_gate_summary"] = with_(
     "gold",
@@ -644,12 +652,15 @@ TWINS["w3_share"] = (
     f"(select {cat('auth_event')} as auth_event, coalesce(mfa_method, 'NONE') as mfa_method, count(*) as row_count from {raw(DEV)} group by 1, 2)"
 )
 _JOBS = f"(select {dl.JOB_NAME} as name, {dl.JOB_STATE} as state, {dl.JOB_TIME} as createTime from events)"
-_TOP = f"(select name, createTime from {_JOBS} where state = 'SUCCEEDED' order by createTime desc, name limit 10)"
+_DONE = f"(select name, createTime from {_JOBS} where state = 'SUCCEEDED')"
+_TOP = f"(select name, createTime from {_DONE} order by createTime desc, name limit 10)"
 TWINS["w4_latest_job"] = union([
-    f"select * from (select '{s}' as stage, name, createTime from {_TOP} order by contains(lower(name), '{s.lower()}') desc, createTime desc, name limit 1)"
+    f"select * from (select '{s}' as stage, name, createTime from {_DONE} order by contains(lower(name), '{s.lower()}') desc, createTime desc, name limit 1)"
     for s in ("Bronze", "Silver", "nowhere")
 ])
-TWINS["l1_ordered_reconcile"] = with_("tx dis", f"select payment_method, silver_tx_count, silver_gross_usd from {_SR} order by 1")
+TWINS["l1_ordered_reconcile"] = (
+    f"select *, cast(row_number() over (order by payment_method nulls last) as integer) as position from ({TWINS['a10_reconcile']}) order by position"
+)
 TWINS["l2_spot_check"] = with_(
     "cus",
     "select 'CUST-' || lpad(cast(c_custkey as varchar), 7, '0') as customer_id, c_mktsegment <> 'BUILDING' and x.customer_id is not null as masked_ssn_ok, "

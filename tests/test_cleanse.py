@@ -22,6 +22,8 @@ NUMBERS = [
     ("-30 deg", "-30.00"), ("USD 9", "9.00"), ("9 USD", "9.00"), (".5", "0.50"), ("7.", "7.00"), ("+3", "3.00"),
     ("12.345", "12.35"), ("-12.345", "-12.35"), ("0", "0.00"), ("\t8 ", "8.00"), ("1,234,567.8", "1234567.80"),
     ("abc", None), ("", None), (" ", None), ("{}", None), ("1.2.3", None), ("1-2", None), ("NaN", None), ("1d", None),
+    ("-$5.00", "-5.00"), ("(USD 5.00)", "-5.00"), ("(5 pts)", "-5.00"), ("5.00-", "-5.00"), ("5.00 USD -", "-5.00"), ("USD +4", "4.00"),
+    ("12,5", None), ("1,2,3", None), ("1,2345", None), ("5)", None), ("--5", None), ("-5-", None), ("(-5)", None), ("1e5", None), ("-", None),
     ("12abc", None), ("1 2", None), ("(12", None), ("1usd2", None), (None, None), ("99999999999999999999", None),
 ]
 

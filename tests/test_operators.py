@@ -8,7 +8,8 @@ import pytest
 from conftest import SF
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import dedup, gates, hygiene, joins, metrics, parity
+from ledgerlake.operators import dedup, gates, hygiene, jobs, joins, metrics, parity, plan_logs
+from ledgerlake.operators.orders import enrich_orders
 from ledgerlake.operators.velocity import velocity
 from ledgerlake.plans.gold import disputes_by_tx
 from ledgerlake.plans.reconcile import promotion_gate, reconcile
@@ -98,7 +99,7 @@ def test_upsert_and_erase(spark):
 def test_join_dim_salted_equals_broadcast(spark, plan_of, how):
     fact = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i % 7}") for i in range(300)] + [(300, None), (301, "none")], "id int, k string")
     dim = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(7)], "k string, d int")
-    small, big = joins.join_dim(fact, dim, ["k"], how), joins.join_dim(fact, dim, ["k"], how, ["id"], limit=0, salts=4)
+    small, big = joins.join_dim(fact, dim, ["k"], how), joins.join_dim(fact, dim, ["k"], how, ["id"], limit=0, least_rows=20)
     assert sorted(small.select("id", "k", "d").collect(), key=str) == sorted(big.select("id", "k", "d").collect(), key=str)
     assert "_salt" in plan_of(big)
     with pytest.raises(ValueError):
@@ -110,7 +111,7 @@ def test_join_dim_spreads_hot_and_missing_keys(spark):
         "id", F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id")).cast("bigint").alias("k")
     )
     dim = spark.range(40000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("d"))
-    out = joins.join_dim(fact, dim, ["k"], "left", ["id"], limit=0, hot_keys=5)
+    out = joins.join_dim(fact, dim, ["k"], "left", ["id"], limit=0, parts=20, least_rows=1)
     before = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -263,3 +264,25 @@ def test_injected_rows(spark):
     assert not plain - full
     empty = sum(n for r, n in extra.items() if all(v is None for v in r))
     assert empty > 0 and sum(extra.values()) - empty == sum(1 for k in range(150) if k % 13 == 0)
+
+
+def test_small_joined_dimension_is_broadcast(spark, plan_of):
+    orders, customer, nation = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("orders", "customer", "nation"))
+    plan = plan_of(enrich_orders(orders, customer, nation))
+    assert "BroadcastHashJoin" in plan and "_salt" not in plan
+    assert "_salt" in plan_of(enrich_orders(orders, customer, nation, limit=0))
+
+
+def test_latest_job_older_than_ten_others(spark):
+    rows = [(f"silver-{i:02}", "SUCCEEDED", f"2024-01-{i + 10}") for i in range(12)] + [("bronze-1", "SUCCEEDED", "2024-01-01")]
+    df = spark.createDataFrame(rows, "name string, state string, createTime string")
+    assert jobs.latest_job(df, "Bronze").first().name == "bronze-1"
+
+
+def test_plan_lines_are_whole(spark):
+    rows = [("p", "a", 0, i, "Velox" + "x" * 5000) for i in range(40)]
+    df = spark.createDataFrame(rows, "path string, app string, block_start long, seq long, value string")
+    events = plan_logs.plan_events(df)
+    assert events.count() == 40 and events.where("length(event) <> 5005").isEmpty()
+    assert plan_logs.plan_events(df, limit=3, width=7).select("event").distinct().collect() == [("Veloxxx",)]
+    assert plan_logs.plan_summary(df).first().plan_event_count == 40

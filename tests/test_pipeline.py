@@ -30,7 +30,16 @@ def test_landing_to_gold(spark, tmp_path, gold):
         assert all(quality.values()), quality
         assert run.bronze["payment_transactions"].count() == raw_feeds(spark, SF)["payment_transactions"].count() + 1
         assert set(tagged(run.bronze["customers_crm"])) == {"ssn", "email"}
-        assert masked_view(run.bronze["customers_crm"], False, ["ssn"]).where("ssn rlike '^[0-9]{3}-'").isEmpty()
+        stored = spark.table("fraud_bronze_e2e.customers_crm_bronze")
+        assert set(tagged(stored)) == {"ssn", "email"}
+        assert masked_view(stored, False).where("ssn rlike '^[0-9]{3}-'").isEmpty()
+        before = {n: df.count() for n, df in run.bronze.items()}
+        again = feeds.ingest(spark, root, {n: n for n in SPECS}, env="e2e")
+        assert {n: spark.table(f"fraud_bronze_e2e.{n}_bronze").count() for n in again} == before
+        (tmp_path / "landing" / "payment_transactions" / "next.json").write_text('{"transaction_id":"TX-1"}\n')
+        feeds.ingest(spark, root, {n: n for n in SPECS}, env="e2e")
+        assert spark.table("fraud_bronze_e2e.payment_transactions_bronze").count() == before["payment_transactions"] + 1
+        assert masked_view(stored, False, ["ssn"]).where("ssn rlike '^[0-9]{3}-'").isEmpty()
         assert spark.table("fraud_silver_e2e.payment_transactions_silver").count() == run.silver["payment_transactions"].count()
         assert spark.table("fraud_gold_e2e.gold_fraud_features").count() == gold.count()
     finally:
