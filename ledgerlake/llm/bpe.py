@@ -16,6 +16,7 @@ import base64
 import hashlib
 from collections.abc import Iterable, Iterator
 from heapq import heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,36 +27,39 @@ from ledgerlake.llm.words import slices
 
 BLOCK_ROWS = 2_000_000
 LONG_PIECE = 1_000
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 SLICE = 4 << 20
 
+# A row's place is its piece's number times 1,024 plus its byte position, as pieces of a block are no longer.
 _ENCODE = """
 create or replace temp table tokens as
 with recursive state as (
-    select 0 as round, piece, pos, token from pieces
+    select 0 as round, place, token from pieces
     union all
-    select round + 1, piece, pos, (case when pos = best_pos then merged else token end)::int
+    select round + 1, place, (case when place = best then merged else token end)::int
     from (
-        select s.round, s.piece, s.pos, s.token, b.best_pos, b.merged, b.gone
+        select s.round, s.place, s.token, b.best, b.merged, b.gone
         from state s join (
-            select piece, (min(key) >> 20)::int as merged, (min(key) & 1048575)::int as best_pos, arg_min(next_pos, key) as gone
+            select place >> 10 as piece, (min(key) >> 10)::int as merged, ((place >> 10) << 10) | (min(key) & 1023) as best, arg_min(next_place, key) as gone
             from (
-                select n.piece, n.next_pos, (m.merged::bigint << 20) | n.pos as key
+                select n.place, n.next_place, (m.merged::bigint << 10) | (n.place & 1023) as key
                 from (
-                    select piece, pos, token, lead(piece) over w as next_piece, lead(pos) over w as next_pos, lead(token) over w as next_token
-                    from state window w as (order by piece, pos)
+                    select place, token, lead(place) over w as next_place, lead(token) over w as next_token
+                    from state window w as (order by place)
                 ) n join merges m on m.pair = (n.token::bigint << 20) | n.next_token
-                where n.next_piece = n.piece
+                where n.next_place >> 10 = n.place >> 10
             )
-            group by piece
-        ) b on s.piece = b.piece
+            group by place >> 10
+        ) b on s.place >> 10 = b.piece
     )
-    where pos <> gone
+    where place <> gone
 )
-select piece, pos, token from state semi join (select piece, max(round) as round from state group by piece) using (piece, round)
+select (place >> 10)::int as piece, (place & 1023)::int as pos, token
+from state semi join (select place >> 10 as piece, max(round) as round from state group by all) last
+    on state.place >> 10 = last.piece and state.round = last.round
 """
 _DECODE = """
-select piece, list(token order by pos), string_agg(v.hex, '' order by pos)
+select piece, list(token order by pos) as ids, string_agg(v.hex, '' order by pos) as hex
 from tokens join vocabulary v using (token) group by piece
 """
 
@@ -66,6 +70,25 @@ def read_ranks(path: str) -> bytes:
         return f.read()
 
 
+class Ragged:
+    """Lists of numbers, one after the other in ``flat``; list k begins at ``first[k]``."""
+
+    def __init__(self, flat: np.ndarray, first: np.ndarray | None = None):
+        self.flat = flat
+        self.first = np.zeros(1, dtype=np.int64) if first is None else first
+
+    def add(self, flat: np.ndarray, lengths: np.ndarray) -> None:
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(lengths, dtype=np.int64)])
+        self.flat = np.concatenate([self.flat, flat.astype(self.flat.dtype)])
+
+    def take(self, which: np.ndarray) -> Ragged:
+        lengths = self.first[which + 1] - self.first[which]
+        first = np.concatenate([[0], np.cumsum(lengths)])
+        at = np.repeat(self.first[which] - first[:-1], lengths)
+        at += np.arange(len(at))
+        return Ragged(self.flat[at], first)
+
+
 class Codec:
     """Merge table and vocabulary of one rank file, with the pieces encoded so far."""
 
@@ -83,7 +106,9 @@ class Codec:
                     merged.append(rank)
         self.merges = dict(zip(pairs, merged))
         self.single = np.array([self.ranks.get(bytes([k]), -1) for k in range(256)], dtype=np.int32)
-        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.index: dict[str, int] = {}  # where a piece is in the two lists below
+        self.ids = Ragged(np.zeros(0, dtype="<u4"))
+        self.text = Ragged(np.zeros(0, dtype=np.uint8))
         self.con = duckdb.connect(config={"threads": 1, "temp_directory": ""})
         self.con.register("given", pa.table({"pair": pa.array(pairs, pa.int64()), "merged": pa.array(merged, pa.int32())}))
         self.con.execute("create table merges as select * from given")
@@ -125,19 +150,23 @@ class Codec:
         direct = [self.ranks.get(b) for _, b in pieces]
         alone = np.array([d is not None for d in direct])
         data = np.frombuffer(b"".join(b for _, b in pieces), dtype=np.uint8)
-        number = np.repeat(np.arange(len(pieces), dtype=np.int32), lengths)
-        pos = (np.arange(len(data)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
+        number = np.repeat(np.arange(len(pieces)), lengths)
+        pos = np.arange(len(data)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         token = self.single[data]
         keep = ~alone[number] | (pos == 0)  # a piece that is a token is one row
         token = np.where(alone[number], np.array([d or 0 for d in direct], dtype=np.int32)[number], token)
-        self.con.register("pieces", pa.table({"piece": number[keep], "pos": pos[keep], "token": token[keep]}))
+        self.con.register("pieces", pa.table({"place": (number << 10 | pos)[keep], "token": token[keep]}))
         self.con.execute(_ENCODE)
         self.con.unregister("pieces")
         self._decode([p for p, _ in pieces])
 
     def _decode(self, pieces: list[str]) -> None:
-        for k, ids, text in self.con.execute(_DECODE).fetchall():
-            self.known[pieces[k]] = (np.array(ids, dtype="<u4").tobytes(), bytes.fromhex(text))
+        found = self.con.sql(_DECODE).to_arrow_table().combine_chunks()
+        number, ids, texts = (found.column(c).combine_chunks() for c in ("piece", "ids", "hex"))
+        self.index.update(zip((pieces[k] for k in number.to_pylist()), range(len(self.index), len(self.index) + len(number))))
+        self.ids.add(np.asarray(ids.flatten()), np.asarray(ids.value_lengths()))
+        texts = texts.to_pylist()
+        self.text.add(np.frombuffer(bytes.fromhex("".join(texts)), dtype=np.uint8), np.array([len(t) // 2 for t in texts], dtype=np.int64))
 
     def learn(self, pieces: Iterable[str]) -> None:
         """Encodes and decodes pieces that are not known yet."""
@@ -162,15 +191,21 @@ class Codec:
 
     def encode(self, texts: list[str], pattern) -> Iterator[tuple[bytes, bytes]]:
         """Ids of each text, little-endian unsigned 32-bit, and the bytes that these decode to."""
-        split = [pattern.findall(t) for t in texts]
-        new = set().union(*split) - self.known.keys() if split else set()
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = set().union(*split)
-        self.learn(new)
-        for pieces in split:
-            both = [self.known[p] for p in pieces]
-            yield b"".join(b[0] for b in both), b"".join(b[1] for b in both)
+        split, both = [pattern.findall(t) for t in texts], []
+        used = set().union(*split)
+        if len(self.index) + len(used - self.index.keys()) > REMEMBERED:  # what this slice needs stays
+            again = {p: self.index[p] for p in used & self.index.keys()}
+            which = np.fromiter(again.values(), dtype=np.int64, count=len(again))
+            self.index = dict(zip(again, range(len(again))))
+            self.ids, self.text = self.ids.take(which), self.text.take(which)
+        self.learn(used - self.index.keys())
+        counts = np.array([len(pieces) for pieces in split], dtype=np.int64)
+        which = np.fromiter(map(self.index.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=int(counts.sum()))
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        for part in (self.ids.take(which), self.text.take(which)):
+            at = part.first[ends].tolist()
+            both.append([part.flat[x:y].tobytes() for x, y in zip(at, at[1:])])
+        yield from zip(*both)
 
 
 _CODECS: dict[str, Codec] = {}
