@@ -26,6 +26,7 @@ PYTHON_EVAL = "BatchEvalPython"
 PYTHON_EVALS = ("BatchEvalPython", "ArrowEvalPython")
 ROW_TRANSITIONS = ("ColumnarToRow", "VeloxToRow", "VeloxColumnarToRow")
 TRANSITION_LIMIT = 500
+ROWS_METRIC = "number of output rows"
 
 
 def _has_any(value: Column, tokens: Sequence[str]) -> Column:
@@ -73,9 +74,12 @@ _TASK_END = (
     "struct<`Task Info`:struct<Accumulables:array<struct<ID:bigint,Name:string,Update:string>>>>"
 )
 _DRIVER_UPDATE = "struct<accumUpdates:array<array<bigint>>>"
-_MOVES = "array<struct<acc:bigint,node:string,update:bigint>>"
-# a node's name opens it and its metrics close it, so names and metrics nest like brackets
-_NODE_TOKEN = r'"nodeName":"((?:[^"\\]|\\.)*)"|"metrics":\[([^\]]*)\]'
+_NODES = "array<struct<node:string,metrics:string>>"
+_METRICS = "array<struct<name:string,accumulatorId:bigint>>"
+# a node's name opens it and its metrics close it, so names and metrics nest like brackets; brackets inside of
+# strings do not count. Possessive, so that no text costs the JVM stack or steps back.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_NODE_TOKEN = rf'"nodeName":{_STRING}|"metrics":\[[^"\]]*+(?:{_STRING}[^"\]]*+)*+\]'
 
 
 def _event(name: str) -> Column:
@@ -83,37 +87,42 @@ def _event(name: str) -> Column:
 
 
 def plan_node_metrics(plan_text: Column) -> Column:
-    """``array<struct<acc, node, update>>`` of all metrics in a plan tree's JSON text (update is 0).
+    """``array<struct<acc, node, metric, update>>`` of all metrics in a plan tree's JSON text (update is 0).
 
     A tree of any depth is folded with a stack: a name token pushes, a metrics token belongs to the
-    name on top and pops it.
+    name on top and pops it. The fold gathers one entry a node; metrics are read from them afterwards.
     """
     tokens = F.regexp_extract_all(plan_text, F.lit(_NODE_TOKEN), F.lit(0))
     empty = F.struct(
-        F.array().cast("array<string>").alias("stack"), F.array().cast(_MOVES).alias("found")
+        F.array().cast("array<string>").alias("stack"), F.array().cast(_NODES).alias("found")
     )
 
     def step(state: Column, token: Column) -> Column:
-        is_name = token.startswith('"nodeName"')
-        name = F.regexp_extract(token, r'^"nodeName":"(.*)"$', 1)
+        name = F.regexp_extract(token, r'(?s)^"nodeName":"(.*)"$', 1)
         depth = F.size(state["stack"])
-        node = F.when(depth > 0, F.element_at(state["stack"], -1))
-        ids = F.regexp_extract_all(token, F.lit(r'"accumulatorId":(\d+)'), F.lit(1))
-        moves = F.transform(
-            ids, lambda i: F.struct(i.try_cast("bigint").alias("acc"), node.alias("node"), F.lit(0).cast("bigint").alias("update"))
+        node = F.struct(
+            F.when(depth > 0, F.element_at(state["stack"], -1)).alias("node"), F.regexp_extract(token, r"(?s)^[^\[]*(\[.*\])$", 1).alias("metrics")
         )
         pushed = F.struct(F.concat(state["stack"], F.array(name)).alias("stack"), state["found"].alias("found"))
         popped = F.struct(
             F.slice(state["stack"], 1, F.greatest(depth - 1, F.lit(0))).alias("stack"),
-            F.concat(state["found"], moves).alias("found"),
+            F.concat(state["found"], F.array(node)).alias("found"),
+        )
+        return F.when(token.startswith('"nodeName"'), pushed).otherwise(popped)
+
+    def metrics_of(node: Column) -> Column:
+        return F.transform(
+            F.coalesce(F.from_json(node["metrics"], _METRICS), F.array().cast(_METRICS)),
+            lambda m: F.struct(
+                m["accumulatorId"].alias("acc"), node["node"].alias("node"), m["name"].alias("metric"), F.lit(0).cast("bigint").alias("update")
+            ),
         )
-        return F.when(is_name, pushed).otherwise(popped)
 
-    return F.aggregate(tokens, empty, step, lambda s: s["found"])
+    return F.flatten(F.transform(F.aggregate(tokens, empty, step, lambda s: s["found"]), metrics_of))
 
 
 def accumulator_moves(lines: DataFrame) -> DataFrame:
-    """One row per plan metric (``node`` set, update 0) and per reported update (``node`` NULL).
+    """One row per plan metric (``node`` and ``metric`` set, update 0) and per reported update (both NULL).
 
     A line is parsed only if it names one of the four events; every other line yields one row without
     an accumulator, so an application without any of them stays visible.
@@ -124,9 +133,10 @@ def accumulator_moves(lines: DataFrame) -> DataFrame:
     )
     task = F.from_json(value, _TASK_END)["Task Info"]["Accumulables"]
     driver = F.from_json(value, _DRIVER_UPDATE)["accumUpdates"]
+    none = F.lit(None).cast("string")
 
     def move(acc: Column, update: Column) -> Column:
-        return F.struct(acc.alias("acc"), F.lit(None).cast("string").alias("node"), update.alias("update"))
+        return F.struct(acc.alias("acc"), none.alias("node"), none.alias("metric"), update.alias("update"))
 
     moves = (
         F.when(is_plan, plan_node_metrics(value))
@@ -140,32 +150,35 @@ def accumulator_moves(lines: DataFrame) -> DataFrame:
 
 
 def node_updates(lines: DataFrame) -> DataFrame:
-    """Summed updates per application and plan node name: plan metrics joined to their updates.
+    """Summed updates per application, plan node name and metric name: plan metrics joined to their updates.
 
     Metrics and updates meet in a group-by on (app, accumulator), after a first one that adds updates up
-    before the shuffle with the node as a key (a hash aggregate; a maximum of text would sort all
+    before the shuffle with node and metric as keys (a hash aggregate; a maximum of text would sort all
     updates). One pass over the logs.
     """
-    added = accumulator_moves(lines).groupBy("app", "acc", "node").agg(F.coalesce(F.sum("update"), F.lit(0)).alias("total"))
-    per_metric = added.groupBy("app", "acc").agg(F.max("node").alias("node"), F.sum("total").alias("total"))
-    return per_metric.groupBy("app", "node").agg(
+    added = accumulator_moves(lines).groupBy("app", "acc", "node", "metric").agg(F.coalesce(F.sum("update"), F.lit(0)).alias("total"))
+    per_metric = added.groupBy("app", "acc").agg(F.max(F.struct("node", "metric")).alias("of"), F.sum("total").alias("total"))
+    return per_metric.groupBy("app", F.col("of.node").alias("node"), F.col("of.metric").alias("metric")).agg(
         F.count("acc").alias("metrics"), F.sum("total").alias("total_updates")
     )
 
 
 def metric_plan_join(lines: DataFrame) -> DataFrame:
-    """Updates of accumulators that belong to a plan node."""
+    """Updates of accumulators that belong to a plan node, kinds of metric apart."""
     return node_updates(lines).where("node is not null")
 
 
 def deceleration_gate(
-    lines: DataFrame, limit: int = TRANSITION_LIMIT, nodes: Sequence[str] = ROW_TRANSITIONS
+    lines: DataFrame, limit: int = TRANSITION_LIMIT, nodes: Sequence[str] = ROW_TRANSITIONS, metric: str = ROWS_METRIC
 ) -> DataFrame:
-    """Per application: updates of columnar-to-row nodes and whether they stay within the limit."""
-    is_transition = F.coalesce(_has_any(F.col("node"), nodes), F.lit(False))
+    """Per application: updates of one metric of columnar-to-row nodes and whether they stay within the limit.
+
+    Rows, batches and nanoseconds are not added to each other.
+    """
+    counts = F.coalesce(_has_any(F.col("node"), nodes) & (F.col("metric") == metric), F.lit(False))
     return (
         node_updates(lines).groupBy("app")
-        .agg(F.coalesce(F.sum(F.when(is_transition, F.col("total_updates"))), F.lit(0)).alias("row_transition_updates"))
+        .agg(F.coalesce(F.sum(F.when(counts, F.col("total_updates"))), F.lit(0)).alias("row_transition_updates"))
         .withColumn("gate_passed", F.col("row_transition_updates") <= limit)
     )
 

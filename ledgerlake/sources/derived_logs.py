@@ -16,26 +16,28 @@ APPS = 40
 BLOCK = "cast(floor(event_id / 8) as bigint)"
 APP_NO = f"({BLOCK} % {APPS})"
 APP = f"'app-' || lpad(cast({APP_NO} as string),4,'0')"
-# accumulator ids: block * 10 + 1 (transition), + 2 (scan), + 3 (project)
+# accumulator ids: block * 10 + 1 (rows of the transition), + 4 and + 5 (its batches and time), + 2 (scan), + 3 (project)
 _ID = f"cast({BLOCK} * 10 + {{}} as string)"
 
 
-def _node(name: str, simple: str, children: str, acc: int, metric: str) -> str:
+def _node(name: str, simple: str, children: str, *metrics: tuple[str, int]) -> str:
+    listed = " || ',' || ".join(
+        f"'{{\"name\":\"{metric}\",\"accumulatorId\":' || {_ID.format(acc)} || ',\"metricType\":\"sum\"}}'" for metric, acc in metrics
+    )
     return (
         f"'{{\"nodeName\":\"' || {name} || '\",\"simpleString\":\"' || {simple} || '\",\"children\":[' || {children} ||"
-        f" '],\"metadata\":{{}},\"metrics\":[{{\"name\":\"{metric}\",\"accumulatorId\":' || {_ID.format(acc)} ||"
-        f" ',\"metricType\":\"sum\"}}]}}'"
+        f" '],\"metadata\":{{}},\"metrics\":[' || {listed} || ']}}'"
     )
 
 
 _SCAN = _node("'Scan parquet'", f"case when {APP_NO} % 5 = 2 then 'props: map<string,string>' else 'id: bigint' end",
-              "''", 2, "number of output rows")
+              "''", ("number of output rows", 2))
 _TRANSITION = _node(
     f"case {APP_NO} % 3 when 0 then 'ColumnarToRow' when 1 then 'VeloxColumnarToRow' else 'FilterExecTransformer' end",
-    "'transition'", _SCAN, 1, "number of output rows",
+    "'transition'", _SCAN, ("batches [in]", 4), ("number of output rows", 1), ("time", 5),
 )
 _ROOT = _node(f"case when {APP_NO} % 5 = 1 then 'BatchEvalPython' else 'Project' end", "'[f(id)]'",
-              _TRANSITION, 3, "data sent to workers")
+              _TRANSITION, ("data sent to workers", 3))
 _UI = "org.apache.spark.sql.execution.ui."
 LINE = (
     "case event_id % 8 "
@@ -45,7 +47,8 @@ LINE = (
     f" ',\"sparkPlanInfo\":' || {_TRANSITION} || '}}' "
     "when 2 then '{\"Event\":\"SparkListenerTaskEnd\",\"Stage ID\":1,\"Task Info\":{\"Task ID\":' || cast(event_id as string) ||"
     f" ',\"Accumulables\":[{{\"ID\":' || {_ID.format(1)} || ',\"Name\":\"number of output rows\",\"Update\":\"' ||"
-    " cast(event_id % 50 as string) || '\",\"Internal\":true}]}}' "
+    f" cast(event_id % 50 as string) || '\",\"Internal\":true}},{{\"ID\":' || {_ID.format(4)} || ',\"Update\":\"' || cast(event_id % 3 as string) ||"
+    f" '\"}},{{\"ID\":' || {_ID.format(5)} || ',\"Update\":\"' || cast(event_id % 900000 as string) || '\"}}]}}}}' "
     "when 3 then '{\"Event\":\"SparkListenerTaskEnd\",\"Stage ID\":1,\"Task Info\":{\"Task ID\":' || cast(event_id as string) ||"
     f" ',\"Accumulables\":[{{\"ID\":' || {_ID.format(1)} || ',\"Update\":' || cast(event_id % 7 as string) || '}},{{\"ID\":' ||"
     f" {_ID.format(2)} || ',\"Update\":\"' || cast(event_id % 11 as string) || '\"}}]}}}}' "

@@ -367,16 +367,18 @@ _TR = "case app_no % 3 when 0 then 'ColumnarToRow' when 1 then 'VeloxColumnarToR
 _RT = "case when app_no % 5 = 1 then 'BatchEvalPython' else 'Project' end"
 _UPD = (
     f"(select block, 1 as acc, event_id % 50 as u from {_LOG} where event_id % 8 = 2 union all "
+    f"select block, 4, event_id % 3 from {_LOG} where event_id % 8 = 2 union all select block, 5, event_id % 900000 from {_LOG} where event_id % 8 = 2 union all "
     f"select block, 1, event_id % 7 from {_LOG} where event_id % 8 = 3 union all select block, 2, event_id % 11 from {_LOG} where event_id % 8 = 3 "
     f"union all select block, 1, event_id % 13 from {_LOG} where event_id % 8 = 4)"
 )
 _METRICS = (
-    f"(select app, block, 1 as acc, {_TR} as node from {_NODES} union all select app, block, 2, 'Scan parquet' from {_NODES} "
-    f"union all select app, block, 3, {_RT} from {_LOG} where event_id % 8 = 0)"
+    f"(select app, block, acc, {_TR} as node, metric from {_NODES}, (values (1, 'number of output rows'), (4, 'batches [in]'), (5, 'time')) v(acc, metric) "
+    f"union all select app, block, 2, 'Scan parquet', 'number of output rows' from {_NODES} "
+    f"union all select app, block, 3, {_RT}, 'data sent to workers' from {_LOG} where event_id % 8 = 0)"
 )
 TWINS["j7_metric_plan_join"] = (
-    f"select m.app, m.node, count(distinct m.block * 10 + m.acc) as metrics, {big('sum(coalesce(u.u, 0))')} as total_updates "
-    f"from {_METRICS} m left join {_UPD} u on m.block = u.block and m.acc = u.acc group by 1, 2"
+    f"select m.app, m.node, m.metric, count(distinct m.block * 10 + m.acc) as metrics, {big('sum(coalesce(u.u, 0))')} as total_updates "
+    f"from {_METRICS} m left join {_UPD} u on m.block = u.block and m.acc = u.acc group by 1, 2, 3"
 )
 TWINS["j8_ab_compare"] = (
     "with r as (select cast(floor(event_id / 8) as bigint) % 50 as job, event_id % 8 = 3 as std, "
@@ -579,8 +581,8 @@ TWINS["a25_plan_summary"] = (
 )
 TWINS["a26_deceleration_gate"] = (
     f"with t as ({TWINS['j7_metric_plan_join']}), a as (select distinct app from {_LOG}) "
-    f"select a.app, {big('''sum(case when node in ('ColumnarToRow','VeloxColumnarToRow') then total_updates end)''')} as row_transition_updates, "
-    "coalesce(sum(case when node in ('ColumnarToRow','VeloxColumnarToRow') then total_updates end), 0) <= 500 as gate_passed from a left join t on a.app = t.app group by 1"
+    f"select a.app, {big('''sum(case when metric = 'number of output rows' and node in ('ColumnarToRow','VeloxColumnarToRow') then total_updates end)''')} as row_transition_updates, "
+    "coalesce(sum(case when metric = 'number of output rows' and node in ('ColumnarToRow','VeloxColumnarToRow') then total_updates end), 0) <= 500 as gate_passed from a left join t on a.app = t.app group by 1"
 )
 TWINS["a27_qualify"] = (
     f"select app_id, {_CLS} as class, app_no % 5 in (0,4) as recommend, case when app_no % 5 in (0,4) then 2.0::double else 1.0::double end as est_speedup, "
