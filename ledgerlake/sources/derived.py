@@ -135,7 +135,8 @@ DERIVATIONS: dict[str, Derivation] = {
         "l_partkey",
         {
             "dispute_id": "'DSP-' || cast(l_orderkey as string) || '-' || cast(l_linenumber as string) || '-' || "
-            "cast(l_partkey as string) || '-' || cast(l_suppkey as string)",
+            "cast(l_partkey as string) || '-' || cast(l_suppkey as string) || '-' || "
+            "cast(cast(l_extendedprice as decimal(18,2)) as string)",  # numbers alone repeat with another price
             "transaction_id": _drift("l_partkey", _padded("TX", "l_orderkey", 9)),
             "reason_code": "'R' || cast(l_linenumber as string) || case when l_partkey % 3 = 0 then '#' else '' end",
             "dispute_amount": "case when l_partkey % 103 = 0 then '0' else "
