@@ -143,9 +143,21 @@ def manifest_check(
 
 
 def register_external(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Create or replace a table over existing Parquet files; the files stay where they are."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    """Create or replace a table over existing Parquet files; the files stay where they are.
+
+    An external table with the same columns gets the new location in one step, so that readers always find a table.
+    """
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
+    if (
+        spark.catalog.tableExists(name)
+        and spark.catalog.getTable(name).tableType == "EXTERNAL"
+        and spark.table(name).schema == spark.read.parquet(path).schema
+    ):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{location}'")
     return spark.table(name)
 
 

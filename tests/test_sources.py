@@ -204,3 +204,18 @@ def test_operators_read_this_sessions_own_log(spark, log_dir):
     assert plan_logs.deceleration_gate(lines, 10**15).where("not gate_passed").isEmpty()
     features = {r.app_id: r for r in plan_logs.qualify(lines).collect()}[app]
     assert features["class"] in ("udf_decelerated", "rdd_heavy") and features.python_plans > 0
+
+
+def test_a_table_moves_to_new_files_without_a_gap(spark, tmp_path):
+    name = "moved_table"
+    try:
+        paths = [str(tmp_path / p) for p in ("a", "b's", "c")]
+        spark.range(3).write.parquet(paths[0])
+        spark.range(5).write.parquet(paths[1])
+        spark.range(2).selectExpr("id", "'x' as more").write.parquet(paths[2])
+        assert feeds.register_external(spark, name, paths[0]).count() == 3
+        assert feeds.register_external(spark, name, paths[1]).count() == 5
+        assert spark.table(name).count() == 5
+        assert feeds.register_external(spark, name, paths[2]).columns == ["id", "more"]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
