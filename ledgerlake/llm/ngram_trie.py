@@ -138,28 +138,45 @@ class Trie:
         self.contexts, self.after, self.before, self.deep, self.codes = contexts, after, before, deep, codes
 
     @classmethod
-    def build(cls, v: np.ndarray, u: np.ndarray, w: np.ndarray, base: np.ndarray) -> Trie:
-        """From training events: context key, word before it, next word, and the code of the next word's base probability."""
+    def build(cls, v: np.ndarray, u: np.ndarray, w: np.ndarray, base: np.ndarray, n: np.ndarray, exact: list[np.ndarray] | None = None) -> Trie:
+        """From events: context key, word before it, next word, the code of the next word's base probability, and training count.
+
+        An event may come several times; those without training counts are not held. ``exact`` gives, for events
+        whose context is split over tries, ``v, u, w``, total and kinds of the context, the count of ``v w``, and total and kinds of ``u v``, over all tries.
+        """
+        given = slice(len(v), None)
+        if exact is not None:
+            v, u, w = (np.concatenate(x) for x in zip((v, u, w), exact[:3]))
+            n = np.concatenate((n, np.zeros(len(exact[0]), dtype=n.dtype)))
         contexts, c = np.unique(v, return_inverse=True)
-        pair, pair_at, pair_of, pair_n = np.unique(c.astype(np.int64) << 40 | w, return_index=True, return_inverse=True, return_counts=True)
+        pair, pair_at, pair_of = np.unique(c.astype(np.int64) << 40 | w, return_index=True, return_inverse=True)
         pair_c = pair >> 40
-        total, kinds = np.bincount(c, minlength=len(contexts)), np.bincount(pair_c, minlength=len(contexts))
-        share = DISCOUNT * kinds / np.maximum(total, 1)
-        p2 = (pair_n - DISCOUNT) / total[pair_c] + share[pair_c] * 10.0 ** (-STEP * base[pair_at])
-        after = Level.build(pair_c, pair & ((1 << 40) - 1), len(contexts))
-        place = pair_of - np.searchsorted(pair_c, np.arange(len(contexts)))[c]  # of w among the successors of v
+        place = pair_of - np.searchsorted(pair_c, np.arange(len(contexts)))[c]
         long, long_of = np.unique(c.astype(np.int64) << 40 | u, return_inverse=True)
-        before = Level.build(long >> 40, long & ((1 << 40) - 1), len(contexts))
-        three, three_at, three_n = np.unique(long_of.astype(np.int64) << 32 | place, return_index=True, return_counts=True)
-        three_l = three >> 32
-        total3, kinds3 = np.bincount(long_of, minlength=len(long)), np.bincount(three_l, minlength=len(long))
+        three, three_at, three_of = np.unique(long_of.astype(np.int64) << 32 | place, return_index=True, return_inverse=True)
+        three_l, three_p = three >> 32, pair_of[three_at]
+        total, pair_n, total3, three_n = (np.bincount(x, weights=n, minlength=len(y)) for x, y in ((c, contexts), (pair_of, pair), (long_of, long), (three_of, three)))
+        kinds, kinds3 = np.bincount(pair_c[pair_n > 0], minlength=len(contexts)), np.bincount(three_l[three_n > 0], minlength=len(long))
+        if exact is not None:
+            for figure, at, value in zip((total, kinds, pair_n, total3, kinds3), (c, c, pair_of, long_of, long_of), exact[3:]):
+                figure[at[given]] = value
+        share = DISCOUNT * kinds / np.maximum(total, 1)
+        # an event of exact is among the others, which come first and have its base
+        p2 = np.maximum(pair_n - DISCOUNT, 0) / np.maximum(total[pair_c], 1) + share[pair_c] * 10.0 ** (-STEP * base[pair_at])
         share3 = DISCOUNT * kinds3 / np.maximum(total3, 1)
-        p3 = (three_n - DISCOUNT) / total3[three_l] + share3[three_l] * p2[pair_of[three_at]]
-        deep = Level.build(three_l, three & ((1 << 32) - 1), len(long))
-        return cls(Monotone.build(contexts), after, before, deep, [quantise(x) for x in (share, p2, share3, p3)])
+        p3 = np.maximum(three_n - DISCOUNT, 0) / np.maximum(total3[three_l], 1) + share3[three_l] * p2[three_p]
+        # nodes without training counts go
+        has, has2, has_u, has3 = total > 0, pair_n > 0, total3 > 0, three_n > 0
+        c_at, pair_to, long_to = (np.cumsum(x) - 1 for x in (has, has2, has_u))
+        after = Level.build(c_at[pair_c[has2]], pair[has2] & ((1 << 40) - 1), int(has.sum()))
+        before = Level.build(c_at[long[has_u] >> 40], long[has_u] & ((1 << 40) - 1), int(has.sum()))
+        first = np.searchsorted(c_at[pair_c[has2]], np.arange(int(has.sum())))
+        # of w among the successors of v
+        deep = Level.build(long_to[three_l[has3]], pair_to[three_p[has3]] - first[c_at[pair_c[three_p[has3]]]], int(has_u.sum()))
+        return cls(Monotone.build(contexts[has]), after, before, deep, [quantise(x) for x in (share[has], p2[has2], share3[has_u], p3[has3])])
 
     def score(self, v: np.ndarray, u: np.ndarray, w: np.ndarray, base: np.ndarray) -> np.ndarray:
-        """log10 probability of each event, backing off where the trie lacks it."""
+        """Code of the probability of each event, backing off where the trie lacks it."""
         at, known = self.contexts.find(v.astype(np.uint64))
         c = np.where(known, at, -1)
         share, p2, share3, p3 = self.codes
@@ -176,7 +193,7 @@ class Trie:
             out[has_deep] = p3[deep[found]]
         rest = has_long & ~has_deep
         out[rest] += share3[long[rest]]
-        return out * -STEP
+        return out
 
     def to_bytes(self) -> bytes:
         """One block: a table of lengths, then all levels, each on a multiple of eight bytes."""

@@ -168,6 +168,24 @@ def test_lm_equals_plain_model(docs, texts, monkeypatch):
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
 
 
+@pytest.mark.parametrize("context_events", [7, 40])
+def test_lm_split_words_equal_plain_model(spark, docs, texts, monkeypatch, context_events):
+    """Frequent words, a phrase on a third of the lines and the beginnings of texts are split; no probability changes."""
+    from ledgerlake.llm import lm
+
+    for name, value in (("SHARD_WORDS", 3_000), ("SHARD_EVENTS", 2_000), ("BLOCK_BYTES", 1 << 14), ("CONTEXT_EVENTS", context_events)):
+        monkeypatch.setattr(lm, name, value)
+    rows = [(i, " ".join(words(r.text)[:60])) for i, r in texts.items()] + [(10_000 + k, f"so it is w{k % 50} end") for k in range(100)]
+    given = spark.createDataFrame(rows, "doc_id long, text string")
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
+    got = {r.doc_id: r for r in lm.score_documents(given)[0].collect()}
+    assert len(got) == len(rows)
+    for i, n, known, total, base, score in plain_lm({r.doc_id: r for r in given.collect()}, held):
+        r = got[i]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (n, known, total)
+        assert r.base_score == pytest.approx(base) and abs(r.score - score) <= 0.001 * n
+
+
 def test_lm_awkward(awkward, empty):
     from ledgerlake.llm.lm import score_documents
 
