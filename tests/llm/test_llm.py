@@ -186,6 +186,17 @@ def test_lm_split_words_equal_plain_model(spark, docs, texts, monkeypatch, conte
         assert r.base_score == pytest.approx(base) and abs(r.score - score) <= 0.001 * n
 
 
+def test_lm_sends_distinct_events_and_splits_beginnings():
+    from ledgerlake.llm import lm
+
+    words_, counts = np.arange(10, 310, dtype=np.uint64) * np.uint64(1 << 50), np.full(3_000, 2)
+    places = np.stack([np.arange(3_000) % 299, np.full(3_000, 299)], axis=1).reshape(-1)
+    hot = np.array([lm.BEGIN]), np.array([8], dtype=np.uint64)
+    v, u, w, n, part, split, shard, of = lm._deal(words_, counts, np.zeros(3_000, dtype=bool), places, hot, 64)
+    assert len(v) == 2 * 299 and n.sum() == 6_000 and len(of) == 6_000  # 3,000 texts begin with 299 words
+    assert split.sum() == 299 and max(Counter(part[split]).values()) < 299 / 3 and len(set(shard[split])) > 3
+
+
 def test_lm_awkward(awkward, empty):
     from ledgerlake.llm.lm import score_documents
 
