@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.bpe import read_ranks, token_digests
-from ledgerlake.llm.common import remainder, staged, table
+from ledgerlake.llm.common import remainder, staged, table, with_row_key
 from ledgerlake.llm.mixing import mixed_documents
 from ledgerlake.llm.neardup import near_duplicates
 from ledgerlake.llm.pii import pseudonymise
@@ -28,9 +28,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: the one with the least id."""
-    gone = near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs.doc_id == gone.gone_id, "left_anti")
+    """One document of each group of near-duplicates stays: the one with the least id.
+
+    Every row goes or stays by its own text; rows that repeat an id and its text stay together.
+    """
+    rows = with_row_key(docs)
+    gone = near_duplicates(rows, carry=("row_key",)).filter("not kept").select("row_key")
+    return rows.join(gone, "row_key", "left_anti").select(*docs.columns)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

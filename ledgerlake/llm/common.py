@@ -35,6 +35,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return stage(df, name)
 
 
+def with_row_key(docs: DataFrame) -> DataFrame:
+    """``docs`` written once with ``row_key``, a number of each row's own, whatever its id."""
+    return staged(docs.withColumn("row_key", F.monotonically_increasing_id()), "keyed")
+
+
 def hex_bucket(digest: Column, buckets: Column) -> Column:
     """Which of ``buckets`` equal ranges of hexadecimal digests a digest is in; keeps their order."""
     share = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import ROWS_PER_PART, hex_bucket, staged, word_count
+from ledgerlake.llm.common import ROWS_PER_PART, hex_bucket, staged, with_row_key, word_count
 
 MOST_EPOCHS = 3
 WEIGHTS = (1, 2, 3)
@@ -49,17 +49,18 @@ def source_targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, most:
 
 def mix_sources(
     docs: DataFrame, size: Column | None = None, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS,
-    part_rows: int = ROWS_PER_PART,
+    part_rows: int = ROWS_PER_PART, carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per row of ``docs`` (``doc_id``, ``source``, ``text``): what the mix takes of it.
 
     Returns ``doc_id, source, size, source_size, target, taken``. ``taken`` of a source sums up to its
     target, rounded; a document is taken ``floor(taken / size)`` times whole and, where the budget ends
     inside it, once in part. Null or empty texts have size 0 and are not taken. Repeated rows count each.
-    Equal ids are ordered by their size, so ties do not matter. Other columns of ``docs`` are not looked at.
+    Equal ids are ordered by their size, so ties do not matter. Other columns of ``docs`` are not looked at,
+    but those of ``carry`` come along, and rows of equal id and size are in their order.
     """
     sized = staged(
-        docs.select("doc_id", "source", (word_count(F.col("text")) if size is None else size).cast("long").alias("size")), "mix-sizes"
+        docs.select("doc_id", "source", (word_count(F.col("text")) if size is None else size).cast("long").alias("size"), *carry), "mix-sizes"
     )
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
     targets = source_targets(totals, weights, most).select(
@@ -68,28 +69,28 @@ def mix_sources(
     # one row per source: small by its nature, and joined by the planner as it sees fit
     keyed = sized.withColumn("key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))).join(
         targets, F.col("source").eqNullSafe(F.col("of"))
-    ).select("doc_id", "source", "size", "source_size", "target", "key", hex_bucket(F.col("key"), F.col("parts")).alias("part"))
+    ).select("doc_id", "source", "size", "source_size", "target", "key", *carry, hex_bucket(F.col("key"), F.col("parts")).alias("part"))
     sums = keyed.groupBy("source", "part").agg(F.sum("size").alias("sum"))
     ahead = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
         F.col("source").alias("s"), F.col("part").alias("p"), F.coalesce(F.sum("sum").over(ahead), F.lit(0)).alias("offset")
     )
-    inside = Window.partitionBy("source", "part").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "part").orderBy("key", "doc_id", "size", *carry).rowsBetween(Window.unboundedPreceding, -1)
     prefix = keyed.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     placed = prefix.join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
     budget = F.round("target").cast("long")
     whole = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
     rest = budget - whole * F.col("source_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("offset") - F.col("inside")))
-    return placed.select("doc_id", "source", "size", "source_size", "target", (whole * F.col("size") + part).cast("long").alias("taken"))
+    return placed.select("doc_id", "source", "size", "source_size", "target", (whole * F.col("size") + part).cast("long").alias("taken"), *carry)
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
     """The mix itself: rows of ``docs`` as often as taken. The one document of a source in which its budget
-    ends comes whole if at least half of it is inside, else not at all; ids must be unique."""
-    taken = mix_sources(docs, weights=weights, most=most).select(
-        F.col("doc_id").alias("mix_id"), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("times")
+    ends comes whole if at least half of it is inside, else not at all. Rows with a null or repeated id are rows
+    of their own; of those with the same id and size, the order is that of their content's hash."""
+    rows = with_row_key(docs)
+    taken = mix_sources(rows.withColumn("row_hash", F.xxhash64(*docs.columns)), weights=weights, most=most, carry=("row_hash", "row_key")).select(
+        "row_key", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("times")
     ).filter("times > 0")
-    return docs.join(taken, docs.doc_id == taken.mix_id).withColumn(
-        "copy", F.explode(F.sequence(F.lit(1), F.col("times")))
-    ).select(*[docs[c] for c in docs.columns])
+    return rows.join(taken, "row_key").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*docs.columns)

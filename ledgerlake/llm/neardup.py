@@ -85,19 +85,25 @@ def _long(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
+def _digests(flat: np.ndarray, at: np.ndarray, some: np.ndarray) -> np.ndarray:
+    digest = np.zeros((2, len(some)), dtype=np.uint64)
+    if len(at):
+        for k in range(2):
+            digest[k, some] = np.add.reduceat(mix(flat, 1000 + k), at)
+    return digest
+
+
 def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``doc_id, text`` -> ``doc_id, n_shingles, set_a, set_b, l0.., n0..``: size, 128-bit digest and signatures of each set."""
+    """``doc_id, text`` -> ``doc_id, n_shingles, set_a, set_b, l0.., n0..``: size, 128-bit digest and signatures of each set. Columns after ``text`` come along."""
     for batch in batches:
         for part in slices(batch):
             flat, ends = _sets(part)
             n = np.diff(ends)
             some = n > 0
             at = ends[:-1][some]
-            digest = np.zeros((2, len(n)), dtype=np.uint64)
+            digest = _digests(flat, at, some)
             lanes, sieve = np.zeros((LANES, len(n)), dtype=np.uint64), np.zeros((NIBBLES, len(n)), dtype=np.uint64)
             if len(at):
-                for k in range(2):
-                    digest[k, some] = np.add.reduceat(mix(flat, 1000 + k), at)
                 for k in range(SLOTS):
                     least = np.minimum.reduceat(mix(flat, 1 + k), at) & np.uint64(0xFFFF)
                     lanes[k // 4, some] |= least << np.uint64(16 * (k % 4))
@@ -105,8 +111,8 @@ def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     least = mix(np.minimum.reduceat(flat * _FACTORS[k], at)) & np.uint64(0xF)
                     sieve[k // 16, some] |= least << np.uint64(4 * (k % 16))
             yield pa.RecordBatch.from_arrays(
-                [part.column(part.schema.get_field_index("doc_id")), pa.array(n), _long(digest[0]), _long(digest[1]), *map(_long, lanes), *map(_long, sieve)],
-                names=["doc_id", "n_shingles", "set_a", "set_b", *_LANES, *_NIBBLES],
+                [part.column(part.schema.get_field_index("doc_id")), pa.array(n), _long(digest[0]), _long(digest[1]), *map(_long, lanes), *map(_long, sieve), *part.columns[2:]],
+                names=["doc_id", "n_shingles", "set_a", "set_b", *_LANES, *_NIBBLES, *part.schema.names[2:]],
             )
 
 
@@ -131,13 +137,15 @@ def chunk_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``doc_id, text`` -> ``doc_id, shingles``: the sorted set as bytes."""
+    """``doc_id, text`` -> ``doc_id, n_shingles, set_a, set_b, shingles``: size, digest, and the sorted set as bytes."""
     for batch in batches:
         for part in slices(batch):
             flat, ends = _sets(part)
+            n = np.diff(ends)
+            digest = _digests(flat, ends[:-1][n > 0], n > 0)
             yield pa.RecordBatch.from_arrays(
-                [part.column(part.schema.get_field_index("doc_id")), pa.array([flat[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary())],
-                names=["doc_id", "shingles"],
+                [part.column(part.schema.get_field_index("doc_id")), pa.array(n), *map(_long, digest), pa.array([flat[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary())],
+                names=["doc_id", "n_shingles", "set_a", "set_b", "shingles"],
             )
 
 
@@ -176,33 +184,38 @@ def _similar(shared: Column, m: Column, n: Column, percent: int) -> Column:
     return shared * 100 >= (m + n - shared) * percent
 
 
-def near_duplicates(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (``doc_id``, ``text``).
+def near_duplicates(docs: DataFrame, percent: int = SIMILARITY, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` and the long columns ``carry`` for every row of ``docs`` (``doc_id``, ``text``).
 
     Documents are linked from ``percent`` on, 75 or more. Null and wordless texts have an empty set and are linked
     with nothing. ``component_id`` is the least id that a document reaches, and ``kept`` marks that document;
-    rows that repeat an id and its text are the same document. Rows without an id never become a class of
+    rows that repeat an id and its text are the same document, and texts that share an id are documents of their own. Rows without an id never become a class of
     others; unlinked, they are kept. An empty table gives no rows.
     """
     signed = staged(on_workers(
-        docs.select("doc_id", "text"), sign,
-        "doc_id long, n_shingles long, set_a long, set_b long, " + ", ".join(f"{c} long" for c in _LANES + _NIBBLES),
+        docs.select("doc_id", "text", *carry), sign,
+        "doc_id long, n_shingles long, set_a long, set_b long, " + ", ".join(f"{c} long" for c in (*_LANES, *_NIBBLES, *carry)),
     ), "signed")
-    # one row per set; its class's least document carries the signatures
+    # one row per set; its class's least document carries the signatures. Below, doc_id is the class's number: they rise with that
+    # document's id, and texts that share an id have several
     least = signed.filter("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    classes = staged(least, "classes")
-    reps = staged(
-        signed.join(classes.select(F.col("rep").alias("doc_id"), "set_a", "set_b", "n_shingles"), ["doc_id", "set_a", "set_b", "n_shingles"])
-        .dropDuplicates(["doc_id"]).drop("set_a", "set_b"), "reps",
-    )
+    classes = staged(least.orderBy("rep", "set_a", "set_b", "n_shingles").withColumn("class", F.monotonically_increasing_id()), "classes")
+
+    def by_class(df: DataFrame) -> DataFrame:
+        """Rows of the classes' least documents, one each, with the class's number for the id."""
+        of = classes.select(F.col("rep").alias("doc_id"), "set_a", "set_b", "n_shingles", "class")
+        return df.join(of, ["doc_id", "set_a", "set_b", "n_shingles"]).dropDuplicates(["class"]).drop("doc_id", "set_a", "set_b").withColumnRenamed("class", "doc_id")
+
+    reps = staged(by_class(signed.drop(*carry)), "reps")
     keyed = on_workers(reps.select("doc_id", *_LANES), chunk_keys, "doc_id long, keys array<long>").select("doc_id", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("low")).filter("n > 1")
     members = staged(keyed.join(shared.drop("n"), "key"), "members")
     wanted = members.select("doc_id").distinct()
     sieves = staged(reps.select("doc_id", "n_shingles", *_NIBBLES).join(wanted, "doc_id", "left_semi"), "sieves")
-    sets = staged(on_workers(
-        docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), full_sets, "doc_id long, shingles binary"
-    ).dropDuplicates(["doc_id"]), "sets")
+    wanted_ids = classes.join(wanted, F.col("class") == F.col("doc_id"), "left_semi").select(F.col("rep").alias("doc_id"))
+    sets = staged(by_class(on_workers(
+        docs.select("doc_id", "text").join(wanted_ids, "doc_id", "left_semi"), full_sets, "doc_id long, n_shingles long, set_a long, set_b long, shingles binary"
+    )).drop("n_shingles"), "sets")
 
     def linked(pairs: DataFrame, sieved: bool) -> DataFrame:
         """Links ``a, b`` among the pairs. The sets of ``b`` travel, those of ``a`` wait."""
@@ -258,13 +271,14 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
             spokes = found.filter("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
             found = staged(components(more.unionByName(spokes)), "found")
 
-    least = classes.join(found, classes.rep == found.node, "left").select(
-        "set_a", "set_b", F.col("n_shingles").alias("n"), F.coalesce("component", "rep").alias("least")
+    placed = classes.join(found, F.col("class") == found.node, "left").withColumn("component", F.coalesce("component", "class"))
+    least = placed.join(classes.select(F.col("class").alias("first"), F.col("rep").alias("least")), F.col("component") == F.col("first")).select(
+        "set_a", "set_b", F.col("n_shingles").alias("n"), "least", (F.col("class") == F.col("first")).alias("leads")
     )
-    of = signed.select("doc_id", "n_shingles", F.col("set_a").alias("s_a"), F.col("set_b").alias("s_b"))
+    of = signed.select("doc_id", "n_shingles", *carry, F.col("set_a").alias("s_a"), F.col("set_b").alias("s_b"))
     out = of.join(least, (F.col("s_a") == F.col("set_a")) & (F.col("s_b") == F.col("set_b")) & (F.col("n_shingles") == F.col("n")), "left")
     component = F.coalesce("least", "doc_id")
     return out.select(
         "doc_id", "n_shingles", component.alias("component_id"),
-        F.when(component.isNull(), True).otherwise(F.coalesce(F.col("doc_id") == component, F.lit(False))).alias("kept"),
+        F.when(component.isNull(), True).otherwise(F.coalesce((F.col("doc_id") == component) & F.coalesce("leads", F.lit(True)), F.lit(False))).alias("kept"), *carry,
     )

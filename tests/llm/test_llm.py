@@ -619,3 +619,22 @@ def test_pipeline_awkward(spark, awkward, empty):
         for _, stage in corpus_pipeline.STAGES:
             now = staged(stage(spark, now, SF), "test")
         assert now.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_pipeline_keeps_rows_with_null_and_repeated_ids(spark):
+    import corpus_pipeline
+
+    def prose(seed):
+        rnd = random.Random(seed)
+        return " ".join(rnd.choice("abcdefghij") * rnd.randrange(1, 9) for _ in range(120))
+
+    first, other = prose(1), prose(2)
+    rows = [(1, first), (2, first), (2, other), (3, prose(3)), (3, prose(3)), (None, prose(4)), (None, prose(5)), (None, prose(5)), (4, prose(6)), (4, prose(6) + " end"), (4, prose(7))]
+    given = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], SCHEMA)
+    kept = corpus_pipeline.drop_near_duplicates(spark, given, SF)
+    fours = {prose(6), prose(6) + " end"}
+    got = Counter((r.doc_id, r.text) for r in kept.collect())
+    assert sum(n for (i, t), n in got.items() if i == 4 and t in fours) == 1
+    assert {x: n for x, n in got.items() if x[1] not in fours} == Counter((i, t) for i, t in rows if t not in fours and (i, t) != (2, first))
+    mixed = corpus_pipeline.mix(spark, given, SF)  # one source: its target is its own size
+    assert Counter((r.doc_id, r.text) for r in mixed.collect()) == Counter(rows)
