@@ -11,7 +11,7 @@ number drawn from the keyed digest of the other is added modulo its radix.
 | Kind | Valid if | What is permuted |
 | --- | --- | --- |
 | email | pattern | letters and digits up to the last dot, within their class |
-| secret | access-key pattern, or a value after password, token, secret or api key | letters and digits of the value, within their class |
+| secret | access-key pattern, or a value of any length, dots inside included, after password, token, secret or api key | letters and digits of the value, within their class |
 | ip | four numbers up to 255 | the four numbers, each among those of as many digits |
 | iban | mod-97 check | the account part; check digits are worked out anew |
 | date | a day of 1900 to 2099, as Y-M-D, D.M.Y or M/D/Y | the day number |
@@ -31,7 +31,8 @@ KINDS = ("email", "secret", "ip", "iban", "date", "ssn", "phone", "card")
 _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
 _ACCESS_KEY = r"(?<![A-Za-z0-9])A[KS]IA[0-9A-Z]{16}(?![A-Za-z0-9])"
 _LABEL = r"(?i:passw(?:or)?d|pwd|secret|token|api[_-]?key)\s{0,3}[:=]\s{0,3}[\"']?"
-_SECRET = _LABEL + r"[A-Za-z0-9+/_-]{6,256}"
+#: Six symbols or more, dots inside included, up to the end of the run; an address is left to its own kind.
+_SECRET = _LABEL + f"(?!{_EMAIL})" + r"(?=[A-Za-z0-9+/_-](?:\.?[A-Za-z0-9+/_-]){5})[A-Za-z0-9+/_-]++(?:\.[A-Za-z0-9+/_-]++)*+"
 _IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])"
 _IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 _DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9/-])"

@@ -505,6 +505,22 @@ def test_pseudonyms_keep_format_and_link(spark):
     assert got[104].text == " ".join(new[v] for _, v in flat)
 
 
+def test_whole_secrets_are_hidden(spark):
+    from ledgerlake.llm.pii import pseudonymise
+
+    rnd = random.Random(4)
+    run = lambda n: "".join(rnd.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(n))
+    secrets = [run(400), run(12_000), f"{run(36)}.{run(300)}.{run(43)}"]
+    rows = [(k, f"token={s}. Next") for k, s in enumerate(secrets)] + [(9, "token: bob.lee@mail.example.com")]
+    got = {r.doc_id: r for r in pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    for k, s in enumerate(secrets):
+        new = got[k].text
+        assert got[k].pii_kinds == ["secret"] and new.startswith("token=") and new.endswith(". Next") and len(new) == len(rows[k][1])
+        for at in range(0, len(s) - 16, 16):
+            assert s[at : at + 16] not in new
+    assert got[9].pii_kinds == ["email"]
+
+
 def test_permutation_is_one_to_one_and_as_written(spark):
     from ledgerlake.llm.pii import ROUNDS, permute
 
