@@ -28,13 +28,30 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 KINDS = ("email", "secret", "ip", "iban", "date", "ssn", "phone", "card")
 
-_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
+_EMAIL = r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
 _ACCESS_KEY = r"(?<![A-Za-z0-9])A[KS]IA[0-9A-Z]{16}(?![A-Za-z0-9])"
 _LABEL = r"(?i:passw(?:or)?d|pwd|secret|token|api[_-]?key)\s{0,3}[:=]\s{0,3}[\"']?"
 #: Six symbols or more, dots inside included, up to the end of the run; an address is left to its own kind.
 _SECRET = _LABEL + f"(?!{_EMAIL})" + r"(?=[A-Za-z0-9+/_-](?:\.?[A-Za-z0-9+/_-]){5})[A-Za-z0-9+/_-]++(?:\.[A-Za-z0-9+/_-]++)*+"
 _IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])"
-_IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+#: Countries by the length of their account numbers.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_of(length: int, countries: str) -> str:
+    groups, rest = divmod(length - 4, 4)
+    return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}" + (f" ?[A-Z0-9]{{{rest}}}" if rest else "")
+
+
+#: A country's own length, so that no word behind is taken in; any length otherwise.
+_IBAN = (
+    r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})(?:" + "|".join(_iban_of(n, c) for n, c in _IBAN_LENGTHS.items())
+    + r"|[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
+)
 _DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9/-])"
 _SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 _PHONE = (

@@ -521,6 +521,26 @@ def test_whole_secrets_are_hidden(spark):
     assert got[9].pii_kinds == ["email"]
 
 
+def test_values_are_found_beside_other_words(spark):
+    from ledgerlake.llm.pii import pseudonymise
+
+    found = {
+        "ES91 2100 0418 4502 0005 1332 BIC": "iban", "ES9121000418450200051332 EUR": "iban", "BE68539007547034 BANK": "iban", "AT61 1904 3002 3457 3201 EUR": "iban",
+        "NO93 8601 1117 947 EUR": "iban", "SE45 5000 0000 0583 9825 7466 BIC": "iban", "...bob.42@mail7.example.com": "email", "-bob@example.com": "email",
+        "_bob@example.com": "email", "mail.-.bob@example.com": "email",
+    }
+    rows = [(k, f"Say {v} now") for k, v in enumerate(found)]
+    got = {r.doc_id: r for r in pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    for k, (v, kind) in enumerate(found.items()):
+        assert got[k].pii_kinds == [kind], v
+        new = got[k].text[4:-4]
+        assert len(new) == len(v) and new != v
+        if kind == "iban":
+            code, _, word = new.rpartition(" ")
+            s = code.replace(" ", "")
+            assert word == v.rpartition(" ")[2] and int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
+
+
 def test_permutation_is_one_to_one_and_as_written(spark):
     from ledgerlake.llm.pii import ROUNDS, permute
 
