@@ -197,6 +197,20 @@ def test_lm_sends_distinct_events_and_splits_beginnings():
     assert split.sum() == 299 and max(Counter(part[split]).values()) < 299 / 3 and len(set(shard[split])) > 3
 
 
+def test_lm_query_writes_its_model(spark, monkeypatch):
+    from ledgerlake.llm import queries
+
+    real, made = queries.score_documents, []
+
+    def kept(*args, **more):
+        made.append(real(*args, **more))
+        return made[-1]
+
+    monkeypatch.setattr(queries, "score_documents", kept)
+    queries.op2_lm_scores(spark, SF)
+    assert made[0][1].filter("length(trie) > 0").count() > 0
+
+
 def test_lm_awkward(awkward, empty):
     from ledgerlake.llm.lm import score_documents
 
