@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.bpe import read_ranks, token_digests
 from ledgerlake.llm.common import remainder, table
+from ledgerlake.llm.conversations import repair_digests
 from ledgerlake.llm.decision_list import judge
 from ledgerlake.llm.fuzzy_hash import edit_fingerprints
 from ledgerlake.llm.lm import score_documents
 from ledgerlake.llm.mixing import mix_sources
 from ledgerlake.llm.neardup import near_duplicates
+from ledgerlake.llm.periodic import run_digests
 from ledgerlake.llm.pii import KINDS, pseudonymise
 from ledgerlake.llm.sharding import shard_documents
 from ledgerlake.llm.toxicity import toxicity
+from ledgerlake.llm.twins import CONVERSATIONS
 from ledgerlake.llm.url_filter import filter_urls
 
 
@@ -73,12 +76,20 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_digests(table(spark, sf_dir, "conversations"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_filter, op2_lm_scores, op3_mix_sources, op4_quality_rules, op5_minhash_near_dedup, op6_byte_bpe, op7_toxicity, op8_fuzzy_fingerprints,
-        op9_pii, op10_sharding,
+        op9_pii, op10_sharding, op12_conversation_repair, op13_periodic_runs,
     )
 }
 
 #: SQL of the queries that SQL can express.
-TWINS: dict[str, str] = {}
+TWINS: dict[str, str] = {"op12_conversation_repair": CONVERSATIONS}

@@ -137,3 +137,19 @@ def window_hash(hashes: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
     for j in range(width):
         out = mix(out + hashes[j : j + n], seed + j + 1)
     return out
+
+
+def joined(words: Words, index: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """Bytes of the words ``index``, by one space each, of every text: text i has ``index[first[i]:first[i + 1]]``."""
+    length = (words.end - words.start)[index] + 1
+    ends = np.zeros(len(index) + 1, dtype=np.int64)
+    np.cumsum(length, out=ends[1:])
+    out = np.full(int(ends[-1]), 32, dtype=np.uint8)
+    for at in range(0, len(index), 1 << 18):
+        some = slice(at, at + (1 << 18))
+        base = int(ends[at])
+        size = length[some] - 1
+        to = np.repeat(ends[:-1][some] - base - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        out[base + to] = words.data[np.repeat(words.start[index[some]] - (ends[:-1][some] - base), size) + to]
+    flat = memoryview(out)
+    return [bytes(flat[ends[a] : max(ends[b] - 1, ends[a])]) for a, b in zip(first[:-1], first[1:])]
