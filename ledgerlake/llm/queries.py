@@ -18,8 +18,9 @@ from ledgerlake.llm.neardup import near_duplicates
 from ledgerlake.llm.periodic import run_digests
 from ledgerlake.llm.pii import KINDS, pseudonymise
 from ledgerlake.llm.sharding import shard_documents
+from ledgerlake.llm.substrings import without_repeats
 from ledgerlake.llm.toxicity import toxicity
-from ledgerlake.llm.twins import CONVERSATIONS
+from ledgerlake.llm.twins import CONVERSATIONS, SUBSTRINGS
 from ledgerlake.llm.url_filter import filter_urls
 
 
@@ -76,6 +77,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_digests(table(spark, sf_dir, "conversations"))
 
@@ -87,9 +92,9 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_filter, op2_lm_scores, op3_mix_sources, op4_quality_rules, op5_minhash_near_dedup, op6_byte_bpe, op7_toxicity, op8_fuzzy_fingerprints,
-        op9_pii, op10_sharding, op12_conversation_repair, op13_periodic_runs,
+        op9_pii, op10_sharding, op11_substring_dedup, op12_conversation_repair, op13_periodic_runs,
     )
 }
 
 #: SQL of the queries that SQL can express.
-TWINS: dict[str, str] = {"op12_conversation_repair": CONVERSATIONS}
+TWINS: dict[str, str] = {"op11_substring_dedup": SUBSTRINGS, "op12_conversation_repair": CONVERSATIONS}

@@ -85,3 +85,28 @@ from answered a
 left join counted c on c.conv_id is not distinct from a.conv_id
 left join repaired r on r.conv_id is not distinct from a.conv_id
 """
+
+#: Every window as text; a word goes if the last repeated window up to it begins less than twenty words before.
+SUBSTRINGS = r"""
+with texts as (
+    select row_number() over () as r, doc_id, coalesce(doc_id, -9223372036854775808) as id,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
+    from documents
+), places as (
+    select r, id, i, md5(array_to_string(words[i : i + 19], ' ')) as edge
+    from (select r, id, words, unnest(range(1, len(words) - 18)) as i from texts)
+), firsts as (
+    select edge, min({'id': id, 'i': i}) as place from places group by edge having count(*) > 1
+), repeated as (
+    select r, i from places join firsts using (edge) where (id, i) > (place.id, place.i)
+), single as (
+    select r, i, words[i] as word from (select r, words, unnest(range(1, len(words) + 1)) as i from texts)
+), judged as (
+    select s.r, s.i, s.word, coalesce(s.i - max(p.i) over (partition by s.r order by s.i) < 20, false) as gone
+    from single s left join repeated p using (r, i)
+), cut as (
+    select r, count(*) as n_words, count(*) filter (gone) as n_removed, string_agg(word, ' ' order by i) filter (not gone) as kept from judged group by r
+)
+select doc_id, coalesce(n_words, 0)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from texts left join cut using (r)
+"""
