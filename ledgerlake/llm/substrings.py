@@ -32,7 +32,7 @@ from ledgerlake.operators.joins import join_dim
 
 EDGE = 20
 SEED = 10
-SLICE = 4 << 20
+SLICE = 1 << 20
 SHARD_BYTES = 16 << 20  # bytes of text whose seeds or edges a shard takes, on average
 HOT_ROWS = 100_000  # rows of one key in a join's task
 NO_ID = -(2**63)  # rows without an id come before all others
