@@ -33,8 +33,9 @@ from ledgerlake.operators.joins import join_dim
 EDGE = 20
 SEED = 10
 SLICE = 1 << 20
-SHARD_BYTES = 16 << 20  # bytes of text whose seeds or edges a shard takes, on average
+SHARD_BYTES = 8 << 20  # bytes of text whose seeds or edges a shard takes, on average
 HOT_ROWS = 100_000  # rows of one key in a join's task
+BROADCAST = 1 << 20  # bytes of a table that a join sends to all, by the optimizer's estimate
 NO_ID = -(2**63)  # rows without an id come before all others
 _NOTHING = hashlib.sha256(b"").hexdigest()
 
@@ -330,7 +331,7 @@ def repeated_paths(docs: DataFrame, edge: int = EDGE) -> tuple[DataFrame, DataFr
     seeded = staged(scanned.groupBy("shard").applyInArrow(_seeded, _SEEDED), "seeded")
     rows = seeded.filter("words_sha256 is not null").select("slice", "no", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "doc_id", "key", "n_words", "words_sha256")
     firsts = rows.filter(F.col("n_words") >= edge).groupBy("words_sha256").agg(F.min("id").alias("first_id"))
-    known = staged(join_dim(rows, firsts, ["words_sha256"], spread_by=["id", "key"], least_rows=HOT_ROWS), "known")
+    known = staged(join_dim(rows, firsts, ["words_sha256"], spread_by=["id", "key"], least_rows=HOT_ROWS, limit=BROADCAST), "known")
     hits = seeded.filter("octet_length(seeds) > 0").groupBy("slice", "no").agg(F.collect_list("seeds").alias("seeds"))
     wanted = known.filter("id = first_id").join(hits, ["slice", "no"]).select("id", "key", "seeds").dropDuplicates(["id", "key"])
     texts = staged(keyed.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "key", "text").join(wanted, ["id", "key"]), "texts")
@@ -344,7 +345,7 @@ def repeated_paths(docs: DataFrame, edge: int = EDGE) -> tuple[DataFrame, DataFr
         on_workers(claimed, _sources(edge), "src long, src_start long, n long, proof long")
         .groupBy("src", "src_start", "n").agg(F.collect_set("proof").alias("proofs")), "proofs",
     )
-    proved = join_dim(paths, proofs, ["src", "src_start", "n"], how="inner", spread_by=["id", "key", "start"], least_rows=HOT_ROWS)
+    proved = join_dim(paths, proofs, ["src", "src_start", "n"], how="inner", spread_by=["id", "key", "start"], least_rows=HOT_ROWS, limit=BROADCAST)
     return known.drop("slice", "no"), texts.drop("seeds"), proved
 
 
