@@ -40,12 +40,26 @@ def dedup_latest(
 def upsert(base: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Apply keyed changes; per key the latest row by ``order`` survives, old or new.
 
-    ``base`` holds one row per key. Rows of untouched keys pass by without a sort; only touched ones
-    compete with the changes. The planner broadcasts the change keys when they are small.
+    ``base`` holds one row per key. Changes are reduced to the newest per key, then one full outer join decides: the
+    side that is later by ``order`` stays, on a tie the one with the smaller row digest, as in ``dedup_latest``. Each input is read and
+    shuffled once. Rows without a key match nothing; they get join keys of their own, so they do not meet in one task.
     """
-    touched = changes.select(*keys).distinct()
-    competing = base.join(touched, list(keys), "left_semi").unionByName(changes)
-    return base.join(touched, list(keys), "left_anti").unionByName(dedup_latest(competing, keys, order))
+    columns = base.columns
+    latest = dedup_latest(changes.select(columns), keys, order)
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+
+    def side(df: DataFrame, lone: int) -> DataFrame:
+        rank = F.struct(*[F.col(c) for c in order], F.bitwise_not(row_digest(df)))  # nulls are the earliest
+        alone = F.when(no_key, F.xxhash64(F.lit(lone), row_digest(df))).otherwise(F.lit(0).cast("bigint"))
+        return df.select(*keys, alone.alias("_alone"), F.struct(rank.alias("rank"), F.struct(*columns).alias("row")).alias("_side"))
+
+    on = [*keys, "_alone"]
+    old, new = side(base, 1).withColumnRenamed("_side", "_old"), side(latest, 2).withColumnRenamed("_side", "_new")
+    old_wins = F.col("_new").isNull() | F.coalesce(F.col("_old.rank") >= F.col("_new.rank"), F.lit(False))
+    winner = F.when(old_wins, F.col("_old.row")).otherwise(F.col("_new.row"))
+    return old.join(new, on, "full_outer").select(winner.alias("_row")).select("_row.*")
 
 
 def erase(base: DataFrame, keys_df: DataFrame) -> DataFrame:

@@ -16,7 +16,9 @@ def _micros(df: DataFrame, ts: str) -> Column:
     return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("bigint")
 
 
-def velocity_by_instant(df: DataFrame, key: str, ts: str, seconds: int, out: str) -> DataFrame:
+def velocity_by_instant(
+    df: DataFrame, key: str, ts: str, seconds: int, out: str, slice_seconds: int = 1
+) -> DataFrame:
     """One row per (key, instant) with the key's rows in the trailing window, both ends included.
 
     Same numbers as ``count(*) OVER (PARTITION BY key ORDER BY ts RANGE BETWEEN INTERVAL .. PRECEDING
@@ -26,10 +28,12 @@ def velocity_by_instant(df: DataFrame, key: str, ts: str, seconds: int, out: str
 
         velocity(q) = arrivals in the bucket up to q + expiries of the bucket at or after q
 
-    so a task holds one (key, bucket), reads it once, and at one-second timestamps it has at most two
-    rows per second of the window.
+    Both are prefix sums, and taken on two levels: a bucket is cut into slices of ``slice_seconds``, totals of slices
+    give the sum before each, and the rows of one slice are summed up by themselves. So a task holds one
+    (key, slice), with two rows for each microsecond at most, or the totals of one bucket, at most one for each second of the
+    window; a key whose rows all fall into one hour is spread over 3,600 slices.
     """
-    width = seconds * 1_000_000
+    width, step = seconds * 1_000_000, slice_seconds * 1_000_000
     counted = (
         df.select(F.col(key), _micros(df, ts).alias("_t"))
         .where(F.col(key).isNotNull() & F.col("_t").isNotNull())
@@ -37,21 +41,24 @@ def velocity_by_instant(df: DataFrame, key: str, ts: str, seconds: int, out: str
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     bucket = F.col("_t") - F.pmod(F.col("_t"), F.lit(width))  # start of the bucket
-    arrival = F.struct(
-        bucket.alias("b"), F.col("_t").alias("t"), F.lit(0).alias("expiry"),
-        F.col("_n").alias("delta"), F.lit(0).cast("bigint").alias("leaving"),
-    )
-    expiry = F.struct(
-        (bucket + width).alias("b"), (F.col("_t") + width).alias("t"), F.lit(1).alias("expiry"),
-        (-F.col("_n")).alias("delta"), F.col("_n").alias("leaving"),
+    arrival = F.struct(bucket.alias("b"), F.col("_t").alias("t"), F.lit(0).alias("expiry"), F.col("_n").alias("n"))
+    expiry = F.struct((bucket + width).alias("b"), (F.col("_t") + width).alias("t"), F.lit(1).alias("expiry"), F.col("_n").alias("n"))
+    moves = counted.select(key, F.inline(F.array(arrival, expiry))).withColumn(
+        "s", F.floor((F.col("t") - F.col("b")) / F.lit(step)).cast("int")
     )
-    moves = counted.select(key, F.inline(F.array(arrival, expiry)))
-    ordered = Window.partitionBy(key, "b").orderBy("t", "expiry")
-    running = F.sum("delta").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    leaving = F.sum("leaving").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return (
-        moves.withColumn(out, running + leaving).where("expiry = 0").select(key, F.col("t").alias("_t"), out)
+    delta = F.when(F.col("expiry") == 0, F.col("n")).otherwise(-F.col("n"))
+    # sums of whole slices: what came before a slice, and all that leaves in its bucket
+    bucket_rows = Window.partitionBy(key, "b")
+    before = bucket_rows.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    totals = moves.groupBy(key, "b", "s").agg(
+        F.sum(delta).alias("delta"), F.sum(F.when(F.col("expiry") == 1, F.col("n"))).alias("leaving"), F.count_if(F.col("expiry") == 0).alias("asked")
     )
+    offsets = totals.select(
+        key, "b", "s", "asked", (F.coalesce(F.sum("delta").over(before), F.lit(0)) + F.coalesce(F.sum("leaving").over(bucket_rows), F.lit(0))).alias("offset")
+    ).where("asked > 0").drop("asked")  # slices in which nothing arrives have no rows to answer
+    inside = Window.partitionBy(key, "b", "s").orderBy("t", "expiry").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    arrived = moves.withColumn("inside", F.sum(delta).over(inside)).where("expiry = 0")
+    return arrived.join(offsets, [key, "b", "s"]).select(key, F.col("t").alias("_t"), (F.col("inside") + F.col("offset")).alias(out))
 
 
 def velocity(

@@ -68,6 +68,31 @@ def test_velocity_counts_before_the_shuffle(spark, plan_of):
     assert "partial_count" in text and "RangeFrame" not in text
 
 
+def test_velocity_splits_a_hot_hour(spark, plan_of):
+    """One key and one hour with 300,000 instants: rows meet by second, and a bucket's window sees totals of seconds only."""
+    start = 1_700_000_000 // 3600 * 3_600_000_000
+    rows = spark.range(300_000).selectExpr("id", "'hot' as k", f"timestamp_micros({start} + (id * 7919) % 3600000000 + id % 13) as t")
+    df = rows.unionByName(spark.createDataFrame([(-1, "hot", datetime(2023, 11, 14, 23, 0, 0))], "id long, k string, t timestamp"))
+    got = velocity(df, "k", "t", 3600, "v")
+    seen = got.select(F.unix_micros("t").alias("t"), "v").toPandas().sort_values("t")
+    t = seen["t"].to_numpy()
+    assert (seen["v"].to_numpy() == t.searchsorted(t, "right") - t.searchsorted(t - 3_600_000_000, "left")).all() and len(t) == 300_001
+    windows = [line for line in plan_of(got, "simple").splitlines() if "Window [" in line]
+    per_row = [line for line in windows if "expiry" in line]
+    assert per_row and all("s#" in line[line.index("windowspecdefinition") :].split("ASC")[0] for line in per_row)
+    most = rows.groupBy((F.unix_micros("t") / 1_000_000).cast("long").alias("s")).count().agg(F.max("count")).first()[0]
+    assert most < 300_000 / 100  # rows of one task's group
+
+
+@pytest.mark.parametrize("slice_seconds", [1, 7, 100_000])
+def test_velocity_does_not_depend_on_slices(spark, slice_seconds):
+    from ledgerlake.operators.velocity import velocity_by_instant
+
+    df = spark.createDataFrame(skewed_events(), "id int, k string, t timestamp_ntz")
+    want = sorted(map(str, velocity_by_instant(df, "k", "t", 3600, "v").collect()))
+    assert sorted(map(str, velocity_by_instant(df, "k", "t", 3600, "v", slice_seconds).collect())) == want
+
+
 def test_dedup_limits_groups_before_the_shuffle(spark, plan_of):
     df = raw_feed(spark, SF, "payment_transactions")
     text = plan_of(dedup.dedup_latest(df, ["transaction_id"], ["tx_ts"], ("tx_status", {"SETTLED": 1})), "simple")
@@ -95,6 +120,34 @@ def test_upsert_and_erase(spark):
     assert sorted(r.k for r in left.collect()) == [0, 2, 3, 4, 5]
 
 
+def test_upsert_shuffles_each_side_once(spark, plan_of):
+    base = spark.range(5_000).selectExpr("id as k", "'old' as v", "1 as ver")
+    changes = spark.range(4_000, 6_000).selectExpr("id as k", "'new' as v", "2 as ver")
+    out = dedup.upsert(base, changes, ["k"], ["ver"])
+    text = plan_of(out, "simple")
+    assert text.count("Join") == 1 and text.count("Exchange hashpartitioning") == 2  # one for each side
+    assert text.count("Range (0, 5000") == 1 and text.count("Range (4000, 6000") == 1
+    assert {(r.v, r.n) for r in out.groupBy("v").agg(F.count("*").alias("n")).collect()} == {("old", 4_000), ("new", 2_000)}
+
+
+def test_upsert_ties_and_missing_values(spark):
+    """Same winners as a dedup over both sides, whatever is null, and rows without a key stay."""
+    draw = random.Random(8)
+    schema = "k int, k2 string, v string, a int, b int"
+
+    def row(k):
+        return k, draw.choice(["x", "x", None]), draw.choice("pqr"), draw.choice([None, 1, 2]), draw.choice([None, 1])
+
+    base = list({(r[0], r[1]): r for r in (row(k) for k in range(60))}.values())
+    changes = [row(draw.choice([*range(80), None])) for _ in range(200)] + base[:10]
+    b, c = spark.createDataFrame(base, schema), spark.createDataFrame(changes, schema)
+    got = sorted(map(str, dedup.upsert(b, c.select("b", "v", "k2", "a", "k"), ["k", "k2"], ["a", "b"]).collect()))
+    keyed = "k is not null and k2 is not null"
+    want = dedup.dedup_latest(b.unionByName(c).where(keyed), ["k", "k2"], ["a", "b"])
+    lone = b.where(f"not ({keyed})").unionByName(dedup.dedup_latest(c.where(f"not ({keyed})"), ["k", "k2"], ["a", "b"]))
+    assert got == sorted(map(str, want.unionByName(lone).collect()))
+
+
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_join_dim_salted_equals_broadcast(spark, plan_of, how):
     fact = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i % 7}") for i in range(300)] + [(300, None), (301, "none")], "id int, k string")
