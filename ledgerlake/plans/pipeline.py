@@ -14,6 +14,7 @@ from ledgerlake.plans.silver import build_silver
 from ledgerlake.plans.specs import SPECS
 from ledgerlake.session import new_path, stage
 from ledgerlake.sources.feeds import database_name, ingest, register_external, replace_table, write_clustered
+from ledgerlake.sources.files import scratch
 
 GOLD_TABLE = "gold_fraud_features"
 CLUSTERING = ("customer_id", "loyalty_tier")
@@ -33,7 +34,7 @@ def table_store(spark: SparkSession, database: str) -> Callable[[DataFrame, str]
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
     def store(df: DataFrame, name: str) -> DataFrame:
-        return replace_table(df, f"{database}.{name}") if name.endswith("_silver") else stage(df, name)
+        return replace_table(df, f"{database}.{name}", keep_old=False) if name.endswith("_silver") else stage(df, name)
 
     return store
 
@@ -52,7 +53,8 @@ def run_medallion(
     hold digests only. The last three frames are evaluated when they are read.
     """
     bronze = ingest(spark, root, folders or {f: f for f in SPECS}, unit, env)
-    silver = build_silver(bronze, table_store(spark, database_name(unit, "silver", env)))
+    with scratch(spark):  # cleaned transactions, which the Silver table repeats
+        silver = build_silver(bronze, table_store(spark, database_name(unit, "silver", env)))
     gold_db = database_name(unit, "gold", env)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {gold_db}")
     path = new_path(spark, GOLD_TABLE)

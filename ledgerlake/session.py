@@ -11,6 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_WORK: dict[str, str] = {}
+STAGES: list[str] = []  # paths of staged tables, in the order in which they were written
 
 
 def build_session(
@@ -65,5 +66,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, name)
+    STAGES.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -11,10 +11,12 @@ from pyspark.sql import types as T
 from ledgerlake.functions.privacy import tag_columns
 from ledgerlake.operators.hygiene import CORRUPT
 from ledgerlake.plans.specs import SPECS, FeedSpec
-from ledgerlake.session import new_path
+from ledgerlake.session import new_path, stage, work_root
+from ledgerlake.sources.erasure import table_location
+from ledgerlake.sources.files import delete, listing, literal, scratch
+from ledgerlake.sources.ledger import SOURCE_FILE, FileLedger
 
 INGESTED_AT = "_ingestion_timestamp"
-SOURCE_FILE = "_source_file"
 FOLDER_DATE = "folder_date"
 # The five feeds and the number of objects a complete landing zone has at least.
 LANDING_FEEDS = tuple(SPECS)
@@ -34,8 +36,8 @@ def reader_options(spec: FeedSpec) -> dict[str, str]:
     return options
 
 
-def scan_feed(spark: SparkSession, path: str, feed: str) -> DataFrame:
-    """All-string, permissive scan of a landing feed; broken records are kept in ``_corrupt_record``."""
+def scan_feed(spark: SparkSession, path: str | list[str], feed: str) -> DataFrame:
+    """All-string, permissive scan of a landing feed or of some of its files; broken records are kept in ``_corrupt_record``."""
     spec = SPECS[feed]
     return (
         spark.read.format(spec.file_format).schema(feed_schema(spec)).options(**reader_options(spec)).load(path)
@@ -48,8 +50,8 @@ def folder_date(path: Column) -> Column:
     return text.try_cast("date")
 
 
-def scan_dated(spark: SparkSession, root: str, feed: str) -> DataFrame:
-    """All days of an event feed with the folder's date, which is not the ingestion date."""
+def scan_dated(spark: SparkSession, root: str | list[str], feed: str) -> DataFrame:
+    """All days of an event feed, or some of its files, with the folder's date, which is not the ingestion date."""
     df = scan_feed(spark, root, feed)
     return df.withColumn(FOLDER_DATE, folder_date(F.col("_metadata.file_path")))
 
@@ -87,12 +89,9 @@ def land_feed(df: DataFrame, path: str, feed: str, day: Column | None = None) ->
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     """``path``, ``name`` (the path below ``root``) and ``length`` of all files below a folder; contents are not read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
     base = root.rstrip("/") + "/"
     name = F.expr("substring(path, instr(path, _base) + length(_base))")
-    return reader.load(root).select("path", "length", F.lit(base).alias("_base")).select("path", name.alias("name"), "length")
+    return listing(spark, root, glob).select("path", "length", F.lit(base).alias("_base")).select("path", name.alias("name"), "length")
 
 
 def output_inventory(spark: SparkSession, root: str, prefixes: Sequence[str]) -> DataFrame:
@@ -161,15 +160,20 @@ def register_external(spark: SparkSession, name: str, path: str) -> DataFrame:
     return spark.table(name)
 
 
-def replace_table(df: DataFrame, name: str) -> DataFrame:
+def replace_table(df: DataFrame, name: str, keep_old: bool = True) -> DataFrame:
     """Write ``df`` to new files and point the table at them.
 
-    ``df`` may read the table itself, as an upsert or an erasure does; readers see the old files or the
-    new ones, never a mixture.
+    ``df`` may read the table itself, as an upsert does; readers see the old files or the
+    new ones, never a mixture. Without ``keep_old`` the old files go, if they lie in the work folder; frames that still read them end then.
     """
-    path = new_path(df.sparkSession, name.rsplit(".", 1)[-1])
+    spark = df.sparkSession
+    old = table_location(spark, name) if not keep_old and spark.catalog.tableExists(name) else None
+    path = new_path(spark, name.rsplit(".", 1)[-1])
     df.write.parquet(path)
-    return register_external(df.sparkSession, name, path)
+    table = register_external(spark, name, path)
+    if old and work_root(spark).split(":", 1)[-1].lstrip("/") in old:
+        delete(spark, [old])
+    return table
 
 
 def write_clustered(df: DataFrame, path: str, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
@@ -195,19 +199,37 @@ def ingest(
 ) -> dict[str, DataFrame]:
     """Landing zone to Bronze: scan each feed folder, add audit columns and policy tags, write all rows.
 
-    ``feeds`` maps feed names to folders below ``root``. Event feeds keep the date of their folder; a rerun
-    appends the files that the table does not hold yet. The other feeds are snapshots and replace the table's rows.
-    Tags are stored with the table.
+    ``feeds`` maps feed names to folders below ``root``. Event feeds keep the date of their folder; a rerun lists the folder and reads only
+    files that the ledger of the database does not hold, so its cost is that of the new files, and a run without any reads nothing. The other feeds are
+    snapshots and replace the table's rows. Tags are stored with the table.
     """
     db = database_name(unit, "bronze", env)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    ledger = FileLedger(spark, db)
     out = {}
     for feed, folder in feeds.items():
-        spec, table = SPECS[feed], f"{db}.{feed}_bronze"
-        rows = add_audit((scan_dated if spec.dated else scan_feed)(spark, f"{root}/{folder}", feed))
-        if spec.dated and spark.catalog.tableExists(table):
-            held = spark.table(table).select(SOURCE_FILE).distinct()
-            rows = rows.join(held, SOURCE_FILE, "left_anti").select(rows.columns)
-        tagged = tag_columns(rows, {c: f"pii.{c}" for c in spec.pii})
-        out[feed] = write_bronze(tagged, table, mode="append" if spec.dated else "overwrite")
+        path, table = f"{root}/{folder}", f"{db}.{feed}_bronze"
+        out[feed] = append_new_files(spark, path, feed, table, ledger) if SPECS[feed].dated else replace_snapshot(spark, path, feed, table)
     return out
+
+
+def _bronze_rows(df: DataFrame, spec: FeedSpec) -> DataFrame:
+    return tag_columns(add_audit(df), {c: f"pii.{c}" for c in spec.pii})
+
+
+def replace_snapshot(spark: SparkSession, root: str, feed: str, table: str) -> DataFrame:
+    """Replace a Bronze table's rows by those of all files of a feed that lands as a whole."""
+    return write_bronze(_bronze_rows(scan_feed(spark, root, feed), SPECS[feed]), table, mode="overwrite")
+
+
+def append_new_files(spark: SparkSession, root: str, feed: str, table: str, ledger: FileLedger) -> DataFrame:
+    """Append the rows of files that were never read to the Bronze table of an event feed."""
+    with scratch(spark):
+        ledger.settle(feed, table)
+        files = stage(ledger.new_files(feed, root), "new-files")
+        paths = [literal(r.path) for r in files.select("path").collect()]
+        if paths or not spark.catalog.tableExists(table):
+            run = ledger.begin(feed, files)
+            write_bronze(_bronze_rows(scan_dated(spark, paths or root, feed), SPECS[feed]), table)
+            ledger.finish(feed, run)
+    return spark.table(table)
