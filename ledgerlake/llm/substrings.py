@@ -102,8 +102,13 @@ def _ids(column: pa.Array) -> np.ndarray:
     return np.asarray(column.fill_null(NO_ID))
 
 
+def _slice_number(ids: list, keys: list) -> int:
+    return int.from_bytes(hashlib.blake2b(repr((ids, keys)).encode(), digest_size=8).digest(), "little", signed=True)
+
+
 _SCANNED = "shard int, slice long, no int, doc_id long, key long, n_words long, words_sha256 string, seeds binary, who binary"
-_SEEDED = "slice long, no int, doc_id long, key long, n_words long, words_sha256 string, seeds binary"
+_SEEDED = "slice long, no int, doc_id long, key long, n_words long, words_sha256 string, seeds binary, who binary"
+_HITS = "slice long, no int, seeds binary"
 
 
 def _rows(names: str, columns: list) -> pa.RecordBatch:
@@ -127,7 +132,7 @@ def _scan(edge: int, shards: int):
                 here = dict.fromkeys(range(part.num_rows), b"")
                 here.update((k, np.unique(seed[many][some]).tobytes()) for (k,), some in _grouped(doc[many]))
                 ids, keys = part.column(0).to_pylist(), part.column(1).to_pylist()
-                number = int.from_bytes(hashlib.blake2b(repr((ids, keys)).encode(), digest_size=8).digest(), "little", signed=True)
+                number = _slice_number(ids, keys)
                 texts = joined(words, np.arange(len(words.hashes)), words.first)
                 n = part.num_rows
                 yield _rows(_SCANNED, [
@@ -147,8 +152,9 @@ def _scan(edge: int, shards: int):
 
 
 def _seeded(t: pa.Table) -> pa.Table:
-    """A shard's rows -> the documents' rows as they are, and for each document the seeds that occur elsewhere too."""
-    documents = t.filter(pc.is_valid(t["words_sha256"])).select([f.split()[0] for f in _SEEDED.split(", ")])
+    """A shard's rows -> the documents' rows as they are, and for each slice the seeds that occur elsewhere too, with their documents."""
+    names = [f.split()[0] for f in _SEEDED.split(", ")]
+    documents = t.filter(pc.is_valid(t["words_sha256"])).select(names)
     asked = t.filter(pc.is_valid(t["who"]))
     seeds, lengths = _numbers(asked["seeds"], np.uint64)
     who, _ = _numbers(asked["who"], np.int32)
@@ -159,19 +165,28 @@ def _seeded(t: pa.Table) -> pa.Table:
     hit = (who >= 0) & (known | (counts > 1))[where] if len(seeds) else np.zeros(0, dtype=bool)
     seeds, row, who = seeds[hit], row[hit], who[hit]
     numbers = np.asarray(asked["slice"])
-    found = [(int(numbers[r]), w, seeds[some].tobytes()) for (r, w), some in _grouped(row, who)]
+    found = [(int(numbers[r]), seeds[some].tobytes(), who[some].tobytes()) for (r,), some in _grouped(row)]
     columns = [list(c) for c in zip(*found)] if found else [[], [], []]
     none = [None] * len(found)
-    rows = _rows(_SEEDED, [columns[0], columns[1], none, none, none, none, columns[2]])
-    return pa.concat_tables([documents, pa.Table.from_batches([rows])], promote_options="default").select(documents.column_names)
+    rows = _rows(_SEEDED, [columns[0], none, none, none, none, none, columns[1], columns[2]])
+    return pa.concat_tables([documents, pa.Table.from_batches([rows])])
 
 
-_SENT = "shard int, id long, key long, edges binary, doc binary, pos binary, src binary, src_pos binary, ids binary, keys binary"
-_ANSWERS = "id long, key long, pos binary, src binary, src_pos binary"
+def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``slice, found`` -> a row for each document of the slice with its seeds."""
+    for batch in batches:
+        for number, found in zip(*(c.to_pylist() for c in batch.columns)):
+            seeds, who = (np.concatenate([np.frombuffer(f[c], dtype=k) for f in found]) for c, k in (("seeds", np.uint64), ("who", np.int32)))
+            rows = [(number, w, seeds[some].tobytes()) for (w,), some in _grouped(who)]
+            yield _rows(_HITS, list(zip(*rows)))
+
+
+_SENT = "shard int, slice long, edges binary, used binary, ids binary, keys binary, doc binary, pos binary, src binary, src_pos binary"
+_ANSWERS = "slice long, ids binary, keys binary, doc binary, pos binary, src binary, src_pos binary"
 
 
 def _walk(edge: int, shards: int):
-    """``id, key, text, seeds`` -> edges for the shards, and what a slice can answer itself."""
+    """``id, key, text, seeds`` -> a row for each slice, with what it can answer itself, and its other edges for the shards."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,19 +203,16 @@ def _walk(edge: int, shards: int):
                 ids, keys = np.asarray(part.column(0)), np.asarray(part.column(1))
                 source = _first_places(h, ids[doc], pos)
                 later = (ids[doc] != ids[doc][source]) | (pos != pos[source])
-                rows = []
-                for (d,), some in _grouped(doc[later]):
-                    of = source[later][some]
-                    rows.append((
-                        int(keys[d]) % shards, int(ids[d]), int(keys[d]), None, None, pos[later][some].tobytes(), ids[doc[of]].tobytes(), pos[of].tobytes(), None, None,
-                    ))
-                ask = ~later
-                h, doc, pos = h[ask], doc[ask], pos[ask]
+                of = source[later]
+                number = _slice_number(ids.tolist(), keys.tolist())
+                rows = [(
+                    number % shards, number, None, None, ids.tobytes(), keys.tobytes(),
+                    doc[later].tobytes(), pos[later].tobytes(), ids[doc[of]].tobytes(), pos[of].tobytes(),
+                )]
+                h, doc, pos = h[~later], doc[~later], pos[~later]
                 for (s,), some in _grouped(_shard(h, shards)):
-                    used, number = np.unique(doc[some], return_inverse=True)
-                    rows.append((
-                        s, None, None, h[some].tobytes(), number.astype(np.int32).tobytes(), pos[some].tobytes(), None, None, ids[used].tobytes(), keys[used].tobytes(),
-                    ))
+                    used = np.unique(doc[some])
+                    rows.append((s, number, h[some].tobytes(), used.tobytes(), ids[used].tobytes(), None, doc[some].tobytes(), pos[some].tobytes(), None, None))
                 yield _rows(_SENT, list(zip(*rows)))
 
     return run
@@ -218,46 +230,50 @@ def _first_places(h: np.ndarray, ids: np.ndarray, pos: np.ndarray) -> np.ndarray
 
 
 def _answers(t: pa.Table) -> pa.Table:
-    """A shard's rows -> for every document the places of edges that start earlier elsewhere, and where."""
+    """A shard's rows -> the slices' rows as they are, and for each slice the places of edges that start earlier elsewhere, and where."""
     names = [f.split()[0] for f in _ANSWERS.split(", ")]
-    done = t.filter(pc.is_valid(t["id"])).select(names)
-    asked = t.filter(pc.is_null(t["id"]))
+    done = t.filter(pc.is_null(t["edges"])).select(names)
+    asked = t.filter(pc.is_valid(t["edges"]))
     h, lengths = _numbers(asked["edges"], np.uint64)
-    number, _ = _numbers(asked["doc"], np.int32)
+    doc, _ = _numbers(asked["doc"], np.int32)
     pos, _ = _numbers(asked["pos"], np.int32)
-    ids, docs = _numbers(asked["ids"], np.int64)
-    keys, _ = _numbers(asked["keys"], np.int64)
     row = np.repeat(np.arange(len(lengths)), lengths)
-    whose = (np.cumsum(docs) - docs)[row] + number if len(row) else number  # place in ids and keys
-    source = _first_places(h, ids[whose], pos)
-    later = (ids[whose] != ids[whose][source]) | (pos != pos[source])
-    mine, of = np.flatnonzero(later), source[later]
+    ids = np.zeros(len(h), dtype=np.int64)
+    at = 0
+    for used, of, n in zip(asked["used"], asked["ids"], lengths):
+        ids[at : at + n] = np.frombuffer(of.as_buffer(), dtype=np.int64)[np.searchsorted(np.frombuffer(used.as_buffer(), dtype=np.int32), doc[at : at + n])]
+        at += n
+    source = _first_places(h, ids, pos)
+    later = np.flatnonzero((ids != ids[source]) | (pos != pos[source]))
+    numbers = np.asarray(asked["slice"])
     found = []
-    for (w,), some in _grouped(whose[mine]):
-        there = of[some]
-        found.append((int(ids[w]), int(keys[w]), pos[mine[some]].tobytes(), ids[whose[there]].tobytes(), pos[there].tobytes()))
-    rows = _rows(_ANSWERS, [list(c) for c in zip(*found)] if found else [[]] * 5)
+    for (r,), some in _grouped(row[later]):
+        mine, of = later[some], source[later[some]]
+        found.append((int(numbers[r]), None, None, doc[mine].tobytes(), pos[mine].tobytes(), ids[of].tobytes(), pos[of].tobytes()))
+    rows = _rows(_ANSWERS, [list(c) for c in zip(*found)] if found else [[]] * len(names))
     return pa.concat_tables([done, pa.Table.from_batches([rows])])
 
 
 _PATH = "id long, key long, start long, n long, src long, src_start long"
+_PLACE = (("doc", np.int32), ("pos", np.int32), ("src", np.int64), ("src_pos", np.int32))
 
 
 def _compact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``id, key, places`` -> paths: stretches of edges along which the walk and its source go on together."""
+    """``ids, keys, places`` of slices -> paths: stretches of edges along which the walk and its source go on together."""
     for batch in batches:
-        out = []
-        for doc_id, key, places in zip(*(c.to_pylist() for c in batch.columns)):
-            pos, src, of = (np.concatenate([np.frombuffer(p[c], dtype=k) for p in places]).astype(np.int64) for c, k in (("pos", np.int32), ("src", np.int64), ("src_pos", np.int32)))
-            order = np.lexsort((of, src, pos))
-            order = order[np.append(True, np.diff(pos[order]) != 0)]
-            pos, src, of = pos[order], src[order], of[order]
-            new = np.append(True, (np.diff(pos) != 1) | (src[1:] != src[:-1]) | (np.diff(of) != 1))
+        for ids, keys, places in zip(*(c.to_pylist() for c in batch.columns)):
+            doc, pos, src, of = (np.concatenate([np.frombuffer(p[c], dtype=k) for p in places]).astype(np.int64) for c, k in _PLACE)
+            order = np.lexsort((of, src, pos, doc))
+            order = order[np.append(True, (np.diff(pos[order]) != 0) | (np.diff(doc[order]) != 0))[: len(order)]]
+            if not len(order):
+                continue
+            doc, pos, src, of = doc[order], pos[order], src[order], of[order]
+            new = np.append(True, (np.diff(doc) != 0) | (np.diff(pos) != 1) | (src[1:] != src[:-1]) | (np.diff(of) != 1))
             begin = np.flatnonzero(new)
-            for a, b in zip(begin, np.append(begin[1:], len(pos))):
-                out.append((doc_id, key, int(pos[a]), int(b - a), int(src[a]), int(of[a])))
-        if out:
-            yield _rows(_PATH, list(zip(*out)))
+            whose = doc[begin]
+            yield _rows(_PATH, [
+                np.frombuffer(ids, dtype=np.int64)[whose], np.frombuffer(keys, dtype=np.int64)[whose], pos[begin], np.diff(np.append(begin, len(pos))), src[begin], of[begin],
+            ])
 
 
 def _spans(words: Words, spans: list[list[tuple[int, int]]], edge: int) -> list[int]:
@@ -332,13 +348,18 @@ def repeated_paths(docs: DataFrame, edge: int = EDGE) -> tuple[DataFrame, DataFr
     rows = seeded.filter("words_sha256 is not null").select("slice", "no", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "doc_id", "key", "n_words", "words_sha256")
     firsts = rows.filter(F.col("n_words") >= edge).groupBy("words_sha256").agg(F.min("id").alias("first_id"))
     known = staged(join_dim(rows, firsts, ["words_sha256"], spread_by=["id", "key"], least_rows=HOT_ROWS, limit=BROADCAST), "known")
-    hits = seeded.filter("octet_length(seeds) > 0").groupBy("slice", "no").agg(F.collect_list("seeds").alias("seeds"))
+    # what a slice knew itself, and what the shards found, by slices and then by documents
+    found = seeded.filter("who is not null").groupBy("slice").agg(F.collect_list(F.struct("seeds", "who")).alias("found"))
+    own = seeded.filter("words_sha256 is not null and octet_length(seeds) > 0").select("slice", "no", "seeds")
+    hits = on_workers(found, _by_document, _HITS).unionByName(own).groupBy("slice", "no").agg(F.collect_list("seeds").alias("seeds"))
     wanted = known.filter("id = first_id").join(hits, ["slice", "no"]).select("id", "key", "seeds").dropDuplicates(["id", "key"])
     texts = staged(keyed.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "key", "text").join(wanted, ["id", "key"]), "texts")
     sent = on_workers(texts.select("id", "key", "text", "seeds"), _walk(edge, _shards(texts)), _SENT)
     answers = staged(sent.groupBy("shard").applyInArrow(_answers, _ANSWERS), "answers")
-    places = answers.groupBy("id", "key").agg(F.collect_list(F.struct("pos", "src", "src_pos")).alias("places"))
-    paths = staged(on_workers(places, _compact, _PATH), "paths")
+    places = answers.groupBy("slice").agg(
+        F.max("ids").alias("ids"), F.max("keys").alias("keys"), F.collect_list(F.struct("doc", "pos", "src", "src_pos")).alias("places")
+    )
+    paths = staged(on_workers(places.select("ids", "keys", "places"), _compact, _PATH), "paths")
     claims = paths.select("src", "src_start", "n").distinct().groupBy("src").agg(F.collect_list(F.struct("src_start", "n")).alias("spans"))
     claimed = texts.select("id", "text").join(claims, F.col("id") == F.col("src")).select("id", "text", "spans")
     proofs = staged(
