@@ -18,7 +18,7 @@ EXIT_ADVISORY = 4
 
 class Rule(NamedTuple):
     """A quality rule. ``kind`` is not_null, unique, range, set, regex or row; ``args`` depend on it:
-    range (low, high; None is open), set (values), regex (pattern,), row (SQL condition,)."""
+    range (low, high; None is open), set (values), regex (pattern,), row (condition,): a column, or its SQL text."""
 
     name: str
     kind: str
@@ -42,7 +42,7 @@ def _row_condition(rule: Rule) -> Column:
     if rule.kind == "regex":
         return c.rlike(rule.args[0])
     if rule.kind == "row":
-        return F.expr(rule.args[0])
+        return rule.args[0] if isinstance(rule.args[0], Column) else F.expr(rule.args[0])
     raise ValueError(f"unknown rule kind {rule.kind}")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,41 +81,44 @@ def left_preagg(fact: DataFrame, child: DataFrame, key: str, aggs: Mapping[str,
     return joined.withColumns({n: F.coalesce(F.col(n), F.lit(0).cast(types[n])) for n in aggs})
 
 
-def orphan_report(child: DataFrame, parent: DataFrame, fk: Column, pk: Column, edge: str) -> DataFrame:
-    """Child rows without a parent, before and after key normalisation.
+def orphan_reports(feeds: Mapping[str, Sequence[tuple[str, Column, bool]]], frames: Mapping[str, DataFrame]) -> DataFrame:
+    """Child rows without a parent on every edge, before and after key normalisation.
 
-    The child is counted per spelling of the key, then per normalised key, so each join sees a key once
-    and the child is read once. Rows without a foreign key are not orphans and are left out.
+    ``feeds`` gives for each frame its ends: ``(edge, key, is_child)``. A row of a frame becomes one row for each of its ends, so every frame is read once however
+    many edges it has; children and parents of an edge then meet by counting, per spelling of the key and per normalised key, and no join is needed: a key has a parent if one was
+    counted. Rows without a key are neither orphans nor parents.
     """
-    spelled = child.select(fk.alias("k")).where("k is not null").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    parents = parent.select(pk.alias("k")).where("k is not null").distinct()
-    before = spelled.join(parents.withColumn("found", F.lit(True)), "k", "left")
-    lost = F.col("found").isNull()
-    per_key = before.groupBy(norm_key("k").alias("k")).agg(
-        F.sum("n").alias("n"),
-        F.coalesce(F.sum(F.when(lost, F.col("n"))), F.lit(0)).alias("lost_n"),
-        F.count_if(lost).alias("lost_keys"),
+    spark = next(iter(frames.values())).sparkSession
+    parts = [
+        frames[name].select(F.inline(F.array(*[
+            F.struct(F.lit(edge).alias("edge"), key.cast("string").alias("k"), F.lit(int(is_child)).cast("bigint").alias("n")) for edge, key, is_child in ends
+        ])))
+        for name, ends in feeds.items()
+    ]
+    ends = reduce(DataFrame.unionByName, parts).where("k is not null")
+    spelled = ends.groupBy("edge", "k").agg(F.sum("n").alias("n"), F.bool_or(F.col("n") == 0).alias("found"))
+    lost, used = ~F.col("found"), F.col("n") > 0
+    per_key = spelled.groupBy("edge", norm_key("k").alias("k")).agg(
+        F.sum("n").alias("n"), F.bool_or("found").alias("found"), F.sum(F.when(lost, F.col("n"))).alias("lost_n"), F.count_if(lost & used).alias("lost_keys")
     )
-    normal = parents.select(norm_key("k").alias("k")).distinct().withColumn("found", F.lit(True))
-
-    def total(c: Column) -> Column:
-        return F.coalesce(F.sum(c), F.lit(0))
-
-    totals = per_key.join(normal, "k", "left").agg(
-        total(F.col("n")).alias("n"),
-        total(F.col("lost_n")).alias("before_n"),
-        total(F.col("lost_keys")).alias("before_keys"),
-        total(F.when(lost, F.col("n"))).alias("after_n"),
-        F.count_if(lost).alias("after_keys"),
+    totals = per_key.groupBy("edge").agg(
+        F.sum("n").alias("n"), F.sum("lost_n").alias("before_n"), F.sum("lost_keys").alias("before_keys"),
+        F.sum(F.when(lost, F.col("n"))).alias("after_n"), F.count_if(lost & used).alias("after_keys"),
     )
+    names = list(dict.fromkeys(edge for ends in feeds.values() for edge, _, _ in ends))
+    every = spark.createDataFrame([(n,) for n in names], "edge string").join(totals, "edge", "left").fillna(0)
     rows = [
         F.struct(
-            F.lit(edge).alias("edge"), F.lit(stage).alias("stage"), F.col("n").alias("child_rows"),
-            F.col(f"{stage}_n").alias("orphan_rows"), F.col(f"{stage}_keys").alias("orphan_keys"),
+            F.lit(stage).alias("stage"), F.col("n").alias("child_rows"), F.col(f"{stage}_n").alias("orphan_rows"), F.col(f"{stage}_keys").alias("orphan_keys"),
         )
         for stage in ("before", "after")
     ]
-    return totals.select(F.inline(F.array(*rows)))
+    return every.select("edge", F.inline(F.array(*rows)))
+
+
+def orphan_report(child: DataFrame, parent: DataFrame, fk: Column, pk: Column, edge: str) -> DataFrame:
+    """``orphan_reports`` of a single edge."""
+    return orphan_reports({"child": [(edge, fk, True)], "parent": [(edge, pk, False)]}, {"child": child, "parent": parent})
 
 
 def hash_parity(a: DataFrame, b: DataFrame, key: str, column: str) -> DataFrame:

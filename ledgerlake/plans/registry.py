@@ -6,6 +6,7 @@ all their rows. Queries about files write the derived data to the shared folder
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from ledgerlake.functions import cleanse as c
 from ledgerlake.functions import features as feat
 from ledgerlake.functions import privacy
-from ledgerlake.operators import dedup, gates, hygiene, jobs, joins, metrics, orders, parity, plan_logs, profile
+from ledgerlake.operators import dedup, gates, hygiene, jobs, joins, metrics, orders, parity, plan_logs, profile, rules
 from ledgerlake.operators.velocity import velocity
 from ledgerlake.plans import silver as sv
 from ledgerlake.plans.gold import build_gold, disputes_by_tx
@@ -449,10 +450,12 @@ def _(spark, sf):
 @query("j5_orphan_report")
 def _(spark, sf):
     raws = _raws(spark, sf, PAY, CUS, MER, DEV, DIS)
-    return _union([
-        joins.orphan_report(raws[child], raws[parent], F.col(fk), F.col(SPECS[parent].key), f"{child}.{fk}->{parent}")
-        for child, fk, parent in EDGES
-    ])
+    ends = {name: [] for name in raws}
+    for child, fk, parent in EDGES:
+        edge = f"{child}.{fk}->{parent}"
+        ends[child].append((edge, F.col(fk), True))
+        ends[parent].append((edge, F.col(SPECS[parent].key), False))
+    return joins.orphan_reports({n: e for n, e in ends.items() if e}, raws)
 
 
 @query("j6_hash_parity")
@@ -656,7 +659,7 @@ def _check_results(spark, sf):
     s = _silver(spark, sf)
     gold = stage(build_gold(s), "gold")
     run_id = F.concat(F.lit("run-"), F.coalesce(F.col("payment_method").cast("string"), F.lit("none")))
-    rules = gates.check_results(gates.dq_scan(gold, GOLD_RULES, ["payment_method"]), run_id, "gold", 0.25)
+    checks = gates.check_results(gates.dq_scan(gold, GOLD_RULES, ["payment_method"]), run_id, "gold", 0.25)
     recon = reconcile(s[PAY], s[DIS], gold).select(
         run_id.alias("run_id"), F.lit("gold").alias("table_name"),
         F.lit("reconciled").alias("rule"), (~F.col("payment_method").eqNullSafe(2)).alias("required"),
@@ -664,7 +667,7 @@ def _check_results(spark, sf):
         F.lit(0.5).alias("elapsed"),
     )
     docs = recon.select("run_id", "table_name", F.lit("docs").alias("rule"), F.lit(True).alias("required"), F.lit(4).alias("exit_code"), F.lit(0.1).alias("elapsed"))
-    return _union([rules, recon, docs])
+    return _union([checks, recon, docs])
 
 
 @query("a29_gate_summary")
@@ -779,9 +782,29 @@ def _(spark, sf):
 # --- quality and governance --------------------------------------------------------------------------
 
 
+def _rule_lines() -> list[str]:
+    """The rules for Gold as the lines of a rule file."""
+    out = []
+    for r in GOLD_RULES:
+        given = {"rule": r.name, "kind": r.kind, "threshold": r.threshold} | ({"columns": list(r.columns)} if r.columns else {})
+        if r.kind == "range":
+            given |= {k: v for k, v in zip(("low", "high"), r.args) if v is not None}
+        elif r.kind == "set":
+            given["values"] = list(r.args)
+        elif r.kind == "regex":
+            given["pattern"] = r.args[0]
+        elif r.kind == "row":
+            given["condition"] = {"left": {"column": "total_net_amount"}, "op": "<=", "right": {"column": "total_tx_amount"}}
+        out.append(json.dumps(given))
+    return out
+
+
 @query("q1_dq_scan")
 def _(spark, sf):
-    return gates.dq_scan(build_gold(_silver(spark, sf)), GOLD_RULES)
+    """Gold judged by a rule file."""
+    path = new_path(spark, "rules")
+    spark.createDataFrame([(line,) for line in _rule_lines()], "value string").coalesce(1).write.text(path)
+    return rules.scan_with_file(build_gold(_silver(spark, sf)), path)
 
 
 @query("q2_promotion_gate")
