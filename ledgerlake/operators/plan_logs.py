@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlake.sources.logs import log_of
+
 # Tokens that mark plan lines, native operators looked for, marks of Python evaluation,
 # row-transition operators and the gate's limit.
 PLAN_TOKENS = (
@@ -36,30 +38,46 @@ def _has_any(value: Column, tokens: Sequence[str]) -> Column:
     return found
 
 
+def _with_log(lines: DataFrame) -> DataFrame:
+    """Lines with ``log``, the log their file belongs to, and ``part``."""
+    out = lines.withColumn("log", log_of(F.col("path")))
+    return out if "part" in lines.columns else out.withColumn("part", F.lit(0).cast("bigint"))
+
+
 def plan_events(
     lines: DataFrame, tokens: Sequence[str] = PLAN_TOKENS, limit: int | None = None, width: int | None = None
 ) -> DataFrame:
-    """The plan lines of every log in file order: all of them and whole, unless a report asks for the first
-    ``limit`` or for lines of ``width`` characters.
+    """The plan lines of every log in order: all of them and whole, unless a report asks for the first
+    ``limit`` or for lines of ``width`` characters. ``path`` is the log's.
 
-    A limit is applied per task before the shuffle, so a large log then sends few lines.
+    A log is numbered over the splits it was read in, the files of a rolled log one after the other: lines are numbered within their split,
+    counts of the splits before it are added, and no task needs a log as a whole. A limit is applied per split before the shuffle, so a large log then sends few lines.
     """
-    order = Window.partitionBy("path").orderBy("block_start", "seq")
-    found = lines.where(_has_any(F.col("value"), tokens)).select(
-        "path", "app", "block_start", "seq", (F.col("value") if width is None else F.substring("value", 1, width)).alias("event")
+    split = ["log", "app", "part", "path", "block_start"]
+    found = _with_log(lines).where(_has_any(F.col("value"), tokens)).select(
+        *split, "seq", (F.col("value") if width is None else F.substring("value", 1, width)).alias("event")
+    )
+    counts = found.groupBy(*split).agg(F.count(F.lit(1)).alias("n"))
+    ahead = Window.partitionBy("log", "app").orderBy("part", "path", "block_start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*split, F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("offset"))
+    placed = found.withColumn("place", F.row_number().over(Window.partitionBy(*split).orderBy("seq")))
+    if limit is not None:
+        placed = placed.where(F.col("place") <= limit)
+        offsets = offsets.where(F.col("offset") < limit)
+    numbered = placed.join(offsets, split).select(
+        F.col("log").alias("path"), "app", (F.col("offset") + F.col("place")).cast("int").alias("position"), "event"
     )
-    ranked = found.withColumn("position", F.row_number().over(order))
-    return (ranked if limit is None else ranked.where(F.col("position") <= limit)).select("path", "app", "position", "event")
+    return numbered if limit is None else numbered.where(F.col("position") <= limit)
 
 
 def plan_summary(lines: DataFrame, tokens: Sequence[str] = PLAN_TOKENS) -> DataFrame:
-    """Per log: native operators named anywhere, whether Python evaluation is, and the number of plan lines.
+    """Per log: native operators named anywhere, whether Python evaluation is, and the number of plan lines. The files of a rolled log are one log.
 
     ``has_batch_eval_python`` is NULL for a log without content.
     """
     value = F.col("value")
     flags = [F.coalesce(F.bool_or(value.contains(op)), F.lit(False)).alias(op) for op in NATIVE_OPERATORS]
-    per_log = lines.groupBy("path", "app").agg(
+    per_log = lines.groupBy(log_of(F.col("path")).alias("path"), "app").agg(
         F.bool_or(F.when(F.btrim("value") != "", value.contains(PYTHON_EVAL))).alias("has_batch_eval_python"),
         F.count_if(_has_any(value, tokens)).alias("plan_event_count"),
         *flags,

@@ -167,7 +167,7 @@ def read_rules(spark: SparkSession, path: str, schema: T.StructType) -> list[Rul
     if size > MOST_BYTES:
         raise RuleError(f"{path}: {size} bytes are no rule file")
     texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value").orderBy("path").collect()
-    rules = [r for t in texts for r in compile_rules(t.value.splitlines(), schema, f"{t.path} line")]
+    rules = [r for t in texts for r in compile_rules(t.value.split("\n"), schema, f"{t.path} line")]
     names = [r.name for r in rules]
     if len(set(names)) < len(names):
         raise RuleError(f"{path}: rules of the same name: {sorted({n for n in names if names.count(n) > 1})}")

@@ -76,9 +76,10 @@ JOB_RECORD = (
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines as ``scan_event_log`` returns them, one per event."""
+    """Lines as ``scan_event_log`` returns them, one per event, in splits of 100,000 events."""
     return table(spark, sf_dir, "events").selectExpr(
-        f"'logs/' || {APP} || '.json' as path", f"{APP} as app", "0L as block_start", "event_id as seq", f"{LINE} as value"
+        f"'logs/' || {APP} || '.json' as path", f"{APP} as app", "0L as part",
+        "cast(floor(event_id / 100000) as bigint) * 100000 as block_start", "event_id as seq", f"{LINE} as value"
     )
 
 

@@ -193,14 +193,9 @@ TWINS["s3_add_audit"] = f"select count(*) as cnt, count(*) as ts_cnt, count(*) a
 TWINS["s4_write_bronze"] = f"select * from {raw(DIS)}"
 _LOG = f"(select event_id, {dl.APP} as app, {dl.APP_NO} as app_no, {dl.BLOCK} as block, {dl.LINE} as value from events)"
 TWINS["s5_scan_event_log"] = f"select app, count(*) as lines, {big('sum(length(value))')} as characters from {_LOG} group by app"
-_PATHS = (
-    "case when app_no % 4 = 3 then 'logs/archive/' || app when app_no = 38 then 'logs/z/app-02-decelerated-udf.json' "
-    "else 'logs/' || app || '.json' end"
-)
 TWINS["s6_latest_event_log"] = (
-    f"with l as (select {_PATHS} as path, event_id as seq, value from {_LOG}), "
-    "k as (select * from l where path not like '%/archive/%' and path not like '%app-02-decelerated-udf.json') "
-    "select * from k where path = (select max(path) from k where trim(value) <> '')"
+    f"with k as (select * from {_LOG} where app_no % 4 <> 3 and app_no not in (37, 38)) "
+    "select app, cast(row_number() over (order by event_id) as integer) as position, value from k where app = (select max(app) from k where trim(value) <> '')"
 )
 _CLS = (
     "case when app_no % 5 = 3 then 'rdd_heavy' when app_no % 5 = 1 then 'udf_decelerated' "

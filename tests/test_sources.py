@@ -219,3 +219,74 @@ def test_a_table_moves_to_new_files_without_a_gap(spark, tmp_path):
         assert feeds.register_external(spark, name, paths[2]).columns == ["id", "more"]
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+TEXT = "".join(f'{{"Event":"SparkListenerSQLExecutionStart","n":{i}}}\n' for i in range(30)) + "é   last\n"
+
+
+@pytest.mark.parametrize("codec", ["zstd", "gzip", "bz2", "plain", "frames"])
+def test_logs_without_a_suffix_are_known_by_their_first_bytes(spark, tmp_path, codec):
+    import bz2
+    import gzip
+
+    def pack(text):
+        data = text.encode()
+        if codec == "frames":  # two frames in one file
+            return zstandard.ZstdCompressor().compress(data[:500]) + zstandard.ZstdCompressor().compress(data[500:])
+        return {"zstd": zstandard.ZstdCompressor().compress, "gzip": gzip.compress, "bz2": bz2.compress, "plain": bytes}[codec](data)
+
+    plain, packed, rolled = (tmp_path / n for n in ("plain", "packed", "rolled"))
+    for d in (plain, packed, rolled):
+        d.mkdir()
+    (plain / "app [1] +.json").write_text(TEXT)
+    (packed / "app [1] +").write_bytes(pack(TEXT))
+    (packed / "other.json").write_text("other\n")
+    folder = rolled / "eventlog_v2_app-1"
+    folder.mkdir()
+    cut = [x + "\n" for x in TEXT.split("\n")[:-1]]
+    for number, part in ((2, cut[7:20]), (10, cut[20:]), (1, cut[:7])):  # by number, not by name
+        (folder / f"events_{number}_app-1").write_bytes(pack("".join(part)))
+
+    def read(path, app):
+        lines = logs.scan_event_log(spark, str(path)).where(F.col("app") == app)
+        return [r.value for r in lines.orderBy("part", "block_start", "seq").collect()]
+
+    want = read(plain, "app [1] +")
+    assert want == [x.rstrip("\n") for x in cut]
+    assert read(packed, "app [1] +") == want and read(packed, "other") == ["other"]
+    assert read(rolled, "app-1") == want
+    hidden = {r.path.rsplit("/", 1)[1]: r.codec for r in logs.hidden_codecs(spark, str(packed)).collect()}
+    assert hidden == ({} if codec == "plain" else {"app [1] +": {"frames": "zstd"}.get(codec, codec)})
+    events = plan_logs.plan_events(logs.scan_event_log(spark, str(rolled))).orderBy("position").collect()
+    assert [(r.position, r.event) for r in events] == [(k + 1, x) for k, x in enumerate(want[:-1])]
+    first = plan_logs.plan_events(logs.scan_event_log(spark, str(rolled)), limit=9).orderBy("position").collect()
+    assert [r.event for r in first] == want[:9]
+    summary = plan_logs.plan_summary(logs.scan_event_log(spark, str(rolled))).collect()
+    assert [(r.app, r.plan_event_count) for r in summary] == [("app-1", 30)] and summary[0].path.endswith("eventlog_v2_app-1")
+
+
+def test_lines_are_numbered_without_a_window_per_log(spark, plan_of):
+    lines = spark.range(50_000).selectExpr(
+        "'logs/app-1.json' as path", "'app-1' as app", "0L as part", "cast(floor(id / 1000) as bigint) * 1000 as block_start", "id as seq", "concat('Velox ', id) as value"
+    )
+    got = plan_logs.plan_events(lines)
+    windows = [x for x in plan_of(got, "simple").splitlines() if "Window [" in x and "row_number" in x]
+    assert windows and all("block_start" in x for x in windows)
+    assert got.where("event <> concat('Velox ', position - 1)").isEmpty() and got.count() == 50_000
+
+
+def test_the_listing_chooses_the_log(spark, small_logs, monkeypatch):
+    opened = []
+    scan = logs.scan_event_log
+    monkeypatch.setattr(logs, "scan_event_log", lambda s, p: opened.append(p.rsplit("/", 1)[1]) or scan(s, p))
+    lines = logs.scan_latest_event_log(spark, small_logs)
+    assert opened == ["app-9.json", "app-2.zstd", "app-2.zstd"]  # a blank one first; the chosen one is looked at and read
+    assert {r.app for r in lines.select("app").distinct().collect()} == {"app-2"}
+    assert [f.rsplit("/", 1)[1] for f in lines.inputFiles()] == ["app-2.zstd"]
+
+
+def test_no_log_at_all(spark, tmp_path):
+    (tmp_path / "archive").mkdir()
+    (tmp_path / "archive" / "a.json").write_text("x\n")
+    (tmp_path / "b.json").write_text("\n")
+    assert logs.scan_latest_event_log(spark, str(tmp_path)) is None
