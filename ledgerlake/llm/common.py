@@ -46,6 +46,14 @@ def hex_bucket(digest: Column, buckets: Column) -> Column:
     return F.floor(share * buckets / F.lit(4294967296)).cast("long")
 
 
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound what is sent to a Python worker at once by its bytes, for this session: rows with whole texts or sets are large."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def on_workers(df: DataFrame, function, schema: str | StructType) -> DataFrame:
     """``df.mapInArrow`` with this package on the workers' path.
 

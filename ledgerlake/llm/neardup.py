@@ -25,11 +25,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import on_workers, staged
+from ledgerlake.llm.common import on_workers, small_batches, staged
 from ledgerlake.llm.components import components
 from ledgerlake.llm.words import Words, mix, slices, window_hash, words_of
 
 WIDTH = 5
+SLICE = 512 << 10  # bytes of text worked on at once
 SIMILARITY = 75  # per cent
 SLOTS = 32
 CHUNKS = 6
@@ -96,7 +97,7 @@ def _digests(flat: np.ndarray, at: np.ndarray, some: np.ndarray) -> np.ndarray:
 def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``doc_id, text`` -> ``doc_id, n_shingles, set_a, set_b, l0.., n0..``: size, 128-bit digest and signatures of each set. Columns after ``text`` come along."""
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, most=SLICE):
             flat, ends = _sets(part)
             n = np.diff(ends)
             some = n > 0
@@ -139,7 +140,7 @@ def chunk_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``doc_id, text`` -> ``doc_id, n_shingles, set_a, set_b, shingles``: size, digest, and the sorted set as bytes."""
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, most=SLICE):
             flat, ends = _sets(part)
             n = np.diff(ends)
             digest = _digests(flat, ends[:-1][n > 0], n > 0)
@@ -192,6 +193,7 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY, carry: tuple[str
     rows that repeat an id and its text are the same document, and texts that share an id are documents of their own. Rows without an id never become a class of
     others; unlinked, they are kept. An empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     signed = staged(on_workers(
         docs.select("doc_id", "text", *carry), sign,
         "doc_id long, n_shingles long, set_a long, set_b long, " + ", ".join(f"{c} long" for c in (*_LANES, *_NIBBLES, *carry)),

@@ -4,7 +4,7 @@ Features are the distinct words, beginnings of longer words (``STEMS`` bytes, so
 share weight), word pairs and pairs with one word between them of a whole text, hashed to ``2 ** BITS``
 places; letters A-Z are folded and outer punctuation is no part of a word. Training takes a bounded
 sample of labelled rows (``SAMPLE_ROWS``, by a hash of the id, so reruns take the same rows), in one task and in the
-order of that hash. Each coordinate has its own learning rate, and L1 leaves few weights: the model is a sorted
+order of that hash, which Spark sorts; the task keeps no rows. Each coordinate has its own learning rate, and L1 leaves few weights: the model is a sorted
 array of places and weights whose size is bounded by ``2 ** BITS`` however large the corpus is.
 """
 
@@ -18,13 +18,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import on_workers
+from ledgerlake.llm.common import on_workers, small_batches
 from ledgerlake.llm.words import mix, slices, span_hash, words_of
 
 BITS = 20
 SAMPLE_ROWS = 30_000
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 2.0, 1.0
 EPOCHS = 2
+SLICE = 512 << 10  # bytes of text worked on at once
 THRESHOLD = 0.3
 STEMS = (4, 6)
 OUTER = b".,;:!?\"'()[]|"  # taken off both ends of a word
@@ -94,21 +95,19 @@ def fit_ftrl(
 
 
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows, order = [], []
-    for batch in batches:
-        for part in slices(batch):
-            doc, place = features(part)
-            labels, keys = part.column(part.schema.get_field_index("label")).to_pylist(), part.column(part.schema.get_field_index("key")).to_pylist()
-            cut = np.searchsorted(doc, np.arange(part.num_rows + 1))
-            # sorting by text keeps the rows of each together
-            by = np.argsort(doc, kind="stable")
-            doc, place = doc[by], place[by]
-            cut = np.searchsorted(doc, np.arange(part.num_rows + 1))
-            for k in range(part.num_rows):
-                rows.append((np.unique(place[cut[k] : cut[k + 1]]).astype(np.int32), int(labels[k])))
-                order.append(keys[k])
-    order = np.argsort(np.array(order, dtype=np.int64), kind="stable") if order else []
-    model = fit_ftrl(rows[k] for _ in range(EPOCHS) for k in order)
+    """Rows in the order of training, each epoch's after the one before -> the model. Rows are not kept."""
+
+    def rows() -> Iterator[tuple[np.ndarray, int]]:
+        for batch in batches:
+            for part in slices(batch, most=SLICE):
+                doc, place = features(part)
+                by = np.argsort(doc, kind="stable")
+                place = place[by]
+                cut = np.searchsorted(doc[by], np.arange(part.num_rows + 1))
+                for k, label in enumerate(part.column(part.schema.get_field_index("label")).to_pylist()):
+                    yield np.unique(place[cut[k] : cut[k + 1]]), int(label)
+
+    model = fit_ftrl(rows())
     yield pa.RecordBatch.from_arrays(
         [pa.array([model.bias]), pa.array([model.places.astype(np.int64).tobytes()], pa.binary()), pa.array([model.values.tobytes()], pa.binary())],
         names=["bias", "places", "weights"],
@@ -120,7 +119,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, most: int = SAMPLE
 
     At most about ``most`` rows are taken, those with the least hashes of their ids. Rows without a label or
     text count not at all or as empty; without any labelled row the model says 0.5 of everything. An id
-    labelled twice counts as toxic if one label says so.
+    labelled twice counts as toxic if one label says so; of rows that share an id the least text is taken, so the bound holds for rows.
     """
     marked = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("label"))
     chosen = marked.filter(usable)
@@ -128,9 +127,12 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, most: int = SAMPLE
     share = min(1.0, most / total) if total else 1.0
     key = F.xxhash64(F.col("doc_id"), F.lit(7))
     sample = chosen.withColumn("key", key).filter(F.pmod("key", F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
-    rows = docs.select("doc_id", "text").join(sample, "doc_id").select("text", "label", "key")
-    # bounded by `most` rows; the model needs them in one order
-    got = on_workers(rows.repartition(1), _train, "bias double, places binary, weights binary").first()
+    small_batches(docs.sparkSession)
+    rows = docs.select("doc_id", "text").join(sample, "doc_id").groupBy("doc_id", "label", "key").agg(F.min("text").alias("text"))
+    # bounded by `most` rows; the model needs them in one order, once for each epoch
+    epochs = rows.repartition(1).withColumn("epoch", F.explode(F.array(*[F.lit(k) for k in range(EPOCHS)])))
+    ordered = epochs.sortWithinPartitions("epoch", "key", "doc_id").select("text", "label")
+    got = on_workers(ordered, _train, "bias double, places binary, weights binary").first()
     if got is None:  # no row at all: no task ran
         return Weights(0.0, np.zeros(0, dtype=np.int64), np.zeros(0))
     return Weights(got.bias, np.frombuffer(got.places, dtype=np.int64), np.frombuffer(got.weights))
@@ -150,7 +152,7 @@ def score(docs: DataFrame, model: Weights, threshold: float = THRESHOLD) -> Data
         dense = np.zeros(1 << BITS)
         dense[model.places] = model.values
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=SLICE):
                 p = _probability(part, dense, model.bias)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(part.schema.get_field_index("doc_id")), pa.array(p), pa.array((p >= threshold).astype(np.int32))],
@@ -166,7 +168,7 @@ def without_toxic(docs: DataFrame, model: Weights, threshold: float = THRESHOLD)
         dense = np.zeros(1 << BITS)
         dense[model.places] = model.values
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=SLICE):
                 yield part.filter(pa.array(_probability(part, dense, model.bias) < threshold))
 
     return on_workers(docs, kept, docs.schema)
