@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,16 +92,16 @@ def fleet_roi(apps: DataFrame, rates: Mapping[str, tuple[float, float]], hourly_
     """Cost before and after acceleration per class and for the fleet (class ``TOTAL``).
 
     ``apps`` holds ``app_id, class, runtime_hours``. ``rates`` gives per class the speed-up and the price
-    factor of accelerated hours; a class without an entry stays as it is. All rates are the caller's.
+    factor of accelerated hours; a class without an entry stays as it is. All rates are the caller's. Hours, rates and costs are
+    decimals, so sums are exact and do not depend on the order of rows; hours count to four decimals, the change of a class's cost to eight.
     """
-    speedup, factor = F.lit(1.0), F.lit(1.0)
-    for name, (s, f) in rates.items():
-        speedup = F.when(F.col("class") == name, F.lit(float(s))).otherwise(speedup)
-        factor = F.when(F.col("class") == name, F.lit(float(f))).otherwise(factor)
-    cost = apps.select(
-        "class",
-        (F.col("runtime_hours") * hourly_rate).alias("baseline"),
-        (F.col("runtime_hours") / speedup * hourly_rate * factor).alias("projected"),
+    change = F.lit(Decimal(1)).cast("decimal(12,8)")
+    for name, (speedup, factor) in rates.items():
+        ratio = (Decimal(str(factor)) / Decimal(str(speedup))).quantize(Decimal("1.00000000"))
+        change = F.when(F.col("class") == name, F.lit(ratio).cast("decimal(12,8)")).otherwise(change)
+    rate = F.lit(Decimal(str(hourly_rate))).cast("decimal(10,4)")
+    cost = apps.select("class", (F.col("runtime_hours").cast("decimal(16,4)") * rate).cast("decimal(26,8)").alias("baseline")).withColumn(
+        "projected", (F.col("baseline") * change).cast("decimal(38,12)")
     )
     rolled = cost.rollup("class").agg(
         F.grouping("class").alias("g"),
@@ -112,8 +113,8 @@ def fleet_roi(apps: DataFrame, rates: Mapping[str, tuple[float, float]], hourly_
     return rolled.select(
         F.when(F.col("g") == 1, "TOTAL").otherwise(F.col("class")).alias("class"),
         "apps",
-        F.round("baseline", 2).alias("baseline_cost"),
-        F.round("projected", 2).alias("projected_cost"),
-        F.round(saving, 2).alias("saving"),
-        F.round(F.try_divide(saving, F.col("projected")), 4).alias("roi"),
+        F.round("baseline", 2).cast("decimal(38,2)").alias("baseline_cost"),
+        F.round("projected", 2).cast("decimal(38,2)").alias("projected_cost"),
+        F.round(saving, 2).cast("decimal(38,2)").alias("saving"),
+        F.round(F.try_divide(saving.cast("double"), F.col("projected").cast("double")), 4).alias("roi"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.cleanse import fixed2
+from ledgerlake.functions.cleanse import MEASURE, fixed2
 from ledgerlake.functions.features import features_valid, is_anomaly
 from ledgerlake.functions.privacy import is_digest
 from ledgerlake.operators.hygiene import benign_null
@@ -37,11 +37,15 @@ def ring_size(df: DataFrame, device: str = RING_DEVICE) -> DataFrame:
 
 def silver_metrics(df: DataFrame, spec: FeedSpec) -> DataFrame:
     """Rows, benign nulls, the two certified sums and, where the features exist, their counts."""
-    secondary = F.sum(spec.secondary)
+    def total(column: str) -> F.Column:
+        """Measures are doubles, whose sum would depend on the order of rows."""
+        return F.sum(F.col(column).cast("decimal(18,2)") if spec.roles.get(column) == MEASURE else F.col(column))
+
+    secondary = total(spec.secondary)
     aggs = [
         F.count(F.lit(1)).alias("cnt"),
         F.count_if(benign_null(spec)).alias("n4_cnt"),
-        fixed2(F.sum(spec.metric)).alias("p_sum"),
+        fixed2(total(spec.metric)).alias("p_sum"),
         (secondary.cast("string") if spec.secondary_is_count else fixed2(secondary)).alias("s_sum"),
     ]
     if {"geo_distance_km", "velocity_1h"} <= set(df.columns):

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.cleanse import NUMBER_UNITS, TS_FORMATS, TsFormat, norm_key, parse_number, ts_format_name
+from ledgerlake.functions.features import net_amount
 from ledgerlake.functions.privacy import is_digest
 from ledgerlake.operators.dedup import dedup_latest
 from ledgerlake.operators.hygiene import is_sound, null_class_expr
@@ -26,6 +27,7 @@ DIRTY_PATTERNS = {
     "edge_space": r"^[\s\p{Z}]|[\s\p{Z}]$",
     "lower_case": r"[a-z]",
 }
+AUDIT_COLUMNS = ("_ingestion_timestamp", "_source_file")
 SSN_PATTERN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 # one character before the @ decides as well as all of them, and in linear time
 EMAIL_PATTERN = r"[A-Za-z0-9._%+-]@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
@@ -160,18 +162,28 @@ def dim_rollups(tx: DataFrame, customers: DataFrame, disputes: DataFrame) -> Dat
     )
 
 
+def _secondary(spec: FeedSpec, accounting: bool) -> Column:
+    """The secondary metric as money out of dirty text; for transactions the net amount, which is worked out."""
+    if spec.secondary in spec.roles:
+        return parse_number(spec.secondary, spec.roles[spec.secondary], accounting).cast("decimal(18,2)")
+    rate = F.when(F.col("promo_code").isNotNull(), parse_number("discount_pct", spec.roles["discount_pct"], accounting) / 100)
+    return net_amount(parse_number(spec.metric, spec.roles[spec.metric], accounting), rate)
+
+
 def bug_signatures(df: DataFrame, spec: FeedSpec) -> DataFrame:
-    """Sum of the mandatory metric as it should be and as named mistakes would make it.
+    """Sums of the mandatory and the secondary metric as they should be and as named mistakes would make them.
 
-    One row per key is kept first (retry copies are not part of these mistakes), then one pass.
+    One row per key is kept first (retry copies are not part of these mistakes), then one pass. Sums are decimals, so they do not depend on the order of rows.
     """
     optional_missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in spec.optional])
     dtype = spec.roles[spec.metric]
     # a row that is corrupt under both readings can never be counted
     rows = df.select(
         norm_key(spec.key).alias("k"),
-        parse_number(spec.metric, dtype).alias("value"),
-        parse_number(spec.metric, dtype, accounting=False).alias("naive_value"),
+        parse_number(spec.metric, dtype).cast("decimal(18,2)").alias("value"),
+        parse_number(spec.metric, dtype, accounting=False).cast("decimal(18,2)").alias("naive_value"),
+        _secondary(spec, True).alias("second"),
+        _secondary(spec, False).alias("naive_second"),
         is_sound(df, spec).alias("good"),
         is_sound(df, spec, accounting=False).alias("naive_good"),
         optional_missing.alias("benign"),
@@ -179,17 +191,34 @@ def bug_signatures(df: DataFrame, spec: FeedSpec) -> DataFrame:
     unique = dedup_latest(rows, ["k"])
 
     def total(condition: Column, value: str) -> Column:
-        s = F.sum(F.when(condition, F.col(value)))
-        return F.coalesce(s, F.lit(0).cast(dtype)).cast(MONEY)
-
-    return unique.agg(
-        F.count_if("good").alias("baseline_rows"),
-        total(F.col("good"), "value").alias("baseline_sum"),
-        F.count_if(F.col("good") & ~F.col("benign")).alias("dropna_rows"),
-        total(F.col("good") & ~F.col("benign"), "value").alias("dropna_sum"),
-        F.count_if("naive_good").alias("no_parentheses_rows"),
-        total(F.col("naive_good"), "naive_value").alias("no_parentheses_sum"),
-    ).select(F.lit(spec.name).alias("feed"), "*")
+        return F.coalesce(F.sum(F.when(condition, F.col(value))), F.lit(0).cast("decimal(18,2)")).cast(MONEY)
+
+    readings = {
+        "baseline": (F.col("good"), "value", "second"), "dropna": (F.col("good") & ~F.col("benign"), "value", "second"),
+        "no_parentheses": (F.col("naive_good"), "naive_value", "naive_second"),
+    }
+    counts = [
+        column for name, (condition, value, second) in readings.items() for column in (
+            F.count_if(condition).alias(f"{name}_rows"), total(condition, value).alias(f"{name}_sum"), total(condition, second).alias(f"{name}_secondary_sum"),
+        )
+    ]
+    return unique.agg(*counts).select(F.lit(spec.name).alias("feed"), "*")
+
+
+def tier_audit(layers: Mapping[tuple[str, str], DataFrame], specs: Mapping[str, FeedSpec]) -> DataFrame:
+    """``pii_audit`` of every table of the layers (by layer and name, as a catalog lists them), with the columns that each layer's tables must have.
+
+    No table is named here: Bronze must have its audit columns, a Silver table of a feed with identifiers their digests, and a table nobody listed is
+    audited like any other.
+    """
+    required: dict[str, list[str]] = {}
+    for layer, table in layers:
+        spec = specs.get(table.removesuffix(f"_{layer}"))
+        if layer == "bronze":
+            required[table] = list(AUDIT_COLUMNS)
+        elif layer == "silver" and spec is not None:
+            required[table] = [f"masked_{c}" for c in spec.pii]
+    return pii_audit({table: df for (_, table), df in layers.items()}, required=required)
 
 
 def pii_audit(

@@ -7,7 +7,9 @@ all their rows. Queries about files write the derived data to the shared folder
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,10 +21,11 @@ from ledgerlake.operators import dedup, gates, hygiene, jobs, joins, metrics, or
 from ledgerlake.operators.velocity import velocity
 from ledgerlake.plans import silver as sv
 from ledgerlake.plans.gold import build_gold, disputes_by_tx
+from ledgerlake.plans.pipeline import run_medallion
 from ledgerlake.plans.reconcile import gold_rollup, promotion_gate, reconcile, reconcile_rollups, silver_rollup
 from ledgerlake.plans.specs import EDGES, SPECS
 from ledgerlake.session import new_path, stage
-from ledgerlake.sources import derived_logs, feeds, logs
+from ledgerlake.sources import derived_logs, erasure, feeds, files, logs
 from ledgerlake.sources.derived import raw_feed, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +91,48 @@ def _jobs(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.parse_jobs(derived_logs.job_records(spark, sf))
 
 
+def _landing_day(feed: str):
+    """Day on which a record of an event feed lands: its own, for a dispute one of three days by its order's number."""
+    if SPECS[feed].ts:
+        return c.parse_ts(SPECS[feed].ts).cast("date")
+    number = F.regexp_extract("dispute_id", "DSP-([0-9]+)", 1).try_cast("bigint")
+    return F.date_add(F.lit("2024-01-01").cast("date"), (number % 3).cast("int"))
+
+
+def _land(spark: SparkSession, sf: str, root: str, *names: str) -> None:
+    """Landing zone: event feeds in folders of their days, the others in two files."""
+    for name, raw in _raws(spark, sf, *names).items():
+        if SPECS[name].dated:
+            feeds.land_feed(raw, f"{root}/{name}", name, _landing_day(name))
+        else:
+            feeds.land_feed(raw.repartition(2), f"{root}/{name}", name)
+
+
+def _with_bronze(spark: SparkSession, sf: str, names: tuple[str, ...], result: Callable[[dict[str, DataFrame]], DataFrame]) -> DataFrame:
+    """A result over Bronze tables, which are ingested from a landing zone and dropped again."""
+    unit, root = "q" + uuid.uuid4().hex, new_path(spark, "landing")
+    try:
+        with files.scratch(spark):
+            _land(spark, sf, root, *names)
+            bronze = feeds.ingest(spark, root, {n: n for n in names or SPECS}, unit)
+        return stage(result(bronze), "result")
+    finally:
+        feeds.drop_layers(spark, unit)
+        files.delete(spark, [root])
+
+
+def _with_layers(spark: SparkSession, sf: str, result: Callable[[dict[tuple[str, str], DataFrame]], DataFrame]) -> DataFrame:
+    """A result over all tables that the catalog lists for Bronze, Silver and Gold after a run from a landing zone."""
+    unit, root = "q" + uuid.uuid4().hex, new_path(spark, "landing")
+    try:
+        _land(spark, sf, root)
+        run_medallion(spark, root, GOLD_RULES, unit)
+        return stage(result(feeds.layer_tables(spark, unit)), "result")
+    finally:
+        feeds.drop_layers(spark, unit)
+        files.delete(spark, [root])
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
@@ -125,9 +170,14 @@ def _(spark, sf):
 
 @query("s2_scan_dated")
 def _(spark, sf):
-    path = new_path(spark, "landing")
-    feeds.land_feed(raw_feed(spark, sf, PAY), path, PAY, c.parse_ts("tx_ts").cast("date"))
-    return feeds.scan_dated(spark, path, PAY).select("transaction_id", "tx_status", "tx_amount", feeds.FOLDER_DATE)
+    """All three event feeds, with the day of the folder."""
+    root = new_path(spark, "landing")
+    dated = [n for n in SPECS if SPECS[n].dated]
+    _land(spark, sf, root, *dated)
+    return _union([
+        feeds.scan_dated(spark, f"{root}/{n}", n).select(F.lit(n).alias("feed"), F.col(SPECS[n].key).alias("id"), F.col(SPECS[n].metric).alias("value"), feeds.FOLDER_DATE)
+        for n in dated
+    ])
 
 
 @query("s3_add_audit")
@@ -147,6 +197,31 @@ def _(spark, sf):
     return bronze.select(*SPECS[DIS].columns)
 
 
+@query("s4_incremental_ingest")
+def _(spark, sf):
+    """The event feeds' even days land and are ingested, then the others; a third run finds nothing new."""
+    unit, root = "q" + uuid.uuid4().hex, new_path(spark, "landing")
+    dated = [n for n in SPECS if SPECS[n].dated]
+    try:
+        with files.scratch(spark):
+            for late in (False, True, None):
+                if late is not None:
+                    for name, raw in _raws(spark, sf, *dated).items():
+                        day = _landing_day(name)
+                        first = F.coalesce(F.day(day) % 2 == 0, F.lit(False))
+                        feeds.land_feed(raw.where(first != late), f"{root}/{name}/{'second' if late else 'first'}", name, day)
+                bronze = feeds.ingest(spark, root, {n: n for n in dated}, unit)
+        ledger = spark.table(f"{feeds.database_name(unit, 'bronze', 'dev')}.ingest_ledger").where("state = 'done'")
+        runs = ledger.groupBy("feed").agg(F.count_distinct("run").alias("runs"))
+        counts = _union([
+            df.groupBy(F.lit(n).alias("feed"), F.col(feeds.FOLDER_DATE)).agg(F.count(F.lit(1)).alias("row_count")) for n, df in bronze.items()
+        ])
+        return stage(counts.join(runs, "feed"), "result")
+    finally:
+        feeds.drop_layers(spark, unit)
+        files.delete(spark, [root])
+
+
 @query("s5_scan_event_log")
 def _(spark, sf):
     """Logs written plain and compressed, read back as one table."""
@@ -209,10 +284,8 @@ def _(spark, sf):
 @query("s10_manifest_check")
 def _(spark, sf):
     root = new_path(spark, "landing")
-    for name, raw in _raws(spark, sf).items():
-        ts = SPECS[name].ts
-        feeds.land_feed(raw, f"{root}/{name}", name, c.parse_ts(ts).cast("date") if ts else None)
-    return feeds.manifest_check(spark, root).select("feed", "present", "ok")
+    _land(spark, sf, root)
+    return feeds.manifest_check(spark, root)
 
 
 @query("s11_register_external")
@@ -241,10 +314,19 @@ def _(spark, sf):
 
 @query("s14_erase")
 def _(spark, sf):
+    """Customers in debt are erased from the stored table, file by file."""
+    path = new_path(spark, "customers")
+    name = "erase_" + path.rsplit("-", 1)[1]
     erased = table(spark, sf, "customer").where("c_acctbal < 0").select(
         F.concat(F.lit("CUST-"), F.lpad(F.col("c_custkey").cast("string"), 7, "0")).alias("customer_id")
     )
-    return dedup.erase(_customers(spark, sf), erased)
+    feeds.write_clustered(_customers(spark, sf), path, ["customer_id"], 16)
+    try:
+        feeds.register_external(spark, name, path)
+        erasure.erase_rows(spark, name, erased)
+        return spark.read.parquet(path)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 # --- projections, filters, cleansing -----------------------------------------------------------------
@@ -381,13 +463,13 @@ def _(spark, sf):
 
 @query("p20_masked_view")
 def _(spark, sf):
-    bronze = privacy.tag_columns(raw_feed(spark, sf, CUS), {"ssn": "pii.ssn", "email": "pii.email"})
-    return _union([
-        privacy.masked_view(bronze, privileged, ["ssn"]).select(
+    """The stored Bronze table, whose columns carry their tags, for two readers."""
+    return _with_bronze(spark, sf, (CUS,), lambda bronze: _union([
+        privacy.masked_view(bronze[CUS], privileged, SPECS[CUS].pii).select(
             F.lit(reader).alias("reader"), "customer_id", "ssn", "email", "loyalty_tier"
         )
         for reader, privileged in (("auditor", True), ("analyst", False))
-    ])
+    ]))
 
 
 @query("p21_hash_pii")
@@ -487,14 +569,12 @@ def _(spark, sf):
 
 @query("a1_bronze_audit")
 def _(spark, sf):
-    """A Bronze table with audit columns and one without."""
-    path = new_path(spark, "landing")
-    feeds.land_feed(raw_feed(spark, sf, CUS), path, CUS)
-    with_audit = feeds.add_audit(feeds.scan_feed(spark, path, CUS))
-    return _union([
-        metrics.bronze_audit(df).select(F.lit(n).alias("table_name"), "*")
-        for n, df in (("customers_crm_bronze", with_audit), ("payment_transactions_bronze", raw_feed(spark, sf, PAY)))
-    ])
+    """All Bronze tables, and a feed that never passed Bronze."""
+    def audited(bronze):
+        tables = {f"{n}_bronze": df for n, df in bronze.items()} | {"payment_transactions_raw": raw_feed(spark, sf, PAY)}
+        return _union([metrics.bronze_audit(df).select(F.lit(n).alias("table_name"), "*") for n, df in tables.items()])
+
+    return _with_bronze(spark, sf, (), audited)
 
 
 @query("a2_silver_metrics")
@@ -592,10 +672,8 @@ def _(spark, sf):
 
 @query("a18_surge_profile")
 def _(spark, sf):
-    parts = []
-    for n, raw in _raws(spark, sf, PAY, DEV).items():
-        parts.append(profile.surge_profile(raw, n, c.parse_ts(SPECS[n].ts).cast("date"), hygiene.is_sound(raw, SPECS[n])))
-    return _union(parts)
+    dated = [n for n in SPECS if SPECS[n].dated]
+    return _union([profile.surge_profile(raw, n, _landing_day(n), hygiene.is_sound(raw, SPECS[n])) for n, raw in _raws(spark, sf, *dated).items()])
 
 
 @query("a19_duplicate_report")
@@ -608,7 +686,7 @@ def _(spark, sf):
 
 @query("a20_feed_inventory")
 def _(spark, sf):
-    return profile.feed_inventory(_raws(spark, sf), SPECS)
+    return _with_bronze(spark, sf, (), lambda bronze: profile.feed_inventory(bronze, SPECS))
 
 
 @query("a21_device_rings")
@@ -623,14 +701,13 @@ def _(spark, sf):
 
 @query("a23_bug_signatures")
 def _(spark, sf):
-    return _union([profile.bug_signatures(raw_feed(spark, sf, n), SPECS[n]) for n in (PAY, CUS, DIS)])
+    return _union([profile.bug_signatures(raw, SPECS[n]) for n, raw in _raws(spark, sf).items()])
 
 
 @query("a24_pii_audit")
 def _(spark, sf):
-    tables = {"customers_crm_bronze": raw_feed(spark, sf, CUS), "customers_crm_silver": _customers(spark, sf), "payment_transactions_silver": _clean_tx(spark, sf)}
-    required = {"customers_crm_bronze": ["_source_file"], "payment_transactions_silver": ["masked_ssn"]}
-    return profile.pii_audit(tables, required=required)
+    """Every table of every layer, as the catalog lists them."""
+    return _with_layers(spark, sf, lambda tables: profile.tier_audit(tables, SPECS))
 
 
 @query("a25_plan_summary")
@@ -652,7 +729,7 @@ def _(spark, sf):
 def _(spark, sf):
     apps = _jobs(spark, sf).select(
         F.col("name").alias("app_id"), F.regexp_extract("name", "/([a-z]+)-[0-9]+$", 1).alias("class"),
-        ((_key_number("name") % 40 + 1) / F.lit(4.0)).alias("runtime_hours"),
+        ((_key_number("name") % 40 + 1) * F.lit(Decimal("0.25"))).alias("runtime_hours"),
     )
     return jobs.fleet_roi(apps, ROI_RATES, hourly_rate=2.5)
 
@@ -823,11 +900,8 @@ def _(spark, sf):
 
 @query("q3_layer_progression")
 def _(spark, sf):
-    raws = _raws(spark, sf)
-    s = sv.build_silver(raws)
-    tables = {}
-    for n in SPECS:
-        tables[(n, "raw")] = raws[n]
-        tables[(n, "silver")] = s[n]
-    tables[("gold_fraud_features", "gold")] = build_gold(s)
-    return metrics.layer_progression(tables)
+    """Raw feeds, and every table of Bronze, Silver and Gold as the catalog lists them."""
+    raws = {(n, "raw"): raw for n, raw in _raws(spark, sf).items()}
+    return _with_layers(
+        spark, sf, lambda tables: metrics.layer_progression(raws | {(t.removesuffix(f"_{layer}"), layer): df for (layer, t), df in tables.items()})
+    )

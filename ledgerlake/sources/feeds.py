@@ -14,13 +14,14 @@ from ledgerlake.plans.specs import SPECS, FeedSpec
 from ledgerlake.session import new_path, stage, work_root
 from ledgerlake.sources.erasure import table_location
 from ledgerlake.sources.files import delete, listing, literal, scratch
-from ledgerlake.sources.ledger import SOURCE_FILE, FileLedger
+from ledgerlake.sources.ledger import LEDGER, SOURCE_FILE, FileLedger
 
 INGESTED_AT = "_ingestion_timestamp"
 FOLDER_DATE = "folder_date"
 # The five feeds and the number of objects a complete landing zone has at least.
 LANDING_FEEDS = tuple(SPECS)
 LANDING_MIN_OBJECTS = 47
+LAYERS = ("bronze", "silver", "gold")
 
 
 def feed_schema(spec: FeedSpec) -> T.StructType:
@@ -189,6 +190,29 @@ def write_clustered(df: DataFrame, path: str, keys: Sequence[str], partitions: i
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def layer_tables(
+    spark: SparkSession, unit: str = "fraud", env: str = "dev", layers: Sequence[str] = LAYERS
+) -> dict[tuple[str, str], DataFrame]:
+    """Every table of the layers' databases, by (layer, table), as the catalog lists them; the file ledger is none of the data."""
+    out = {}
+    for layer in layers:
+        db = database_name(unit, layer, env)
+        if spark.catalog.databaseExists(db):
+            names = sorted(t.name for t in spark.catalog.listTables(db) if not t.isTemporary and t.name != LEDGER)
+            out |= {(layer, n): spark.table(f"{db}.{n}") for n in names}
+    return out
+
+
+def drop_layers(spark: SparkSession, unit: str, env: str = "dev", layers: Sequence[str] = LAYERS) -> None:
+    """Drop the layers' databases with their files, those in the work folder included."""
+    for layer in layers:
+        db = database_name(unit, layer, env)
+        if spark.catalog.databaseExists(db):
+            places = [table_location(spark, f"{db}.{t.name}") for t in spark.catalog.listTables(db) if t.tableType == "EXTERNAL"]
+            spark.sql(f"DROP DATABASE {db} CASCADE")
+            delete(spark, [p for p in places if work_root(spark).split(":", 1)[-1].lstrip("/") in p])
+
+
 def database_name(unit: str, layer: str, env: str) -> str:
     """``<bu>_<layer>_<env>``."""
     return f"{unit}_{layer}_{env}"

@@ -188,7 +188,23 @@ TWINS["s1_scan_feed"] = (
     + f", {_cut} as is_corrupt from {raw(PAY)}"
 )
 TWINS["s1_scan_feed_csv"] = f"select * from {raw(MER)}"
-TWINS["s2_scan_dated"] = f"select transaction_id, tx_status, tx_amount, cast({ts('tx_ts')} as date) as folder_date from {raw(PAY)}"
+DATED = [f for f, s in SPECS.items() if s.dated]
+
+
+def day(feed: str) -> str:
+    if SPECS[feed].ts:
+        return f"cast({ts(SPECS[feed].ts)} as date)"
+    return "date '2024-01-01' + cast(try_cast(nullif(regexp_extract(dispute_id, 'DSP-([0-9]+)', 1), '') as bigint) % 3 as integer)"
+
+
+TWINS["s2_scan_dated"] = union([
+    f"select '{f}' as feed, {SPECS[f].key} as id, {SPECS[f].metric} as value, {day(f)} as folder_date from {raw(f)}" for f in DATED
+])
+TWINS["s4_incremental_ingest"] = union([
+    f"select '{f}' as feed, day as folder_date, count(*) as row_count, cast(any_value(runs) as bigint) as runs from (select *, "
+    f"max(case when coalesce(day(day) % 2 = 0, false) then 1 else 0 end) over () + max(case when coalesce(day(day) % 2 = 0, false) then 0 else 1 end) over () as runs "
+    f"from (select {day(f)} as day from {raw(f)})) group by 2" for f in DATED
+])
 TWINS["s3_add_audit"] = f"select count(*) as cnt, count(*) as ts_cnt, count(*) as src_cnt from {raw(DEV)}"
 TWINS["s4_write_bronze"] = f"select * from {raw(DIS)}"
 _LOG = f"(select event_id, {dl.APP} as app, {dl.APP_NO} as app_no, {dl.BLOCK} as block, {dl.LINE} as value from events)"
@@ -222,7 +238,15 @@ TWINS["s9_output_inventory"] = (
     "select position, prefix, cast(files as bigint) as files, chosen from (values (0, 'orders_enriched_fixed', 0, false), "
     "(1, 'orders_enriched_nqe', 4, true), (2, 'orders_enriched', 2, false)) t(position, prefix, files, chosen)"
 )
-TWINS["s10_manifest_check"] = union([f"select '{f}' as feed, true as present, true as ok" for f in SPECS])
+def _files(f: str) -> str:
+    """Files in which a feed lands: one for each day, two for a feed without days."""
+    return f"(select count(distinct coalesce(cast(d as varchar), 'none')) as n from (select {day(f)} as d from {raw(f)}))" if SPECS[f].dated else "(select 2 as n)"
+
+
+_LANDED = " union all ".join(f"select '{f}' as feed, n from {_files(f)}" for f in SPECS)
+TWINS["s10_manifest_check"] = (
+    f"select feed, cast(n as bigint) as objects, n > 0 as present, cast(sum(n) over () as bigint) as total_objects, sum(n) over () >= 47 and min(n) over () > 0 as ok from ({_LANDED})"
+)
 TWINS["s11_register_external"] = with_("mer", "select * from mer")
 TWINS["s12_write_clustered"] = with_("gold", "select * from gold")
 _O = "select o_orderkey, o_orderstatus, cast(o_totalprice as decimal(18,2)) as price, 1 as version from orders"
@@ -383,8 +407,8 @@ TWINS["j8_ab_compare"] = (
 )
 # --- aggregations ------------------------------------------------------------------------------------
 TWINS["a1_bronze_audit"] = union([
-    f"select 'customers_crm_bronze' as table_name, count(*) as cnt, count(*) as ts_cnt, count(*) as src_cnt from {raw(CUS)}",
-    f"select 'payment_transactions_bronze' as table_name, count(*) as cnt, -1 as ts_cnt, -1 as src_cnt from {raw(PAY)}",
+    *(f"select '{f}_bronze' as table_name, count(*) as cnt, count(*) as ts_cnt, count(*) as src_cnt from {raw(f)}" for f in SPECS),
+    f"select 'payment_transactions_raw' as table_name, count(*) as cnt, -1 as ts_cnt, -1 as src_cnt from {raw(PAY)}",
 ])
 _FEAT = (
     f"{big('count_if(geo_distance_km is not null and velocity_1h >= 1)')} as feat_cnt, {big('count_if(' + ANOMALY + ')')} as anomaly_cnt"
@@ -394,10 +418,13 @@ _RING = "count(distinct case when device_id = 'DEV-FRAUD-999' then customer_id e
 
 def _metrics(feed: str, rel: str, extra: str) -> str:
     s = SPECS[feed]
-    second = f"cast(cast(sum({s.secondary}) as bigint) as varchar)" if s.secondary_is_count else text2(f"sum({s.secondary})")
+    def exact(c: str) -> str:
+        return f"cast({c} as decimal(18,2))" if s.roles.get(c) == "double" else c
+
+    second = f"cast(cast(sum({s.secondary}) as bigint) as varchar)" if s.secondary_is_count else text2(f"sum({exact(s.secondary)})")
     return (
         f"select '{feed}_silver' as table_name, count(*) as cnt, {big(f'count_if({s.optional[0]} is null or {s.optional[1]} is null)')} as n4_cnt, "
-        f"{text2(f'sum({s.metric})')} as p_sum, {second} as s_sum, {extra} from {rel}"
+        f"{text2(f'sum({exact(s.metric)})')} as p_sum, {second} as s_sum, {extra} from {rel}"
     )
 
 
@@ -501,18 +528,18 @@ TWINS["a17_ts_format_profile"] = union([_fmt(PAY), _fmt(DEV)])
 def _surge(f: str) -> str:
     return (
         f"select '{f}' as feed, day, raw_rows, clean_rows, round(100.0 * clean_rows::double / (sum(clean_rows) over ())::double, 4) as share_pct from "
-        f"(select cast({ts(SPECS[f].ts)} as date) as day, count(*) as raw_rows, {big(f'''count_if({cls(f)} in ('N4','CLEAN'))''')} as clean_rows from {raw(f)} group by 1)"
+        f"(select {day(f)} as day, count(*) as raw_rows, {big(f'''count_if({cls(f)} in ('N4','CLEAN'))''')} as clean_rows from {raw(f)} group by 1)"
     )
 
 
-TWINS["a18_surge_profile"] = union([_surge(PAY), _surge(DEV)])
+TWINS["a18_surge_profile"] = union([_surge(f) for f in DATED])
 TWINS["a19_duplicate_report"] = union([
     f"select '{f}' as feed, '{s.key}' as key_column, {big('sum(n)')} as keyed_rows, {big('sum(n - 1)')} as duplicate_rows, "
     f"{big('count_if(n > 1)')} as repeated_keys, count(*) as surviving_rows from (select count(*) as n from {raw(f)} where {s.key} is not null group by {key(s.key)})"
     for f, s in SPECS.items()
 ])
 TWINS["a20_feed_inventory"] = union([
-    f"select '{f}' as feed, cast(0 as bigint) as files, count(*) as raw_rows, {big('count_if(bad)')} as corrupt_rows, "
+    f"select '{f}' as feed, cast((select n from {_files(f)}) as bigint) as files, count(*) as raw_rows, {big('count_if(bad)')} as corrupt_rows, "
     f"{big('count_if(not bad) - count(distinct case when not bad then k end)')} as duplicate_rows, count(distinct case when not bad then k end) as clean_rows "
     f"from (select {key(s.key)} as k, {cls(f)} not in ('N4','CLEAN') as bad from {raw(f)})"
     for f, s in SPECS.items()
@@ -531,19 +558,33 @@ TWINS["a22_mcc_concentration"] = with_(
 
 def _bugs(f: str) -> str:
     s = SPECS[f]
-    t = s.roles[s.metric]
+
+    def metric(accounting: bool) -> str:
+        return f"cast({num(s.metric, s.roles[s.metric], accounting)} as decimal(18,2))"
+
+    def second(accounting: bool) -> str:
+        if s.secondary in s.roles:
+            return f"cast({num(s.secondary, s.roles[s.secondary], accounting)} as decimal(18,2))"
+        rate = f"case when promo_code is not null then cast({num('discount_pct', 'double', accounting)} / 100 as decimal(10,4)) else 0 end"
+        return f"cast(round({num(s.metric, s.roles[s.metric], accounting)} * (1 - {rate}), 2) as decimal(18,2))"
+
     ok = f"{cls(f)} in ('N4','CLEAN')"
     nok = f"{cls(f, False)} in ('N4','CLEAN')"
+
+    def part(name: str, condition: str, v: str, w: str) -> str:
+        return (
+            f"{big(f'count_if({condition})')} as {name}_rows, cast(coalesce(sum(case when {condition} then {v} end),0) as {M}) as {name}_sum, "
+            f"cast(coalesce(sum(case when {condition} then {w} end),0) as {M}) as {name}_secondary_sum"
+        )
+
     return (
-        f"select '{f}' as feed, {big('count_if(ok)')} as baseline_rows, cast(coalesce(sum(case when ok then v end),0) as {M}) as baseline_sum, "
-        f"{big('count_if(ok and not benign)')} as dropna_rows, cast(coalesce(sum(case when ok and not benign then v end),0) as {M}) as dropna_sum, "
-        f"{big('count_if(nok)')} as no_parentheses_rows, cast(coalesce(sum(case when nok then nv end),0) as {M}) as no_parentheses_sum from "
-        f"(select distinct {key(s.key)} as k, {num(s.metric, t)} as v, {num(s.metric, t, False)} as nv, {ok} as ok, {nok} as nok, "
+        f"select '{f}' as feed, {part('baseline', 'ok', 'v', 'w')}, {part('dropna', 'ok and not benign', 'v', 'w')}, {part('no_parentheses', 'nok', 'nv', 'nw')} from "
+        f"(select distinct {key(s.key)} as k, {metric(True)} as v, {metric(False)} as nv, {second(True)} as w, {second(False)} as nw, {ok} as ok, {nok} as nok, "
         f"{s.optional[0]} is null or {s.optional[1]} is null as benign from {raw(f)} where {ok} or {nok})"
     )
 
 
-TWINS["a23_bug_signatures"] = union([_bugs(f) for f in (PAY, CUS, DIS)])
+TWINS["a23_bug_signatures"] = union([_bugs(f) for f in SPECS])
 _SSN, _MAIL = "[0-9]{3}-[0-9]{2}-[0-9]{4}", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 
 
@@ -558,12 +599,23 @@ def _pii(name: str, rel: str, texts: list[str], clear: str, missing: str, digest
 
 
 _h = _HEX.format
-TWINS["a24_pii_audit"] = with_("cus tx", union([
-    _pii("customers_crm_bronze", raw(CUS), list(SPECS[CUS].columns), "email,ssn", "_source_file", "-1"),
-    _pii("customers_crm_silver", "cus", ["customer_id", "full_name", "phone", "loyalty_tier", "masked_ssn", "masked_email"], "", "",
-         big(f"count_if({_h('masked_ssn')} and {_h('masked_email')})")),
-    _pii("payment_transactions_silver", "tx", ["transaction_id", "customer_id", "merchant_id", "device_id", "promo_code", "device_ip", "tx_status", "masked_ssn"],
-         "", "", big(f"count_if({_h('masked_ssn')})")),
+_REL = {CUS: "cus", MER: "mer", DEV: "dev", PAY: "stx", DIS: "dis"}
+
+
+def _texts(f: str) -> list[str]:
+    s = SPECS[f]
+    return [c for c in typed_cols(f) if c not in s.roles and c not in s.codes and c != s.ts]
+
+
+def _digests(f: str) -> str:
+    found = [f"masked_{c}" for c in SPECS[f].pii]
+    return big("count_if(" + " and ".join(f"coalesce({_h(c)}, false)" for c in found) + ")") if found else "-1"
+
+
+TWINS["a24_pii_audit"] = with_("gold", union([
+    *(_pii(f"{f}_bronze", raw(f), list(s.columns), ",".join(sorted(s.pii)), "", "-1") for f, s in SPECS.items()),
+    *(_pii(f"{f}_silver", _REL[f], _texts(f), "", "", _digests(f)) for f in SPECS),
+    _pii("gold_fraud_features", "gold", ["customer_id", "loyalty_tier"], "", "", "-1"),
 ]))
 _OPS = (
     "VeloxHashAggregate", "ProjectExecTransformer", "FilterExecTransformer", "BroadcastHashJoinExecTransformer",
@@ -584,10 +636,13 @@ TWINS["a27_qualify"] = (
     f"sql_executions, python_plans, unsupported_plans, jobs, rdd_jobs from {_QUAL}"
 )
 _ROI = (
-    f"(select {dl.JOB_STAGE} as class, (event_id % 40 + 1) / 4.0::double * 2.5::double as b, "
-    "(event_id % 40 + 1) / 4.0::double * 2.5::double * case event_id % 4 when 1 then 1.2::double / 2.0 when 2 then 1.2::double / 1.5 else 1.0::double end as p from events)"
+    f"(select {dl.JOB_STAGE} as class, cast((event_id % 40 + 1) * 0.25 * 2.5 as decimal(26,8)) as b, "
+    "cast((event_id % 40 + 1) * 0.25 * 2.5 * case event_id % 4 when 1 then 0.6 when 2 then 0.8 else 1.0 end as decimal(26,8)) as p from events)"
+)
+_ROICOLS = (
+    "count(*) as apps, cast(round(sum(b), 2) as decimal(38,2)) as baseline_cost, cast(round(sum(p), 2) as decimal(38,2)) as projected_cost, "
+    "cast(round(sum(b) - sum(p), 2) as decimal(38,2)) as saving, round((sum(b) - sum(p))::double / sum(p)::double, 4) as roi"
 )
-_ROICOLS = "count(*) as apps, round(sum(b), 2) as baseline_cost, round(sum(p), 2) as projected_cost, round(sum(b) - sum(p), 2) as saving, round((sum(b) - sum(p)) / sum(p), 4) as roi"
 TWINS["a28_fleet_roi"] = union([f"select class, {_ROICOLS} from {_ROI} group by 1", f"select 'TOTAL' as class, {_ROICOLS} from {_ROI}"])
 
 
@@ -684,9 +739,9 @@ TWINS["q2_promotion_gate"] = with_(
     "select 'row lost' as build, count(distinct payment_method) as methods, cast(case when count_if(payment_method = 1 and customer_id = 'CUST-0000001') > 0 then 1 else 0 end as bigint) as failing_methods, "
     "count_if(payment_method = 1 and customer_id = 'CUST-0000001') = 0 as promote from gold",
 )
-_REL = {CUS: "cus", MER: "mer", DEV: "dev", PAY: "stx", DIS: "dis"}
 TWINS["q3_layer_progression"] = with_("gold", union(
     [f"select '{f}' as table_name, 'raw' as layer, count(*) as row_count, cast({len(s.columns)} as bigint) as column_count from {raw(f)}" for f, s in SPECS.items()]
+    + [f"select '{f}' as table_name, 'bronze' as layer, count(*) as row_count, cast({len(s.columns) + (4 if s.dated else 3)} as bigint) as column_count from {raw(f)}" for f, s in SPECS.items()]
     + [f"select '{f}' as table_name, 'silver' as layer, count(*) as row_count, cast({len(s.columns) + (3 if f == PAY else 0)} as bigint) as column_count from {_REL[f]}" for f, s in SPECS.items()]
     + ["select 'gold_fraud_features' as table_name, 'gold' as layer, count(*) as row_count, cast(13 as bigint) as column_count from gold"]
 ))

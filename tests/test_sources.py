@@ -60,8 +60,9 @@ def test_ingest_keeps_every_row(spark, tmp_path):
 def test_incremental_landing_reads_each_file_once(spark, tmp_path):
     src, target, ck = (str(tmp_path / n) for n in ("src", "bronze", "ck"))
     raw = raw_feed(spark, SF, "device_auth_logs")
-    feeds.land_feed(raw.limit(100), src + "/one", "device_auth_logs")
-    assert land_new_files(spark, src, "device_auth_logs", target, ck).count() == 100
+    feeds.land_feed(raw.limit(100), src + "/one", "device_auth_logs", F.lit("2024-02-01").cast("date"))
+    first = land_new_files(spark, src, "device_auth_logs", target, ck)
+    assert first.count() == 100 and first.where("folder_date <> date'2024-02-01' or folder_date is null").isEmpty()
     feeds.land_feed(raw.limit(30), src + "/two", "device_auth_logs")
     assert land_new_files(spark, src, "device_auth_logs", target, ck).count() == 130
     assert land_new_files(spark, src, "device_auth_logs", target, ck).count() == 130

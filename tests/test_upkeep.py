@@ -175,3 +175,21 @@ def test_nothing_of_an_erased_customer_stays(spark):
         assert everything and spark.read.parquet(*everything).where(F.col("customer_id") == key).isEmpty()
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_an_unlisted_table_is_audited(spark, database):
+    from ledgerlake.operators.profile import tier_audit
+    from ledgerlake.plans.specs import SPECS
+
+    db = f"{database}_silver_t"
+    spark.sql(f"CREATE DATABASE {db}")
+    try:
+        spark.range(3).selectExpr("id", "'123-45-6789' as note").write.saveAsTable(f"{db}.somebodys_copy")
+        spark.createDataFrame([("C1", "a@b.org")], "customer_id string, email string").write.saveAsTable(f"{db}.customers_crm_silver")
+        found = {r.table_name: r for r in tier_audit(feeds.layer_tables(spark, database, "t"), SPECS).collect()}
+        assert (found["somebodys_copy"].ssn_rows, found["somebodys_copy"].row_count) == (3, 3)
+        bad = found["customers_crm_silver"]
+        assert (bad.clear_columns, bad.missing_columns, bad.email_rows) == ("email", "masked_email,masked_ssn", 1)
+    finally:
+        feeds.drop_layers(spark, database, "t")
+    assert not spark.catalog.databaseExists(db) and feeds.layer_tables(spark, database, "t") == {}
