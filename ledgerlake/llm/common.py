@@ -35,9 +35,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return stage(df, name)
 
 
-def with_row_key(docs: DataFrame) -> DataFrame:
-    """``docs`` written once with ``row_key``, a number of each row's own, whatever its id."""
-    return staged(docs.withColumn("row_key", F.monotonically_increasing_id()), "keyed")
+def keyed_rows(docs: DataFrame) -> DataFrame:
+    """``row_key, row``: ``docs`` written once, each row as one struct with a number of its own, so that no column can clash."""
+    return staged(docs.select(F.monotonically_increasing_id().alias("row_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")), "keyed")
+
+
+def unkeyed(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in columns])
 
 
 def hex_bucket(digest: Column, buckets: Column) -> Column:

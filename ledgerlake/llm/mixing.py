@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import ROWS_PER_PART, hex_bucket, staged, with_row_key, word_count
+from ledgerlake.llm.common import ROWS_PER_PART, hex_bucket, keyed_rows, staged, unkeyed, word_count
 
 MOST_EPOCHS = 3
 WEIGHTS = (1, 2, 3)
@@ -89,8 +89,9 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     """The mix itself: rows of ``docs`` as often as taken. The one document of a source in which its budget
     ends comes whole if at least half of it is inside, else not at all. Rows with a null or repeated id are rows
     of their own; of those with the same id and size, the order is that of their content's hash."""
-    rows = with_row_key(docs)
-    taken = mix_sources(rows.withColumn("row_hash", F.xxhash64(*docs.columns)), weights=weights, most=most, carry=("row_hash", "row_key")).select(
-        "row_key", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("times")
+    rows = keyed_rows(docs)
+    given = rows.select("row.doc_id", "row.source", "row.text", "row_key", F.xxhash64("row").alias("row_hash"))
+    taken = mix_sources(given, weights=weights, most=most, carry=("row_hash", "row_key")).select(
+        "row_key", F.floor(F.try_divide("taken", "size") + 0.5).cast("int").alias("times")
     ).filter("times > 0")
-    return rows.join(taken, "row_key").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*docs.columns)
+    return unkeyed(rows.join(taken, "row_key").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))), docs.columns)

@@ -30,9 +30,18 @@ KINDS = ("email", "secret", "ip", "iban", "date", "ssn", "phone", "card")
 
 _EMAIL = r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
 _ACCESS_KEY = r"(?<![A-Za-z0-9])A[KS]IA[0-9A-Z]{16}(?![A-Za-z0-9])"
-_LABEL = r"(?i:passw(?:or)?d|pwd|secret|token|api[_-]?key)\s{0,3}[:=]\s{0,3}[\"']?"
-#: Six symbols or more, dots inside included, up to the end of the run; an address is left to its own kind.
-_SECRET = _LABEL + f"(?!{_EMAIL})" + r"(?=[A-Za-z0-9+/_-](?:\.?[A-Za-z0-9+/_-]){5})[A-Za-z0-9+/_-]++(?:\.[A-Za-z0-9+/_-]++)*+"
+_SURE_LABEL = r"(?i:passw(?:or)?d|passwort|kennwort|pwd|mot de passe|contraseña|contrasena)"
+_LABEL = r"(?i:passw(?:or)?d|passwort|kennwort|pwd|mot de passe|contraseña|contrasena|clave|secret|token|api[_-]?key)\s{0,3}[:=]\s{0,3}"
+_END = r"[.,;:!?)\]}>\"']*+(?=\s|$)"  # what may stand between a secret and the blank behind it
+#: In quotes, all up to the closing one.
+_QUOTED_SECRET = _LABEL + r"(?:\"[^\"\n]{4,}+\"|'[^'\n]{4,}+')"
+#: Else the whole run up to white space, six symbols or more, without the punctuation at its end; an address is left to its own kind. Behind a colon and a blank, which
+#: prose has as well, other labels than a password's need a symbol that is no letter, or a capital inside.
+_OPEN_SECRET = (
+    _LABEL + f"(?!{_EMAIL})" + rf"(?:(?<={_SURE_LABEL}\s{{0,3}}[:=]\s{{0,3}})|(?<=[=]\s{{0,3}})|(?<=:)|(?=[A-Za-z]*+[^A-Za-z\s.,;:!?)\]}}>\"'])|(?=[A-Za-z]*?[a-z][A-Z]))"
+    + rf"(?!{_END})[\"']?(?=\S{{6}})(?:(?!{_END})\S)++"
+)
+_SECRET = f"{_QUOTED_SECRET}|{_OPEN_SECRET}"
 _IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])"
 #: Countries by the length of their account numbers.
 _IBAN_LENGTHS = {
@@ -42,16 +51,20 @@ _IBAN_LENGTHS = {
 }
 
 
-def _iban_of(length: int, countries: str) -> str:
+def _iban_of(length: int, countries: str, symbol: str) -> str:
     groups, rest = divmod(length - 4, 4)
-    return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}" + (f" ?[A-Z0-9]{{{rest}}}" if rest else "")
+    return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[{symbol}]{{4}}){{{groups}}}" + (f" ?[{symbol}]{{{rest}}}" if rest else "")
 
 
-#: A country's own length, so that no word behind is taken in; any length otherwise.
-_IBAN = (
-    r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})(?:" + "|".join(_iban_of(n, c) for n, c in _IBAN_LENGTHS.items())
-    + r"|[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
-)
+def _iban_pattern(lower: bool) -> str:
+    """A country's own length, so that no word behind is taken in; any length otherwise. All letters are of one case."""
+    symbol, letter = ("a-z0-9", "a-z") if lower else ("A-Z0-9", "A-Z")
+    known = "|".join(_iban_of(n, c.lower() if lower else c, symbol) for n, c in _IBAN_LENGTHS.items())
+    any_length = f"[{letter}]{{2}}[0-9]{{2}}(?: ?[{symbol}]{{4}}){{2,7}}(?: ?[{symbol}]{{1,3}})?"
+    return rf"(?<![A-Za-z0-9])(?=[{letter}]{{2}}[0-9]{{2}})(?:{known}|{any_length})(?![A-Za-z0-9])"
+
+
+_IBAN = f"{_iban_pattern(False)}|{_iban_pattern(True)}"
 _DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9/-])"
 _SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 _PHONE = (
@@ -62,7 +75,7 @@ _CARD = r"(?<![0-9.])(?:[0-9]{13,19}|(?:[0-9]{4}[ -]){3}[0-9]{4}|[0-9]{4}[ -][0-
 _BY_KIND = {"email": _EMAIL, "secret": f"{_ACCESS_KEY}|{_SECRET}", "ip": _IP, "iban": _IBAN, "date": _DATE, "ssn": _SSN, "phone": _PHONE, "card": _CARD}
 #: In an order in which a longer reading comes first.
 _ANY = "|".join((_EMAIL, _ACCESS_KEY, _SECRET, _IP, _IBAN, _DATE, _SSN, _CARD, _PHONE))
-_HINT = r"[0-9@]|(?i:passw|pwd|secret|token|api)"
+_HINT = r"[0-9@]|(?i:passw|pwd|secret|token|api|kennwort|mot de passe|contrase|clave)"
 _DAYS = (319, 229)  # 319 * 229 days from 1900-01-01 to 2099-12-31
 
 
@@ -112,13 +125,13 @@ def _by_class(s: Column, key: str, kind: str) -> Column:
     symbols = F.transform(_chars(s), lambda c: F.struct(
         F.when(c.rlike("[0-9]"), 48).when(c.rlike("[a-z]"), 97).when(c.rlike("[A-Z]"), 65).otherwise(F.ascii(c)).alias("base"),
         F.when(c.rlike("[0-9]"), 10).when(c.rlike("[A-Za-z]"), 26).otherwise(1).alias("radix"),
-        F.ascii(c).alias("code"),
+        F.ascii(c).alias("code"), c.alias("symbol"),
     ))
 
     def build(x: Column) -> Column:
         values = F.transform(x, lambda y: y["code"] - y["base"])
         new = permute(values, F.transform(x, lambda y: y["radix"]), key, kind)
-        return F.array_join(F.zip_with(new, x, lambda v, y: F.char(v + y["base"])), "")
+        return F.array_join(F.zip_with(new, x, lambda v, y: F.when(y["radix"] == 1, y["symbol"]).otherwise(F.char(v + y["base"]))), "")
 
     return _let(symbols, build)
 
@@ -228,8 +241,8 @@ def _date(m: Column, key: str) -> Column:
 
 
 def _mod97(s: Column) -> Column:
-    """An account number's text, modulo 97; letters count as 10 to 35."""
-    return F.aggregate(_chars(s), F.lit(0), lambda a, c: F.when(c.rlike("[0-9]"), (a * 10 + F.ascii(c) - 48) % 97).otherwise((a * 100 + F.ascii(c) - 55) % 97))
+    """An account number's text, modulo 97; letters of either case count as 10 to 35."""
+    return F.aggregate(_chars(F.upper(s)), F.lit(0), lambda a, c: F.when(c.rlike("[0-9]"), (a * 10 + F.ascii(c) - 48) % 97).otherwise((a * 100 + F.ascii(c) - 55) % 97))
 
 
 def _iban_valid(m: Column) -> Column:
@@ -238,7 +251,7 @@ def _iban_valid(m: Column) -> Column:
 
 def _iban(m: Column, key: str) -> Column:
     def build(s: Column) -> Column:
-        country = F.substr(s, F.lit(1), F.lit(2))
+        country = F.upper(F.substr(s, F.lit(1), F.lit(2)))
         account = _by_class(F.upper(F.substr(s, F.lit(5), F.length(s))), key, "iban")
         return _let(account, lambda a: F.concat(country, F.lpad((98 - _mod97(F.concat(a, country, F.lit("00")))).cast("string"), 2, "0"), a))
 
@@ -247,7 +260,7 @@ def _iban(m: Column, key: str) -> Column:
             F.substr(new, F.length(F.replace(F.substr(m, F.lit(1), i + 1), F.lit(" "), F.lit(""))), F.lit(1))
         )), "")
 
-    return _let(_let(F.replace(m, F.lit(" "), F.lit("")), build), put)
+    return _let(_let(_let(F.replace(m, F.lit(" "), F.lit("")), build), lambda new: F.when(m.rlike("[a-z]"), F.lower(new)).otherwise(new)), put)
 
 
 def kind_of(m: Column) -> Column:
@@ -274,7 +287,7 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
     ))
     return (
         F.when(kind == "email", email)
-        .when(kind == "secret", _after(f"A[KS]IA(?=[0-9A-Z]{{16}}$)|{_LABEL}", m, lambda s: _by_class(s, key, "secret")))
+        .when(kind == "secret", _after(f"A[KS]IA(?=[0-9A-Z]{{16}}$)|{_LABEL}[\"']?", m, lambda s: _by_class(s, key, "secret")))
         .when(kind == "ip", _ip(m, key))
         .when(kind == "iban", _iban(m, key))
         .when(kind == "date", _date(m, key))
@@ -297,13 +310,16 @@ def _rewritten(text: Column, key: str) -> Column:
     return _let(found, build)
 
 
-def pseudonymise(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
-    """``docs`` with the personal data of ``column`` replaced, and ``pii_kinds``, the kinds found in their order.
+def pseudonymise(docs: DataFrame, key: str, column: str = "text", kinds: str | None = "pii_kinds") -> DataFrame:
+    """``docs`` with the personal data of ``column`` replaced, and in the column ``kinds``, if named, the kinds found in their order.
 
     Every value keeps its length. Null texts stay null and empty ones empty, with no kinds. Whole texts are
-    read; a text without a digit, ``@`` or secret's label is passed on as it is. Nothing is shuffled.
+    read; a text without a digit, ``@`` or secret's label is passed on as it is. Repeated rows give repeated rows, an empty table none. All other
+    columns stay as they are, whatever their names; a column that is called like ``kinds`` gives way to it. Nothing is shuffled.
     """
     text = F.col(column)
     none = F.array().cast("array<string>")
     new = F.when(text.rlike(_HINT), _rewritten(text, key)).otherwise(F.struct(text.alias("text"), none.alias("kinds")))
-    return docs.withColumn("pii_new", new).withColumn(column, F.col("pii_new.text")).withColumn("pii_kinds", F.col("pii_new.kinds")).drop("pii_new")
+    carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), new.alias("new"))
+    kept = [F.col("new.text").alias(c) if c == column else F.col("row").getField(c).alias(c) for c in docs.columns if c != kinds]
+    return carried.select(*kept, *([F.col("new.kinds").alias(kinds)] if kinds else []))

@@ -171,7 +171,9 @@ def without_toxic(docs: DataFrame, model: Weights, threshold: float = THRESHOLD)
             for part in slices(batch, most=SLICE):
                 yield part.filter(pa.array(_probability(part, dense, model.bias) < threshold))
 
-    return on_workers(docs, kept, docs.schema)
+    # a dot in a column's name would be taken for a field of a struct on the way to the workers
+    plain = docs.toDF(*[f"column_{k}_" if set(c) & set(".`") else c for k, c in enumerate(docs.columns)])
+    return on_workers(plain, kept, plain.schema).toDF(*docs.columns)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float = THRESHOLD) -> DataFrame:
