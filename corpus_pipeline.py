@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.bpe import read_ranks, token_digests
-from ledgerlake.llm.common import remainder, staged, table, with_row_key
+from ledgerlake.llm.common import keyed_rows, remainder, staged, table, unkeyed
 from ledgerlake.llm.mixing import mixed_documents
 from ledgerlake.llm.neardup import near_duplicates
 from ledgerlake.llm.pii import pseudonymise
@@ -32,14 +32,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Every row goes or stays by its own text; rows that repeat an id and its text stay together.
     """
-    rows = with_row_key(docs)
-    gone = near_duplicates(rows, carry=("row_key",)).filter("not kept").select("row_key")
-    return rows.join(gone, "row_key", "left_anti").select(*docs.columns)
+    rows = keyed_rows(docs)
+    gone = near_duplicates(rows.select("row.doc_id", "row.text", "row_key"), carry=("row_key",)).filter("not kept").select("row_key")
+    return unkeyed(rows.join(gone, "row_key", "left_anti"), docs.columns)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data become pseudonyms of the same length; every document stays."""
-    return pseudonymise(docs, PSEUDONYM_KEY).select(*docs.columns)
+    """Personal data become pseudonyms of the same length; every document stays, null and empty texts and repeated rows included.
+
+    The key is the session's ``ledgerlake.pii.key``; without it that of the registered query, whose results anybody can undo.
+    """
+    return pseudonymise(docs, spark.conf.get("ledgerlake.pii.key", PSEUDONYM_KEY), kinds=None)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
