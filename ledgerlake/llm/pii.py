@@ -33,8 +33,8 @@ _ACCESS_KEY = r"(?<![A-Za-z0-9])A[KS]IA[0-9A-Z]{16}(?![A-Za-z0-9])"
 _SURE_LABEL = r"(?i:passw(?:or)?d|passwort|kennwort|pwd|mot de passe|contraseña|contrasena)"
 _LABEL = r"(?i:passw(?:or)?d|passwort|kennwort|pwd|mot de passe|contraseña|contrasena|clave|secret|token|api[_-]?key)\s{0,3}[:=]\s{0,3}"
 _END = r"[.,;:!?)\]}>\"']*+(?=\s|$)"  # what may stand between a secret and the blank behind it
-#: In quotes, all up to the closing one.
-_QUOTED_SECRET = _LABEL + r"(?:\"[^\"\n]{4,}+\"|'[^'\n]{4,}+')"
+#: In quotes, all up to the closing one; a quote with another label behind it is none that was closed.
+_QUOTED_SECRET = _LABEL + rf"(?:\"(?:(?!{_LABEL})[^\"\n]){{4,}}+\"|'(?:(?!{_LABEL})[^'\n]){{4,}}+')"
 #: Else the whole run up to white space, six symbols or more, without the punctuation at its end; an address is left to its own kind. Behind a colon and a blank, which
 #: prose has as well, other labels than a password's need a symbol that is no letter, or a capital inside.
 _OPEN_SECRET = (
