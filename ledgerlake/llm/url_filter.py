@@ -98,15 +98,13 @@ def host_words(hosts: DataFrame, counts: DataFrame) -> DataFrame:
     """``host`` -> ``host, words``: the words of all its runs of letters."""
     total = max(1, counts.agg(F.sum("n")).first()[0] or 0)
     runs_of = hosts.select("host", F.posexplode_outer(F.regexp_extract_all("host", F.lit("[a-z]+"), F.lit(0))).alias("place", "run"))
-    runs = runs_of.select("run").filter("run is not null").distinct()
-    n = F.length("run")
-    pieces = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(LONGEST), n - i + 1)), lambda k: F.substring("run", i, k)
-    )))
-    met = runs.select("run", F.explode(F.array_distinct(pieces)).alias("word")).join(counts, "word", "left")
+    runs = staged(runs_of.select("run").filter("run is not null").distinct().withColumn("id", F.monotonically_increasing_id()), "runs")
+    # all pieces of each length by one pass over the run; a run can be very long, so a number stands for it
+    sized = runs.select("id", "run", F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length("run")))).alias("k"))
+    pieces = sized.select("id", F.explode(F.expr("regexp_extract_all(run, concat('(?=([a-z]{', k, '}))'), 1)")).alias("word"))
     # bounded by the substrings of one run
-    known = met.groupBy("run").agg(F.collect_list(F.when(F.col("n").isNotNull(), F.struct("word", "n"))).alias("known"))
-    split = on_workers(known.select("run", "known"), _segmented(total), "run string, words array<string>")
+    known = pieces.join(counts, "word").groupBy("id").agg(F.collect_set(F.struct("word", "n")).alias("known"))
+    split = on_workers(runs.join(known, "id", "left").select("run", "known"), _segmented(total), "run string, words array<string>")
     return runs_of.join(split, "run", "left").groupBy("host").agg(
         F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("place", "words"))), lambda x: F.coalesce(x["words"], F.array().cast("array<string>")))).alias("words")
     )
