@@ -74,10 +74,14 @@ def join_dim(
 
 
 def left_preagg(fact: DataFrame, child: DataFrame, key: str, aggs: Mapping[str, Column]) -> DataFrame:
-    """Left join to a 1:N child that is first reduced to one row per key; misses become 0."""
-    reduced = child.groupBy(key).agg(*[e.alias(n) for n, e in aggs.items()])
+    """Left join to a 1:N child that is first reduced to one row per key; misses become 0.
+
+    Facts without a key match nothing; they get a join key of their own, so they do not meet in one task.
+    """
+    reduced = child.where(F.col(key).isNotNull()).groupBy(key).agg(*[e.alias(n) for n, e in aggs.items()])
     types = dict(reduced.dtypes)
-    joined = fact.join(reduced, key, "left")
+    alone = F.when(F.col(key).isNull(), F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])).otherwise(F.lit(0).cast("bigint"))
+    joined = fact.withColumn("_alone", alone).join(reduced.withColumn("_alone", F.lit(0).cast("bigint")), [key, "_alone"], "left").drop("_alone")
     return joined.withColumns({n: F.coalesce(F.col(n), F.lit(0).cast(types[n])) for n in aggs})
 
 

@@ -178,6 +178,23 @@ def test_join_dim_spreads_hot_and_missing_keys(spark):
     assert wrong.isEmpty()
 
 
+def test_facts_without_a_key_do_not_meet(spark):
+    fact = spark.range(4_000).selectExpr("id", "case when id % 3 = 0 then null else cast(id % 50 as string) end as k")
+    child = spark.range(200).selectExpr("cast(id % 60 as string) as k", "id as v").unionByName(spark.createDataFrame([(None, 5)], "k string, v long"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = joins.left_preagg(fact, child, "k", {"n": F.count(F.lit(1)), "v": F.sum("v")})
+        per_task = [r["count"] for r in out.where("k is null").groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(per_task) == 1_334 and max(per_task) < 400
+        want = {str(k): (len(range(k, 200, 60)), sum(range(k, 200, 60))) for k in range(50)}
+        assert all((r.n, r.v) == (want[r.k] if r.k else (0, 0)) for r in out.collect()) and out.columns == ["k", "id", "n", "v"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_join_dim_asks_for_the_size(spark):
     assert 0 < joins.plan_bytes(spark.read.parquet(f"{SF}/nation.parquet")) < 10**6
     wide = spark.range(10**9).withColumn("x", F.lit("y" * 50))
