@@ -73,7 +73,7 @@ def land_feed(df: DataFrame, path: str, feed: str, day: Column | None = None) ->
     """Write a raw feed in its landing format, in dated folders when ``day`` is given.
 
     Rows of a day are brought together first, so a task does not write a file for every day; the
-    rebalance lets a very large day use several tasks.
+    rebalance lets a very large day use several tasks. Their files are bounded by it and are compressed, as JSON repeats every column's name in every row.
     """
     spec = SPECS[feed]
     out = df.select(*spec.columns)
@@ -84,7 +84,7 @@ def land_feed(df: DataFrame, path: str, feed: str, day: Column | None = None) ->
         writer = writer.options(header="true", quote='"', escape='"', quoteAll="true", nullValue="", emptyValue='""')
         writer = writer.options(ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
     if day is not None:
-        writer = writer.partitionBy("day")
+        writer = writer.partitionBy("day").option("compression", "gzip")
     writer.save(path)
 
 
