@@ -8,6 +8,8 @@ import pytest
 from conftest import SF
 from pyspark.sql import functions as F
 
+from ledgerlake.functions import cleanse as c
+from ledgerlake.operators.dedup import dedup_latest
 from ledgerlake.plans import silver as sv
 from ledgerlake.plans.registry import QUERIES
 from ledgerlake.plans.specs import SPECS
@@ -60,3 +62,59 @@ def test_dated_landing_is_compressed_and_whole(spark, tmp_path):
     assert names and all(f.endswith(".json.gz") for f in names)
     back = feeds.scan_dated(spark, root, "chargeback_disputes").select(*raw.columns)
     assert sorted(map(repr, back.collect())) == sorted(map(repr, raw.collect()))
+
+
+def test_spread_bounds_the_rows_of_a_split(spark, tmp_path):
+    path, cores = str(tmp_path / "events"), spark.sparkContext.defaultParallelism
+    os.makedirs(path)
+    n, width = 1000 * 2 * cores, 40
+    for i in range(2 * cores):
+        rows = range(i * 1000, (i + 1) * 1000)
+        pq.write_table(pa.table({"event_id": list(rows), "text": [str(r) * width for r in rows]}), f"{path}/{i}.parquet", compression="none", use_dictionary=False)
+    df = spark.read.parquet(path)
+    assert derived.filled_splits(df) >= cores
+    kept, cut = derived.spread(df, ["event_id"], least=1, rows=n), derived.spread(df, ["event_id"], least=1, rows=200)
+    assert kept.rdd.getNumPartitions() == df.rdd.getNumPartitions()
+    assert cut.rdd.getNumPartitions() == n // 200 and cut.count() == n and cut.distinct().count() == n
+
+
+def test_dedup_sorts_by_a_hash_of_the_key(spark, plan_of):
+    # a sort compares eight bytes of its first column before whole rows, and those of TX-000000001 and its like are equal
+    df = spark.createDataFrame([("TX-000000001", 1), ("TX-000000001", 2), (None, 3), (None, 4), ("TX-000000002", None)], "k string, t int")
+    out = dedup_latest(df, ["k"], ["t"])
+    sorts = [line for line in plan_of(out, "simple").splitlines() if "Sort [" in line]
+    assert len(sorts) == 2 and all("Sort [_w" in line for line in sorts)
+    assert {tuple(r) for r in out.collect()} == {("TX-000000001", 2), (None, 4), ("TX-000000002", None)}
+
+
+def test_status_priority_as_before(spark):
+    rows = [("a", "PENDING"), ("a", "SETTLED*"), ("b", "AUTHORIZED"), ("b", None), ("c", "odd"), ("c", "PENDING!"), ("d", None)]
+    out = dedup_latest(spark.createDataFrame(rows, "k string, s string"), ["k"], (), (c.norm_category("s"), sv.STATUS_PRIORITY))
+    assert {tuple(r) for r in out.collect()} == {("a", "SETTLED*"), ("b", "AUTHORIZED"), ("c", "PENDING!"), ("d", None)}
+
+
+NUMBERS = [
+    "12", "12.5", "$12.50", "-5", "$-5", "-$5", "+5", "12.", ".5", "12.5%", "12 %", "5ms", "5 ms", "5 MS", "$5 USD", "USD 5", "(5)", "5)", "$1,234.50 USD", "12,5", "1e5",
+    "5 ", "-15 deg", "5\n", "5.678", "9" * 20, "--5", "$$5", "5 pts*", "1.2.3", "$ 5", "5USDUSD", "", "$", None,
+]
+
+
+def test_short_pattern_agrees_with_the_full_one(spark):
+    df = spark.createDataFrame([(v,) for v in NUMBERS], "v string")
+    for t in (c.CURRENCY, c.COUNT, c.MEASURE):
+        full = F.translate(F.regexp_replace("v", c._NUMBER, "$1$3$4$6$2$5"), "(,", "-").try_cast(t)
+        assert df.where(~c.parse_number("v", t).eqNullSafe(full)).collect() == []
+    short = {r.v for r in df.where(F.col("v").rlike(c._PLAIN)).collect()}
+    assert {"12", "$12.50", "$5 USD", "-15 deg", "12.5%", "5ms"} <= short  # most values of the feeds do not need the full one
+
+
+def test_text_without_outer_spaces_is_not_trimmed(spark):
+    texts = ["a", "TX-1", " tx-1 ", "\u3000a\u00a0", "a b", "\u00e9t\u00e9", "x\n", "\n", "", " ", "\u0085a", None]
+    df = spark.createDataFrame([(v,) for v in texts], "v string")
+    assert df.where(~c.trim_text("v").eqNullSafe(F.btrim("v", F.lit(c.SPACES)))).collect() == []
+    assert {r.v for r in df.where(F.col("v").rlike(c._TRIMMED)).collect()} == {"a", "TX-1", "a b"}
+
+
+def test_price_is_written_once_per_line(spark, plan_of):
+    optimised = plan_of(raw_feed(spark, SF, "chargeback_disputes"), "extended").split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert optimised.count("cast(l_extendedprice") == 1
