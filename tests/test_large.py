@@ -81,10 +81,11 @@ def test_spread_bounds_the_rows_of_a_split(spark, tmp_path):
 def test_dedup_sorts_by_a_hash_of_the_key(spark, plan_of):
     # a sort compares eight bytes of its first column before whole rows, and those of TX-000000001 and its like are equal
     df = spark.createDataFrame([("TX-000000001", 1), ("TX-000000001", 2), (None, 3), (None, 4), ("TX-000000002", None)], "k string, t int")
-    out = dedup_latest(df, ["k"], ["t"])
+    out = dedup_latest(df, ["k"], ["t"], by_hash=True)
     sorts = [line for line in plan_of(out, "simple").splitlines() if "Sort [" in line]
     assert len(sorts) == 2 and all("Sort [_w" in line for line in sorts)
     assert {tuple(r) for r in out.collect()} == {("TX-000000001", 2), (None, 4), ("TX-000000002", None)}
+    assert {tuple(r) for r in dedup_latest(df, ["k"], ["t"]).collect()} == {tuple(r) for r in out.collect()}
 
 
 def test_status_priority_as_before(spark):
