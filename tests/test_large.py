@@ -9,6 +9,7 @@ from conftest import SF
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import cleanse as c
+from ledgerlake.operators import hygiene
 from ledgerlake.operators.dedup import dedup_latest
 from ledgerlake.plans import silver as sv
 from ledgerlake.plans.registry import QUERIES
@@ -119,3 +120,39 @@ def test_text_without_outer_spaces_is_not_trimmed(spark):
 def test_price_is_written_once_per_line(spark, plan_of):
     optimised = plan_of(raw_feed(spark, SF, "chargeback_disputes"), "extended").split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
     assert optimised.count("cast(l_extendedprice") == 1
+
+
+@pytest.mark.parametrize("feed", list(SPECS))
+def test_values_are_worked_out_once_and_then_judged(spark, plan_of, feed):
+    # a filter behind a projection moves below it and repeats its expressions
+    spec, raw = SPECS[feed], raw_feed(spark, SF, feed)
+    out = hygiene.sound_keyed(raw, spec)
+    optimised = plan_of(out, "extended").split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert optimised.count("regexp_replace(") == 1 and optimised.count("try_cast(translate(") == 1  # the metric's
+    assert optimised.count("translate(_text") == (1 if spec.ts else 0)
+    before = sv.keyed(hygiene.drop_corrupt(raw, spec).select(*spec.columns), spec)
+    assert out.drop("_metric").exceptAll(before).isEmpty() and before.exceptAll(out.drop("_metric")).isEmpty()
+
+
+def test_sound_rows_with_odd_text(spark):
+    spec = SPECS["device_auth_logs"]
+    keys, times, numbers = ["k", " \u3000", "", None, "\u0085", "\u00a0a*"], ["2024-01-02 03:04:05", "\u00a001/02/2024 03:04 ", "1700000000", "x", None], ["5ms", "(5)", "0", "x", None]
+    rows = [(k, "d", "c", "e*", n, "1", None, None, t) for k in keys for t in times for n in numbers]
+    raw = spark.createDataFrame(rows, ", ".join(f"{k} string" for k in spec.columns))
+    out, before = hygiene.sound_keyed(raw, spec).drop("_metric"), sv.keyed(hygiene.drop_corrupt(raw, spec), spec)
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, before.collect()))
+    assert out.count() == 9  # three keys, three times and one number hold
+    broken = raw.withColumn(hygiene.CORRUPT, F.when(F.col("session_id") == "k", "{"))
+    assert {r.session_id for r in hygiene.sound_keyed(broken, spec).collect()} == {"\u0085", "A*"}
+
+
+def test_category_without_marks_needs_no_pattern(spark):
+    texts = ["a", "a*", "a *!", "*", "a\u0085", "a*\u0085", " a# ", "", None, "a\u2028", "*a"]
+    df = spark.createDataFrame([(v,) for v in texts], "v string")
+    full = F.regexp_replace(F.btrim("v", F.lit(c.SPACES)), r"(?<![*!#\s\p{Z}])[*!#\s\p{Z}]+$", "")
+    assert df.where(~c.norm_category("v").eqNullSafe(full)).collect() == []
+
+
+def test_equal_totals_are_rolled_up_once(spark, plan_of):
+    # both builds are compared with the same stored totals of Silver
+    assert "chargeback_disputes_silver" not in plan_of(QUERIES["q2_promotion_gate"](spark, SF))
