@@ -1,6 +1,7 @@
 """What keeps the feeds' work in proportion to their rows on large tables."""
 
 import os
+import threading
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -12,7 +13,7 @@ from ledgerlake.functions import cleanse as c
 from ledgerlake.operators import hygiene
 from ledgerlake.operators.dedup import dedup_latest
 from ledgerlake.plans import silver as sv
-from ledgerlake.plans.registry import QUERIES
+from ledgerlake.plans.registry import QUERIES, _land
 from ledgerlake.plans.specs import SPECS
 from ledgerlake.sources import derived, feeds
 from ledgerlake.sources.derived import raw_feed
@@ -156,3 +157,15 @@ def test_category_without_marks_needs_no_pattern(spark):
 def test_equal_totals_are_rolled_up_once(spark, plan_of):
     # both builds are compared with the same stored totals of Silver
     assert "chargeback_disputes_silver" not in plan_of(QUERIES["q2_promotion_gate"](spark, SF))
+
+
+def test_feeds_are_landed_at_the_same_time(spark, tmp_path, monkeypatch):
+    all_there, landed = threading.Barrier(len(SPECS), timeout=60), []
+
+    def land(df, path, feed, day=None):
+        all_there.wait()
+        landed.append((feed, path, day is not None))
+
+    monkeypatch.setattr(feeds, "land_feed", land)
+    _land(spark, SF, str(tmp_path))
+    assert sorted(landed) == sorted((n, f"{tmp_path}/{n}", s.dated) for n, s in SPECS.items())
