@@ -34,6 +34,19 @@ def test_generated_methods_are_compiled(spark, feed):
     assert sizes and max(sizes) < HUGE
 
 
+def test_keys_behind_the_null_contract_are_compiled(spark):
+    spec = SPECS["device_auth_logs"]
+    plan = sv.keyed(hygiene.drop_corrupt(raw_feed(spark, SF, spec.name), spec), spec)._jdf.queryExecution()
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenStringSeq(plan.executedPlan())
+        sizes = [parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sizes and max(sizes) < HUGE
+
+
 def test_spread_looks_at_rows_not_at_splits(spark, tmp_path):
     path = str(tmp_path / "events.parquet")
     n = 200_000
