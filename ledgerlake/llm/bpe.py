@@ -28,7 +28,7 @@ from ledgerlake.llm.words import slices
 BLOCK_ROWS = 2_000_000
 LONG_PIECE = 1_000
 REMEMBERED = 600_000
-SLICE = 4 << 20
+SLICE = 1 << 20  # bytes of text worked on at once; the lists of its pieces take many times that
 
 # A row's place is its piece's number times 1,024 plus its byte position, as pieces of a block are no longer.
 _ENCODE = """

@@ -7,6 +7,14 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import staged
 
+LINKS_PER_FILE = 100_000
+
+
+def _filled(links: DataFrame, most: int) -> DataFrame:
+    """``links``, of which there are at most ``most``, in as many partitions as they fill. Adaptive execution may be told to leave small
+    ones alone; each is a file then, and on a local file system a task starts two processes for every file."""
+    return links.coalesce(max(1, -(-most // LINKS_PER_FILE)))
+
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
@@ -33,8 +41,9 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("s")).first()
         if now == mark:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+            return _filled(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
                 edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-            )
+            ), 2 * now.n)
         mark = now
-        edges = staged(_star(_star(edges, True), False), "links")
+        # a large star makes no more links than it gets, a small star twice as many at most
+        edges = staged(_filled(_star(_star(edges, True), False), 2 * now.n), "links")

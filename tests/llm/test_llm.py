@@ -382,6 +382,30 @@ def test_components_of_a_long_chain(spark):
     assert got == {**{k: 0 for k in range(61)}, 100: 100, 101: 100}
 
 
+def test_components_write_filled_files(spark):
+    from pathlib import Path
+
+    from ledgerlake.llm.common import staged
+    from ledgerlake.llm.components import components
+    from ledgerlake.session import STAGES
+
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    before = len(STAGES)
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        links = spark.createDataFrame([(k, k - k % 10) for k in range(1000)], "a long, b long")
+        found = staged(components(links), "found")
+        assert {r.node: r.component for r in found.collect()} == {k: k - k % 10 for k in range(1000)}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    # the first table has the links as they come
+    files = [len(list(Path(p.removeprefix("file:")).glob("part-*"))) for p in STAGES[before + 1 :]]
+    assert len(files) > 1 and set(files) == {1}
+
+
 # 6 ------------------------------------------------------------------------------------------------
 def test_bpe_equals_library_and_round_trips(spark, docs):
     tiktoken = pytest.importorskip("tiktoken")
@@ -405,6 +429,20 @@ def test_bpe_equals_library_and_round_trips(spark, docs):
         assert r.ids_sha256 == hashlib.sha256(np.array(got[r.doc_id], dtype="<u4").tobytes()).hexdigest()
 
 
+def test_bpe_slices_are_small(docs):
+    """Lists of pieces take many times a slice's bytes, so a large batch must not be split as a whole."""
+    import pyarrow as pa
+
+    tokenizers = pytest.importorskip("public_tokenizers")
+    from ledgerlake.llm.bpe import _encoded, read_ranks
+
+    each = _encoded(docs, read_ranks(tokenizers.path("byte_bpe_50k.tiktoken")), tokenizers.PATTERN)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(30)), pa.array(["ab cd " * 20_000] * 30)], names=["doc_id", "text"])
+    sizes = [(len(ids), sum(len(text) for _, text in coded)) for ids, coded in each(iter([batch]))]
+    assert sum(n for n, _ in sizes) == 30 and sum(size for _, size in sizes) == 30 * 120_000
+    assert max(size for _, size in sizes) <= 1 << 20
+
+
 # 7 ------------------------------------------------------------------------------------------------
 def test_toxicity_on_held_out_rows(spark):
     from ledgerlake.llm.common import remainder
