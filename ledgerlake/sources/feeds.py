@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ledgerlake.functions.privacy import tag_columns
 from ledgerlake.operators.hygiene import CORRUPT
 from ledgerlake.plans.specs import SPECS, FeedSpec
-from ledgerlake.session import new_path, stage, work_root
+from ledgerlake.session import COMPACT, freed_shuffles, new_path, stage, work_root, write_compact
 from ledgerlake.sources.erasure import table_location
 from ledgerlake.sources.files import delete, listing, literal, scratch
 from ledgerlake.sources.ledger import LEDGER, SOURCE_FILE, FileLedger
@@ -64,8 +64,9 @@ def add_audit(df: DataFrame) -> DataFrame:
 
 def write_bronze(df: DataFrame, table: str, path: str | None = None, mode: str = "append") -> DataFrame:
     """Append every row to a Bronze table, or replace its rows with ``mode="overwrite"``, and return the table."""
-    writer = df.write.format("parquet").mode(mode)
-    (writer.option("path", path) if path else writer).saveAsTable(table)
+    writer = df.write.format("parquet").mode(mode).option("compression", COMPACT)
+    with freed_shuffles(df.sparkSession):
+        (writer.option("path", path) if path else writer).saveAsTable(table)
     return df.sparkSession.table(table)
 
 
@@ -85,7 +86,8 @@ def land_feed(df: DataFrame, path: str, feed: str, day: Column | None = None) ->
         writer = writer.options(ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
     if day is not None:
         writer = writer.partitionBy("day").option("compression", "gzip")
-    writer.save(path)
+    with freed_shuffles(df.sparkSession):
+        writer.save(path)
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
@@ -170,7 +172,7 @@ def replace_table(df: DataFrame, name: str, keep_old: bool = True) -> DataFrame:
     spark = df.sparkSession
     old = table_location(spark, name) if not keep_old and spark.catalog.tableExists(name) else None
     path = new_path(spark, name.rsplit(".", 1)[-1])
-    df.write.parquet(path)
+    write_compact(df, path)
     table = register_external(spark, name, path)
     if old and work_root(spark).split(":", 1)[-1].lstrip("/") in old:
         delete(spark, [old])
@@ -186,7 +188,7 @@ def write_clustered(df: DataFrame, path: str, keys: Sequence[str], partitions: i
     spread = F.xxhash64(*rest) if rest else F.lit(0)
     ranges = [*[F.col(k) for k in keys], spread]
     by_range = df.repartitionByRange(partitions, *ranges) if partitions else df.repartitionByRange(*ranges)
-    by_range.sortWithinPartitions(*keys).write.parquet(path)
+    write_compact(by_range.sortWithinPartitions(*keys), path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
