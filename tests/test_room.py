@@ -94,7 +94,7 @@ def test_a_frame_can_be_read_again_after_its_write(spark, tmp_path):
     assert sorted(map(tuple, rows.collect())) == first == [(k, 100) for k in range(10)]
 
 
-@pytest.mark.parametrize("query", ["q3_layer_progression"])
+@pytest.mark.parametrize("query", ["q3_layer_progression", "a24_pii_audit"])
 def test_landing_goes_when_bronze_holds_it(spark, monkeypatch, query):
     before, at, build = written(spark, "landing"), {}, pipeline.build_silver
     kept = shuffles(spark)
