@@ -4,6 +4,7 @@ import os
 import time
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import SF
 from pyspark.sql import functions as F
@@ -45,6 +46,10 @@ def parts(folder):
     return [os.path.join(d, f) for d, _, found in os.walk(folder) for f in found if f.startswith("part-")]
 
 
+def codecs(folder):
+    return {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in parts(folder) if pq.ParquetFile(f).metadata.num_row_groups}
+
+
 @pytest.mark.parametrize("write", ["stage_compact", "replace_table", "write_clustered", "write_bronze", "land_feed", "land_feed by day"])
 def test_a_write_frees_its_shuffles(spark, tmp_path, write):
     rows = spark.range(200_000).select(*[F.sha2(F.concat(F.lit(c), F.col("id")), 256).alias(c) for c in SPECS[DIS].columns]).repartition(4, "dispute_id")
@@ -120,3 +125,12 @@ def test_a_landing_zone_stays_unless_told(spark, tmp_path):
         assert parts(root)
     finally:
         feeds.drop_layers(spark, "room", "t")
+
+
+def test_promotion_gate_keeps_no_shuffle_and_small_tables(spark):
+    before, tables = shuffles(spark), {f: written(spark, f"{f}_silver") for f in SPECS}
+    out = QUERIES["q2_promotion_gate"](spark, SF)
+    assert left(spark, before) < 20_000  # sizes of splits, totals
+    new = {f: written(spark, f"{f}_silver") - tables[f] for f in SPECS}
+    assert all(len(v) == 1 and codecs(*v) == {"ZSTD"} for v in new.values())
+    assert {(r.build, r.promote) for r in out.collect()} == {("complete", True), ("row lost", False)}
