@@ -22,6 +22,7 @@ FOLDER_DATE = "folder_date"
 LANDING_FEEDS = tuple(SPECS)
 LANDING_MIN_OBJECTS = 47
 LAYERS = ("bronze", "silver", "gold")
+FILE_ROWS = 1_000_000  # of a compressed landing file that no rebalance bounds
 
 
 def feed_schema(spec: FeedSpec) -> T.StructType:
@@ -74,7 +75,8 @@ def land_feed(df: DataFrame, path: str, feed: str, day: Column | None = None) ->
     """Write a raw feed in its landing format, in dated folders when ``day`` is given.
 
     Rows of a day are brought together first, so a task does not write a file for every day; the
-    rebalance lets a very large day use several tasks. Their files are bounded by it and are compressed, as JSON repeats every column's name in every row.
+    rebalance lets a very large day use several tasks, which bounds their files. Files of event feeds are compressed, as JSON repeats every column's name in
+    every row; without days their rows are bounded too, as such a file is read by one task.
     """
     spec = SPECS[feed]
     out = df.select(*spec.columns)
@@ -86,6 +88,8 @@ def land_feed(df: DataFrame, path: str, feed: str, day: Column | None = None) ->
         writer = writer.options(ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
     if day is not None:
         writer = writer.partitionBy("day").option("compression", "gzip")
+    elif spec.dated:
+        writer = writer.options(compression="lz4", maxRecordsPerFile=FILE_ROWS)
     with freed_shuffles(df.sparkSession):
         writer.save(path)
 

@@ -15,6 +15,7 @@ from ledgerlake.plans.registry import QUERIES
 from ledgerlake.plans.specs import SPECS
 from ledgerlake.sources import feeds
 from ledgerlake.sources.derived import raw_feed
+from ledgerlake.sources.files import listing
 
 DIS = "chargeback_disputes"
 
@@ -134,3 +135,30 @@ def test_promotion_gate_keeps_no_shuffle_and_small_tables(spark):
     new = {f: written(spark, f"{f}_silver") - tables[f] for f in SPECS}
     assert all(len(v) == 1 and codecs(*v) == {"ZSTD"} for v in new.values())
     assert {(r.build, r.promote) for r in out.collect()} == {("complete", True), ("row lost", False)}
+
+
+def test_bronze_of_a_landing_in_small_files(spark, monkeypatch):
+    before, at, write = written(spark, "landing"), {}, feeds.write_bronze
+
+    def bronze(df, *args):
+        (folder,) = written(spark, "landing") - before
+        at.update(folder=folder, names=[os.path.basename(p) for p in parts(folder)], bytes=sum(map(os.path.getsize, parts(folder))), text=sum(len(r.t) + 1 for r in df.select(F.to_json(F.struct(*SPECS[DIS].columns)).alias("t")).collect()))
+        return write(df, *args)
+
+    monkeypatch.setattr(feeds, "write_bronze", bronze)
+    got = QUERIES["s4_write_bronze"](spark, SF)
+    raw = raw_feed(spark, SF, DIS)
+    assert at["names"] and all(n.endswith(".json.lz4") for n in at["names"])
+    assert at["bytes"] < at["text"] / 3
+    assert not os.path.exists(at["folder"])
+    assert got.exceptAll(raw).isEmpty() and raw.exceptAll(got).isEmpty()
+
+
+def test_rows_of_a_compressed_landing_file_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(feeds, "FILE_ROWS", 100)
+    rows = spark.range(1000).select(F.concat(F.lit("é \n"), F.col("id")).alias("dispute_id"), *[F.lit(None).cast("string").alias(c) for c in SPECS[DIS].columns[1:]])
+    path = str(tmp_path / "landing")
+    feeds.land_feed(rows.coalesce(1), path, DIS)
+    assert listing(spark, path).count() == 10
+    back = feeds.scan_feed(spark, path, DIS).select(*rows.columns)
+    assert back.exceptAll(rows).isEmpty() and back.count() == 1000
